@@ -42,3 +42,139 @@ m AS (SELECT player_id, sum(sec) / 60 AS total_minutes FROM minutes_played GROUP
 SELECT t.player_id, round(t.total_distance_m * 12 / m.total_minutes, 2) AS distance_per_quarter_m
 FROM t JOIN m ON t.player_id = m.player_id
 """)
+
+ALL_DEDUPED = """
+SELECT game_id, event_id, quarter, game_clock, shot_clock, team_id, player_id, x_loc, y_loc, radius FROM (
+  SELECT *, row_number() OVER (PARTITION BY game_id, player_id, quarter, game_clock
+                               ORDER BY event_id NULLS FIRST, x_loc NULLS FIRST, y_loc NULLS FIRST,
+                                        radius NULLS FIRST, shot_clock NULLS FIRST, team_id NULLS FIRST) AS rn_
+  FROM moments) WHERE rn_ = 1
+"""
+
+ORACLES["dedupe_first"] = with_views(f"SELECT * FROM ({ALL_DEDUPED}) x")
+
+EXCLUSIVE = f"""
+, d AS ({ALL_DEDUPED}),
+b AS (SELECT game_id, quarter, game_clock, x_loc AS ball_x, y_loc AS ball_y FROM d WHERE player_id = -1),
+j AS (SELECT p.*, b.ball_x, b.ball_y FROM d p JOIN b ON p.game_id = b.game_id AND p.quarter = b.quarter
+      AND p.game_clock = b.game_clock WHERE p.player_id <> -1),
+n AS (SELECT *, CASE WHEN sqrt(pow(x_loc - ball_x, 2) + pow(y_loc - ball_y, 2)) <= {RADIUS} THEN 1 ELSE 0 END AS near
+      FROM j),
+e AS (SELECT game_id, quarter, game_clock, player_id, team_id, x_loc, y_loc FROM (
+        SELECT *, sum(near) OVER (PARTITION BY game_id, quarter, game_clock) AS cnt FROM n)
+      WHERE near = 1 AND cnt = 1)
+"""
+
+ORACLES["exclusive_near_rows"] = with_views(EXCLUSIVE + "SELECT * FROM e")
+
+ORACLES["possession_per_entity"] = with_views(EXCLUSIVE + f"""
+, s AS (
+  SELECT player_id,
+         CASE WHEN lead(x_loc) OVER w IS NOT NULL AND game_clock - lead(game_clock) OVER w <= {MAX_GAP}
+              THEN sqrt(pow(x_loc - lead(x_loc) OVER w, 2) + pow(y_loc - lead(y_loc) OVER w, 2))
+              ELSE 0 END AS dist_m
+  FROM e WINDOW w AS (PARTITION BY game_id, player_id, quarter ORDER BY game_clock DESC)),
+st AS (SELECT player_id, sum(dist_m) AS td, count(*) * CAST(0.04 AS DOUBLE) AS tp FROM s GROUP BY player_id),
+m AS (SELECT player_id, sum(sec) AS tc FROM minutes_played GROUP BY player_id)
+SELECT st.player_id, round(td, 6) AS total_distance_with_ball_possession_m,
+       round(tp, 6) AS time_ball_possession_s, round(m.tc, 6) AS total_time_on_court_s,
+       round(tp / m.tc * 100, 2) AS percentage_ball_possession
+FROM st LEFT JOIN m ON st.player_id = m.player_id
+""")
+
+
+def half_up(expr: str, digits: int) -> str:
+    """Spark's round(double, d): HALF_UP on the shortest decimal form."""
+    return (f"CAST(round(CAST(CAST(CAST(({expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits})"
+            f" AS DOUBLE)")
+
+
+def dbl(v: float) -> str:
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+from strideframe.functions import scalar as S  # noqa: E402
+
+SHOT_PLAYER = 3
+
+CLOCK_SECONDS = ("CAST(split_part(pctimestring, ':', 1) AS INTEGER) * 60 + "
+                 "CAST(split_part(pctimestring, ':', 2) AS INTEGER)")
+
+FILLED = f"""
+, ev AS (SELECT *, {CLOCK_SECONDS} AS game_clock_seconds FROM events_pbp WHERE eventmsgtype IN (1, 2)),
+f AS (SELECT *, last_value(scoremargin IGNORE NULLS) OVER (
+        PARTITION BY game_id ORDER BY period ASC, game_clock_seconds DESC, eventnum ASC
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS margin_filled FROM ev)
+"""
+
+ORACLES["margin_forward_fill"] = with_views(FILLED + """
+SELECT game_id, eventnum, period, game_clock_seconds, scoremargin, margin_filled FROM f
+""")
+
+CROSSING = """
+SELECT DISTINCT game_id, event_id, quarter, crossing_clock, max_height, max_height_clock,
+       coalesce(crossing_clock, max_height_clock) AS shot_game_clock {extra}
+FROM (SELECT *, max(CASE WHEN radius = max_height THEN game_clock END) OVER w AS max_height_clock
+      FROM (SELECT *, max(CASE WHEN radius >= 2.0 THEN game_clock END) OVER w AS crossing_clock,
+                      max(radius) OVER w AS max_height
+            FROM {src} WINDOW w AS (PARTITION BY game_id, event_id, quarter {wx})) a
+      WINDOW w AS (PARTITION BY game_id, event_id, quarter {wx})) b
+"""
+
+ORACLES["first_crossing_or_peak"] = with_views(
+    "SELECT * FROM (" + CROSSING.format(extra="", wx="", src="(SELECT * FROM moments WHERE player_id = -1)")
+    + ") c")
+
+LOCATED = FILLED + f"""
+, shots AS (
+  SELECT game_id, eventnum AS event_id, period AS quarter, player1_id AS player_id,
+         eventmsgtype AS event_type, game_clock_seconds
+  FROM f WHERE margin_filled IS NOT NULL AND period >= 4 AND game_clock_seconds <= 300
+         AND abs(TRY_CAST(margin_filled AS INTEGER)) <= 5),
+bm AS (SELECT m.game_id, m.event_id, m.quarter, m.game_clock, m.radius,
+              s.player_id, s.event_type, s.game_clock_seconds
+       FROM moments m JOIN shots s ON m.game_id = s.game_id AND m.event_id = s.event_id
+            AND m.quarter = s.quarter WHERE m.player_id = -1),
+inst AS ({CROSSING.format(extra=", player_id, event_type, game_clock_seconds",
+                          wx=", player_id, event_type, game_clock_seconds", src="bm")}),
+pm AS (SELECT game_id, event_id, player_id, quarter, game_clock AS m_game_clock, x_loc, y_loc
+       FROM moments WHERE player_id <> -1),
+jn AS (SELECT i.game_id, i.event_id, i.player_id, i.quarter, i.event_type, i.game_clock_seconds,
+              i.shot_game_clock AS tracking_game_clock, pm.m_game_clock, pm.x_loc, pm.y_loc,
+              row_number() OVER (PARTITION BY i.game_id, i.event_id, i.player_id, i.quarter,
+                                              i.event_type, i.game_clock_seconds
+                                 ORDER BY abs(pm.m_game_clock - i.shot_game_clock), pm.m_game_clock DESC,
+                                          pm.x_loc, pm.y_loc) AS rn
+       FROM inst i JOIN pm ON i.game_id = pm.game_id AND i.event_id = pm.event_id
+            AND i.player_id = pm.player_id AND i.quarter = pm.quarter),
+loc AS (SELECT * EXCLUDE (rn) FROM jn WHERE rn = 1),
+typed AS (
+  SELECT *, CASE WHEN dist_to_basket <= {S.THREE_POINT_RADIUS_M} THEN '2pt' ELSE '3pt' END AS shot_type
+  FROM (SELECT *, sqrt(pow(x_loc - CASE WHEN x_loc < {dbl(S.HALF_COURT_M)} THEN {dbl(S.LEFT_BASKET_X_M)}
+                                        ELSE {dbl(S.RIGHT_BASKET_X_M)} END, 2)
+                       + pow(y_loc - {dbl(S.BASKET_Y_M)}, 2)) AS dist_to_basket FROM loc) l)
+"""
+
+ORACLES["nearest_match"] = with_views(LOCATED + "SELECT * FROM loc")
+
+ORACLES["shot_locations"] = with_views(LOCATED + f"""
+SELECT player_id, event_type, shot_type, x_loc, y_loc, dist_to_basket, game_clock_seconds, game_id
+FROM typed WHERE player_id = {SHOT_PLAYER}
+""")
+
+ORACLES["clutch_efficiency"] = with_views(LOCATED + f"""
+, agg AS (SELECT player_id, shot_type, count(*) AS n, sum(CASE WHEN event_type = 1 THEN 1 ELSE 0 END) AS made
+          FROM typed GROUP BY player_id, shot_type),
+pv AS (SELECT player_id,
+              coalesce(sum(n) FILTER (WHERE shot_type = '2pt'), 0) AS s2,
+              coalesce(sum(made) FILTER (WHERE shot_type = '2pt'), 0) AS m2,
+              coalesce(sum(n) FILTER (WHERE shot_type = '3pt'), 0) AS s3,
+              coalesce(sum(made) FILTER (WHERE shot_type = '3pt'), 0) AS m3
+       FROM agg GROUP BY player_id)
+SELECT player_id,
+       CASE WHEN s2 = 0 THEN 0.0 ELSE {half_up('m2 / s2', 2)} END AS "2pts_efficiency",
+       CAST(s2 AS BIGINT) AS nb_2pts_shots,
+       CASE WHEN s3 = 0 THEN 0.0 ELSE {half_up('m3 / s3', 2)} END AS "3pts_efficiency",
+       CAST(s3 AS BIGINT) AS nb_3pts_shots
+FROM pv
+""")

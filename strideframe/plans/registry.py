@@ -32,3 +32,68 @@ def q_distance_per_entity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distance_per_entity": q_distance_per_entity,
 }
+
+
+from strideframe.plans import possession as P  # noqa: E402
+from strideframe.operators.dedupe import dedupe  # noqa: E402
+
+
+def q_possession_per_entity(spark, sf):
+    df = P.possession_per_entity(A.moments(spark, sf), A.minutes(spark, sf), radius=RADIUS, max_gap=MAX_GAP)
+    return _round(df, ["total_distance_with_ball_possession_m", "time_ball_possession_s",
+                       "total_time_on_court_s"])
+
+
+def q_exclusive_near_rows(spark, sf):
+    return P.possession_moments(A.moments(spark, sf), radius=RADIUS)
+
+
+def q_dedupe_first(spark, sf):
+    return dedupe(A.moments(spark, sf), D.MOMENT_KEY, D.TIE_BREAK)
+
+
+QUERIES.update({
+    "possession_per_entity": q_possession_per_entity,
+    "exclusive_near_rows": q_exclusive_near_rows,
+    "dedupe_first": q_dedupe_first,
+})
+
+
+from strideframe.plans import clutch as C  # noqa: E402
+from strideframe.operators.sequence import shot_instant  # noqa: E402
+from strideframe.operators.dedupe import split_roles  # noqa: E402
+
+SHOT_PLAYER = 3
+
+
+def q_clutch_efficiency(spark, sf):
+    return C.clutch_efficiency(A.moments(spark, sf), A.events(spark, sf))
+
+
+def q_shot_locations(spark, sf):
+    return C.shot_locations(A.moments(spark, sf), A.events(spark, sf), SHOT_PLAYER)
+
+
+def q_margin_forward_fill(spark, sf):
+    f = C.fill_margins(A.events(spark, sf))
+    return f.select("game_id", "eventnum", "period", "game_clock_seconds", "scoremargin", "margin_filled")
+
+
+def q_first_crossing_or_peak(spark, sf):
+    _, ball = split_roles(A.moments(spark, sf))
+    return shot_instant(ball, ["game_id", "event_id", "quarter"], v="radius", threshold=C.BALL_HEIGHT_M)
+
+
+def q_nearest_match(spark, sf):
+    loc = C.locate_shots(A.moments(spark, sf), C.clutch_shots(A.events(spark, sf)))
+    return loc.select("game_id", "event_id", "player_id", "quarter", "event_type", "game_clock_seconds",
+                      "tracking_game_clock", "m_game_clock", "x_loc", "y_loc")
+
+
+QUERIES.update({
+    "clutch_efficiency": q_clutch_efficiency,
+    "shot_locations": q_shot_locations,
+    "margin_forward_fill": q_margin_forward_fill,
+    "first_crossing_or_peak": q_first_crossing_or_peak,
+    "nearest_match": q_nearest_match,
+})
