@@ -97,3 +97,177 @@ QUERIES.update({
     "first_crossing_or_peak": q_first_crossing_or_peak,
     "nearest_match": q_nearest_match,
 })
+
+
+from strideframe.plans import quality as Q  # noqa: E402
+from strideframe.plans import reports as R  # noqa: E402
+from strideframe.operators import profile as PR  # noqa: E402
+from strideframe.operators.rates import pivot_rates  # noqa: E402
+from strideframe.operators.score import linear_score_columns  # noqa: E402
+from strideframe.operators.sequence import head_k, next_in_sequence  # noqa: E402
+from strideframe.sources.readers import read_results  # noqa: E402
+from strideframe.sources.sinks import write_single_delimited  # noqa: E402
+from strideframe.session import shared_dir  # noqa: E402
+
+# Fixed coefficient rule for the scoring queries: coef_i = (i % 7 - 3) / 10.
+EMBED_DIM = 64
+EMBED_COEF = [(i % 7 - 3) / 10 for i in range(EMBED_DIM)]
+EMBED_INTERCEPT = 0.5
+LINE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LINE_COEF = [0.5, 0.001, -20.0, 10.0]
+LINE_INTERCEPT = 1.0
+PATH_GAP_MICROS = 6 * 3600 * 1_000_000
+
+
+def q_table_profile(spark, sf):
+    return Q.table_profile({"orders": A.table(spark, sf, "orders"), "customer": A.table(spark, sf, "customer")})
+
+
+def q_moment_completeness(spark, sf):
+    return Q.moment_completeness(A.moments(spark, sf))
+
+
+def q_bounds_check(spark, sf):
+    return Q.bounds_check(A.moments_feet(spark, sf))
+
+
+def q_clock_check(spark, sf):
+    return Q.clock_check(A.moments_feet(spark, sf))
+
+
+def q_quarter_values(spark, sf):
+    return PR.sorted_distinct(A.moments(spark, sf), "quarter")
+
+
+def q_jump_report(spark, sf):
+    return _round(Q.jump_report(A.moments_feet(spark, sf)), ["mean", "median", "p95", "max"])
+
+
+def q_jump_histogram(spark, sf):
+    h = PR.histogram(Q.jumps(A.moments_feet(spark, sf)), "jump_ft", 100, clip_upper=20.0)
+    return _round(h, ["bin_lo", "bin_hi"])
+
+
+def q_gap_report(spark, sf):
+    return _round(Q.gap_report(A.moments(spark, sf)), ["gap_mean"])
+
+
+def q_gap_quantiles(spark, sf):
+    return _round(Q.gap_quantiles(A.moments(spark, sf)), ["gap"])
+
+
+def q_distance_unfiltered(spark, sf):
+    df = D.distance_unfiltered(A.moments_feet(spark, sf), A.minutes(spark, sf))
+    return _round(df, ["total_distance_m"])
+
+
+def q_text_shots_located(spark, sf):
+    df = Q.locate_text_shots(A.moments(spark, sf), A.events(spark, sf))
+    return df.drop("clock_diff")
+
+
+def q_height_coverage(spark, sf):
+    return Q.height_coverage(A.moments(spark, sf), A.events(spark, sf))
+
+
+def q_low_ball_rows(spark, sf):
+    return Q.low_ball_rows(A.moments_feet(spark, sf))
+
+
+def _possession(spark, sf):
+    return P.possession_per_entity(A.moments(spark, sf), A.minutes(spark, sf), radius=RADIUS, max_gap=MAX_GAP)
+
+
+def q_rate_histogram(spark, sf):
+    return _round(R.possession_distribution(_possession(spark, sf)), ["bin_lo", "bin_hi"])
+
+
+def q_possession_summary(spark, sf):
+    return _round(R.possession_summary(_possession(spark, sf)), ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+def q_shot_chart_points(spark, sf):
+    shots = C.shot_locations(A.moments(spark, sf), A.events(spark, sf), SHOT_PLAYER)
+    return _round(R.shot_chart_points(shots), ["x_ft", "y_ft", "x_plot", "y_plot"])
+
+
+def q_linear_score_array(spark, sf):
+    df = R.score_table(A.table(spark, sf, "embeddings"), "vec_id", "embedding", EMBED_COEF, EMBED_INTERCEPT,
+                       keep=["label"])
+    return _round(df, ["score"])
+
+
+def q_linear_score_columns(spark, sf):
+    li = A.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *LINE_COLS)
+    return _round(linear_score_columns(li, LINE_COLS, LINE_COEF, LINE_INTERCEPT).drop(*LINE_COLS), ["score"])
+
+
+def q_pivot_success_rates(spark, sf):
+    o = A.table(spark, sf, "orders").withColumn(
+        "size_class", F.when(F.col("o_totalprice") < 100000, F.lit("small")).otherwise(F.lit("large")))
+    return pivot_rates(o, "o_orderpriority", "size_class", ["small", "large"], F.col("o_orderstatus") == "F")
+
+
+def q_top_k_per_group(spark, sf):
+    ev = A.table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    return head_k(ev, ["user_id"], [("ts", True), ("event_id", True)], 3)
+
+
+def q_value_counts(spark, sf):
+    return PR.value_counts(A.table(spark, sf, "events"), "event_type")
+
+
+def q_threshold_counts(spark, sf):
+    cuts = [("le_10", "<=", 10.0), ("le_25", "<=", 25.0), ("gt_40", ">", 40.0), ("gt_49", ">", 49.0)]
+    return PR.threshold_counts(A.table(spark, sf, "lineitem"), "l_quantity", cuts)
+
+
+def q_event_path_length(spark, sf):
+    """W1/W2 on the raw event stream: per user, the summed change of
+    ``value`` between consecutive events (time order, event id breaks ties)
+    when they are at most 6 h apart."""
+    ev = A.table(spark, sf, "events").select(
+        "user_id", "event_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
+    buckets = [("_day", F.floor(F.col("t_us") / F.lit(86_400_000_000)), True)]
+    nx = next_in_sequence(ev, ["user_id"], [("t_us", True), ("event_id", True)], ["value", "t_us"], buckets)
+    ok = F.col("next_t_us").isNotNull() & ((F.col("next_t_us") - F.col("t_us")) <= PATH_GAP_MICROS)
+    step = F.when(ok, F.abs(F.col("next_value") - F.col("value"))).otherwise(F.lit(0.0))
+    out = nx.groupBy("user_id").agg(F.sum(step).alias("path_length"), F.count_if(ok).alias("n_steps"),
+                                    F.count(F.lit(1)).alias("n_events"))
+    return _round(out, ["path_length"])
+
+
+def q_delimited_round_trip(spark, sf):
+    """S4 -> S5: the report writer's single space-delimited file, read back."""
+    region = A.table(spark, sf, "region")
+    out = shared_dir(spark, "round-trip")
+    path = write_single_delimited(region, out, "region.txt", sep=" ", header=True)
+    return read_results(spark, path, schema=region.schema, sep=" ", header=True)
+
+
+QUERIES.update({
+    "distance_unfiltered": q_distance_unfiltered,
+    "table_profile": q_table_profile,
+    "moment_completeness": q_moment_completeness,
+    "bounds_check": q_bounds_check,
+    "clock_check": q_clock_check,
+    "quarter_values": q_quarter_values,
+    "jump_report": q_jump_report,
+    "jump_histogram": q_jump_histogram,
+    "gap_report": q_gap_report,
+    "gap_quantiles": q_gap_quantiles,
+    "text_shots_located": q_text_shots_located,
+    "height_coverage": q_height_coverage,
+    "low_ball_rows": q_low_ball_rows,
+    "rate_histogram": q_rate_histogram,
+    "possession_summary": q_possession_summary,
+    "shot_chart_points": q_shot_chart_points,
+    "linear_score_array": q_linear_score_array,
+    "linear_score_columns": q_linear_score_columns,
+    "pivot_success_rates": q_pivot_success_rates,
+    "top_k_per_group": q_top_k_per_group,
+    "value_counts": q_value_counts,
+    "threshold_counts": q_threshold_counts,
+    "event_path_length": q_event_path_length,
+    "delimited_round_trip": q_delimited_round_trip,
+})
