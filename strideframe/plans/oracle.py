@@ -178,3 +178,271 @@ SELECT player_id,
        CAST(s3 AS BIGINT) AS nb_3pts_shots
 FROM pv
 """)
+
+
+# ------------------------------------------------------------------ quality
+
+def _dedup_all(src: str) -> str:
+    return f"""SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY game_id, player_id, quarter, game_clock
+                               ORDER BY event_id NULLS FIRST, x_loc NULLS FIRST, y_loc NULLS FIRST,
+                                        radius NULLS FIRST) AS rn_
+  FROM {src}) WHERE rn_ = 1"""
+
+
+ORACLES["distance_unfiltered"] = with_views(f"""
+, d AS (SELECT * FROM ({_dedup_all('moments_feet')}) WHERE player_id <> -1),
+s AS (SELECT player_id,
+             sqrt(pow(x_loc - lead(x_loc) OVER w, 2) + pow(y_loc - lead(y_loc) OVER w, 2)) * 0.3048 AS dist_m
+      FROM d WINDOW w AS (PARTITION BY game_id, player_id ORDER BY quarter ASC, game_clock DESC)),
+t AS (SELECT player_id, sum(dist_m) AS total_distance_m FROM s GROUP BY player_id),
+m AS (SELECT player_id, sum(sec) AS tsp FROM minutes_played GROUP BY player_id)
+SELECT t.player_id, round(t.total_distance_m, 6) AS total_distance_m,
+       CAST(round_even(t.total_distance_m * 12 / (m.tsp / 60), 0) AS BIGINT) AS distance_per_quarter_m,
+       m.tsp IS NULL AS missing_minutes
+FROM t LEFT JOIN m ON t.player_id = m.player_id
+""")
+
+PROFILE_TABLES = {
+    "orders": [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+               ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")],
+    "customer": [("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+                 ("c_acctbal", "double"), ("c_mktsegment", "string")],
+}
+
+
+def _profile_sql() -> str:
+    parts = []
+    for table, cols in PROFILE_TABLES.items():
+        for i, (c, t) in enumerate(cols):
+            parts.append(f"""
+SELECT '{table}' AS table_name, '{c}' AS "column", CAST({i} AS INTEGER) AS ordinal, '{t}' AS dtype,
+       count(*) AS "rows", count({c}) AS non_null, count(*) - count({c}) AS nulls,
+       {half_up(f'CAST(count(*) - count({c}) AS DOUBLE) / count(*) * 100', 1)} AS null_pct,
+       count(DISTINCT {c}) AS nunique, CAST(min({c}) AS VARCHAR) AS sample
+FROM {table}""")
+    return "\nUNION ALL".join(parts)
+
+
+ORACLES["table_profile"] = _profile_sql()
+
+ORACLES["moment_completeness"] = with_views("""
+SELECT 'raw' AS stage, rows_per_ts, count(*) AS n_moments
+FROM (SELECT count(*) AS rows_per_ts FROM moments GROUP BY game_id, quarter, game_clock) a GROUP BY rows_per_ts
+UNION ALL
+SELECT 'deduped' AS stage, rows_per_ts, count(*) AS n_moments
+FROM (SELECT count(*) AS rows_per_ts
+      FROM (SELECT DISTINCT game_id, player_id, quarter, game_clock FROM moments) u
+      GROUP BY game_id, quarter, game_clock) b GROUP BY rows_per_ts
+""")
+
+ORACLES["bounds_check"] = with_views("""
+SELECT CASE WHEN player_id = -1 THEN 'ball' ELSE 'players' END AS role, count(*) AS n_rows,
+       min(x_loc) AS x_min, max(x_loc) AS x_max, count(*) FILTER (WHERE x_loc < 0 OR x_loc > 94) AS x_out,
+       min(y_loc) AS y_min, max(y_loc) AS y_max, count(*) FILTER (WHERE y_loc < 0 OR y_loc > 50) AS y_out
+FROM moments_feet WHERE player_id IS NOT NULL GROUP BY 1
+""")
+
+ORACLES["clock_check"] = with_views(f"""
+SELECT count(*) AS n_rows, min(game_clock) AS clock_min, max(game_clock) AS clock_max,
+       count(*) FILTER (WHERE game_clock < 0) AS clock_below, count(*) FILTER (WHERE game_clock > 720) AS clock_above,
+       count(*) FILTER (WHERE shot_clock IS NULL) AS shot_nulls,
+       {half_up('avg(CASE WHEN shot_clock IS NULL THEN 1.0 ELSE 0.0 END) * 100', 1)} AS shot_null_pct,
+       min(shot_clock) AS shot_min, max(shot_clock) AS shot_max,
+       count(*) FILTER (WHERE shot_clock < 0) AS shot_below, count(*) FILTER (WHERE shot_clock > 24) AS shot_above,
+       count(DISTINCT quarter) AS n_quarters, count(*) FILTER (WHERE quarter > 4) AS overtime_rows
+FROM moments_feet
+""")
+
+ORACLES["quarter_values"] = with_views("SELECT DISTINCT quarter FROM moments WHERE quarter IS NOT NULL")
+
+JUMPS = f"""
+, d AS (SELECT * FROM ({_dedup_all('moments_feet')}) WHERE player_id <> -1),
+j AS (SELECT sqrt(pow(x_loc - lead(x_loc) OVER w, 2) + pow(y_loc - lead(y_loc) OVER w, 2)) AS jump_ft
+      FROM d WINDOW w AS (PARTITION BY game_id, player_id ORDER BY quarter ASC, game_clock DESC)),
+jj AS (SELECT jump_ft FROM j WHERE jump_ft IS NOT NULL)
+"""
+
+ORACLES["jump_report"] = with_views(JUMPS + """
+SELECT count(*) AS n_jumps, round(avg(jump_ft), 6) AS mean, round(quantile_cont(jump_ft, 0.5), 6) AS median,
+       round(quantile_cont(jump_ft, 0.95), 6) AS p95, round(max(jump_ft), 6) AS max,
+       count(*) FILTER (WHERE jump_ft > 10) AS n_over_big, count(*) FILTER (WHERE jump_ft > 50) AS n_over_huge,
+""" + half_up("CAST(count(*) FILTER (WHERE jump_ft > 10) AS DOUBLE) * 100 / count(*)", 2) + """ AS pct_over_big
+FROM jj
+""")
+
+
+def _hist_sql(values_cte: str, bins: int) -> str:
+    return f"""{values_cte}
+, mm0 AS (SELECT min(v) AS lo0, max(v) AS hi0 FROM vals),
+mm AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+              CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM mm0),
+b AS (SELECT LEAST(CAST(floor((v - lo) / (hi - lo) * {bins}) AS BIGINT), {bins - 1}) AS bin FROM vals, mm),
+c AS (SELECT bin, count(*) AS cnt FROM b GROUP BY bin),
+r AS (SELECT range AS bin FROM range({bins}))
+SELECT CAST(r.bin AS INTEGER) AS bin, round(lo + r.bin * ((hi - lo) / {bins}), 6) AS bin_lo,
+       round(lo + (r.bin + 1) * ((hi - lo) / {bins}), 6) AS bin_hi, coalesce(c.cnt, 0) AS "count"
+FROM r CROSS JOIN mm LEFT JOIN c ON r.bin = c.bin
+"""
+
+
+ORACLES["jump_histogram"] = with_views(_hist_sql(JUMPS + ", vals AS (SELECT least(jump_ft, 20.0) AS v FROM jj)", 100))
+
+GAPS = """
+, g AS (SELECT game_clock - lead(game_clock) OVER (PARTITION BY game_id, player_id, quarter
+                                                    ORDER BY game_clock DESC) AS gap
+        FROM moments WHERE player_id <> -1),
+gg AS (SELECT gap FROM g WHERE gap IS NOT NULL)
+"""
+
+GAP_CUTS = [("le_0_04", "<=", 0.04), ("le_0_05", "<=", 0.05), ("le_0_10", "<=", 0.10),
+            ("le_0_50", "<=", 0.50), ("gt_0_50", ">", 0.50), ("gt_1_00", ">", 1.00)]
+
+ORACLES["gap_report"] = with_views(GAPS + "SELECT min(gap) AS gap_min, round(avg(gap), 6) AS gap_mean, "
+                                   "max(gap) AS gap_max, count(*) AS n_values, " + ", ".join(
+    f"count(*) FILTER (WHERE gap {op} {dbl(v)}) AS n_{n}, "
+    f"count(*) FILTER (WHERE gap {op} {dbl(v)}) / count(*) AS share_{n}" for n, op, v in GAP_CUTS)
+    + " FROM gg")
+
+ORACLES["gap_quantiles"] = with_views(GAPS + """
+SELECT p, round(gap, 6) AS gap FROM (
+  SELECT unnest(CAST([0.5, 0.9, 0.95, 0.99, 0.999] AS DOUBLE[])) AS p,
+         unnest(quantile_cont(gap, [0.5, 0.9, 0.95, 0.99, 0.999])) AS gap FROM gg) q
+""")
+
+ORACLES["text_shots_located"] = with_views(f"""
+, ts AS (
+  SELECT game_id, eventnum, player1_id AS player_id, player1_name, period AS quarter,
+         CAST(TRY_CAST(split_part(trim(pctimestring), ':', 1) AS INTEGER) * 60
+              + TRY_CAST(split_part(trim(pctimestring), ':', 2) AS INTEGER) AS DOUBLE) AS game_clock_approx,
+         eventmsgtype = 1 AS made
+  FROM events_pbp
+  WHERE eventmsgtype IN (1, 2) AND (coalesce(contains(homedescription, '3PT'), false)
+                                    OR coalesce(contains(visitordescription, '3PT'), false))),
+c AS (
+  SELECT t.*, m.game_clock, m.x_loc, m.y_loc,
+         row_number() OVER (PARTITION BY t.game_id, t.eventnum, t.player_id, t.player1_name, t.quarter,
+                                         t.game_clock_approx, t.made
+                            ORDER BY abs(m.game_clock - t.game_clock_approx), m.game_clock DESC,
+                                     m.x_loc, m.y_loc) AS rn
+  FROM ts t JOIN moments m ON m.game_id = t.game_id AND m.player_id = t.player_id AND m.quarter = t.quarter
+       AND abs(m.game_clock - t.game_clock_approx) <= 1.0
+  WHERE t.game_clock_approx IS NOT NULL AND m.player_id <> -1)
+SELECT game_id, eventnum, player_id, player1_name, quarter, game_clock_approx, made, game_clock, x_loc, y_loc,
+       dist_nearest_basket, dist_nearest_basket > {S.THREE_POINT_RADIUS_M} AS outside_arc
+FROM (SELECT *, least(sqrt(pow(x_loc - {dbl(S.LEFT_BASKET_X_M)}, 2) + pow(y_loc - {dbl(S.BASKET_Y_M)}, 2)),
+                      sqrt(pow(x_loc - {dbl(S.RIGHT_BASKET_X_M)}, 2) + pow(y_loc - {dbl(S.BASKET_Y_M)}, 2)))
+                AS dist_nearest_basket FROM c WHERE rn = 1) z
+""")
+
+ORACLES["height_coverage"] = with_views(f"""
+, ball AS (SELECT * FROM moments WHERE player_id = -1),
+se AS (SELECT DISTINCT game_id, eventnum AS event_id FROM events_pbp WHERE eventmsgtype IN (1, 2)),
+me AS (SELECT DISTINCT game_id, eventnum AS event_id FROM events_pbp WHERE eventmsgtype = 1),
+ins AS (SELECT b.* FROM ball b WHERE EXISTS (SELECT 1 FROM se WHERE se.game_id = b.game_id
+                                                                AND se.event_id = b.event_id)),
+mb AS (SELECT b.game_id, b.event_id, max(CASE WHEN radius >= 2.0 THEN 1 ELSE 0 END) AS hi
+       FROM ball b JOIN me ON b.game_id = me.game_id AND b.event_id = me.event_id GROUP BY 1, 2),
+x AS (SELECT (SELECT count(*) FROM ball) AS ball_rows,
+             (SELECT count(*) FROM ins) AS ball_rows_in_shots,
+             (SELECT count(*) FROM ins WHERE radius >= 2.0) AS ball_rows_high,
+             (SELECT count(*) FROM me) AS made_events,
+             (SELECT count(*) FROM mb) AS made_with_ball,
+             (SELECT count(*) FROM me WHERE NOT EXISTS (SELECT 1 FROM ball b WHERE b.game_id = me.game_id
+                                                                           AND b.event_id = me.event_id))
+                 AS made_without_ball,
+             (SELECT CAST(coalesce(sum(hi), 0) AS BIGINT) FROM mb) AS made_high)
+SELECT *, {half_up('CAST(ball_rows_high AS DOUBLE) * 100 / ball_rows_in_shots', 1)} AS pct_high,
+       made_with_ball - made_high AS made_not_high,
+       {half_up('CAST(made_high AS DOUBLE) * 100 / made_events', 1)} AS coverage_pct
+FROM x
+""")
+
+ORACLES["low_ball_rows"] = with_views("""
+SELECT x_loc, y_loc, radius, game_clock, quarter, game_id, event_id FROM moments_feet
+WHERE player_id = -1 AND radius < 0.5
+ORDER BY radius, game_id, quarter, game_clock DESC, event_id, x_loc, y_loc LIMIT 20
+""")
+
+_POSSESSION_Q = ORACLES["possession_per_entity"]
+
+ORACLES["rate_histogram"] = _hist_sql(
+    f"WITH vals AS (SELECT percentage_ball_possession / 100 AS v FROM ({_POSSESSION_Q}) q "
+    f"WHERE percentage_ball_possession IS NOT NULL)", 15)
+
+ORACLES["possession_summary"] = f"""
+WITH vals AS (SELECT percentage_ball_possession / 100 AS v FROM ({_POSSESSION_Q}) q)
+SELECT 'possession_fraction' AS "column", count(v) AS "count", round(avg(v), 6) AS mean,
+       round(stddev_samp(v), 6) AS std, round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS p25,
+       round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, round(max(v), 6) AS max
+FROM vals
+"""
+
+ORACLES["shot_chart_points"] = with_views(LOCATED + f"""
+, pts AS (SELECT player_id, game_id, event_type, shot_type, game_clock_seconds,
+                 x_loc / 0.3048 AS x_ft, y_loc / 0.3048 AS y_ft
+          FROM typed WHERE player_id = {SHOT_PLAYER}),
+lab AS (SELECT *, CASE WHEN x_ft < 47.0 THEN 94.0 - x_ft ELSE x_ft END AS x_plot,
+               CASE WHEN x_ft < 47.0 THEN 50.0 - y_ft ELSE y_ft END AS y_plot,
+               CASE WHEN event_type = 1 THEN 'made' WHEN event_type = 2 THEN 'missed' ELSE 'other' END AS outcome
+        FROM pts)
+SELECT outcome, player_id, game_id, event_type, shot_type, game_clock_seconds,
+       round(x_ft, 6) AS x_ft, round(y_ft, 6) AS y_ft, round(x_plot, 6) AS x_plot, round(y_plot, 6) AS y_plot,
+       count(*) OVER (PARTITION BY outcome) AS n_outcome
+FROM lab
+""")
+
+EMBED_COEF = [(i % 7 - 3) / 10 for i in range(64)]
+_terms = " + ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) * {dbl(c)}" for i, c in enumerate(EMBED_COEF))
+ORACLES["linear_score_array"] = f"""
+SELECT vec_id, label, round(CASE WHEN len(embedding) = 64 THEN (0.0 + {_terms}) + 0.5 END, 6) AS score
+FROM embeddings
+"""
+
+ORACLES["linear_score_columns"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey,
+       round(0.0 + l_quantity * {dbl(0.5)} + l_extendedprice * {dbl(0.001)} + l_discount * {dbl(-20.0)}
+             + l_tax * {dbl(10.0)} + 1.0, 6) AS score
+FROM lineitem
+"""
+
+ORACLES["pivot_success_rates"] = f"""
+SELECT o_orderpriority,
+       CASE WHEN ns = 0 THEN 0.0 ELSE {half_up('ms / ns', 2)} END AS small_rate, ns AS nb_small, ms AS nb_small_made,
+       CASE WHEN nl = 0 THEN 0.0 ELSE {half_up('ml / nl', 2)} END AS large_rate, nl AS nb_large, ml AS nb_large_made
+FROM (SELECT o_orderpriority,
+             count(*) FILTER (WHERE o_totalprice < 100000) AS ns,
+             count(*) FILTER (WHERE o_totalprice < 100000 AND o_orderstatus = 'F') AS ms,
+             count(*) FILTER (WHERE o_totalprice >= 100000) AS nl,
+             count(*) FILTER (WHERE o_totalprice >= 100000 AND o_orderstatus = 'F') AS ml
+      FROM orders GROUP BY o_orderpriority) a
+"""
+
+ORACLES["top_k_per_group"] = """
+SELECT user_id, event_id, ts, event_type, value, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT user_id, event_id, ts, event_type, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) e
+WHERE rn <= 3
+"""
+
+ORACLES["value_counts"] = 'SELECT event_type, count(*) AS "count" FROM events GROUP BY event_type'
+
+ORACLES["threshold_counts"] = "SELECT count(l_quantity) AS n_values, " + ", ".join(
+    f"count(*) FILTER (WHERE l_quantity {op} {dbl(v)}) AS n_{n}, "
+    f"count(*) FILTER (WHERE l_quantity {op} {dbl(v)}) / count(l_quantity) AS share_{n}"
+    for n, op, v in [("le_10", "<=", 10.0), ("le_25", "<=", 25.0), ("gt_40", ">", 40.0), ("gt_49", ">", 49.0)]
+) + " FROM lineitem"
+
+ORACLES["event_path_length"] = """
+WITH e AS (
+  SELECT user_id, value, epoch_us(ts) AS t, lead(value) OVER w AS nv, lead(epoch_us(ts)) OVER w AS nt
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id,
+       round(sum(CASE WHEN nt IS NOT NULL AND nt - t <= 21600000000 THEN abs(nv - value) ELSE 0.0 END), 6)
+           AS path_length,
+       count(*) FILTER (WHERE nt IS NOT NULL AND nt - t <= 21600000000) AS n_steps,
+       count(*) AS n_events
+FROM e GROUP BY user_id
+"""
+
+ORACLES["delimited_round_trip"] = "SELECT r_regionkey, r_name FROM region"

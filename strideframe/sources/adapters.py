@@ -3,7 +3,8 @@
 The driver ships TPC-H-like Parquet tables, not court data.  These views map
 them onto the tracking schemas so every job runs on the whole of the given
 tables (no id subsets): lineitem -> moments, orders -> play-by-play events,
-customer -> minutes played.  Keys are chosen so that (game_id, event_id) is
+customer -> minutes played (account balance / 1000 as seconds, so a
+player has game-like minutes).  Keys are chosen so that (game_id, event_id) is
 unique per order and moments of an order carry that order's event key, which
 makes the event <-> moment joins meaningful.
 
@@ -80,7 +81,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.select((F.col("c_custkey") % 10).alias("player_id"),
-                    F.abs(F.col("c_acctbal")).alias("sec"))
+                    (F.abs(F.col("c_acctbal")) / 1000).alias("sec"))
 
 
 # --- the same views for DuckDB (oracle side) --------------------------------
@@ -127,7 +128,7 @@ FROM (SELECT *,
 """
 
 MINUTES_SQL = """
-SELECT c_custkey % 10 AS player_id, abs(c_acctbal) AS sec FROM customer
+SELECT c_custkey % 10 AS player_id, abs(c_acctbal) / 1000 AS sec FROM customer
 """
 
 
