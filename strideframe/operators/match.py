@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,19 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> bool
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    ok = fits_broadcast(df, max_rows)
-    return (F.broadcast(df) if ok else df), ok
+    """(side, small): the side broadcast when it has at most ``max_rows`` rows.
+
+    The side is persisted while it is counted, so a small side is computed
+    once (the count fills the cache, the join reads it; a lost block is
+    recomputed from lineage).  A side over the bound is unpersisted and left
+    to a shuffle join."""
+    if not max_rows:
+        return df, False
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(cached), True
+    cached.unpersist()
+    return df, False
 
 
 def _cond(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> Column:

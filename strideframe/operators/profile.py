@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,15 @@ def _w(weight) -> Column:
 
 # ---------------------------------------------------------------- counting
 
+def summary_from_counts(vc: DataFrame, cuts: Sequence[tuple[str, str, float]] = ()) -> DataFrame:
+    """n, mean, min, max and counts per cut-off from a (v, w) table."""
+    v, w = F.col("v"), F.col("w")
+    ops = {"<=": v.__le__, "<": v.__lt__, ">": v.__gt__, ">=": v.__ge__}
+    return vc.agg(F.sum(w).alias("n"), (F.sum(v * w) / F.sum(w)).alias("mean"), F.min(v).alias("min"),
+                  F.max(v).alias("max"),
+                  *[F.sum(F.when(ops[op](F.lit(val)), w).otherwise(0)).alias(f"n_{name}") for name, op, val in cuts])
+
+
 def value_counts(df: DataFrame, col: str, out: str = "count") -> DataFrame:
     """Frequency per value (sorted by frequency desc, value asc)."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out)).orderBy(F.col(out).desc(), F.col(col))
@@ -77,8 +87,23 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight=None
     preceding ranges.  No task ever holds all values.  Optional ``weight``
     counts a row that many times.
     """
+    return quantiles_from_counts(value_weights(df, col, weight), probs, col, n_ranges)
+
+
+def value_weights(df: DataFrame, col: str, weight=None, persist: bool = True) -> DataFrame:
+    """(v, w): distinct non-null values of ``col`` with their total weight —
+    a combining aggregate, bounded by the number of distinct values.  It is
+    persisted (recomputable from lineage) because the quantile and summary
+    steps read it more than once."""
     vals = df.select(F.col(col).cast("double").alias("v"), _w(weight).alias("w")).filter(F.col("v").isNotNull())
     vc = vals.groupBy("v").agg(F.sum("w").alias("w")).filter(F.col("w") > 0)
+    return vc.persist(StorageLevel.MEMORY_AND_DISK) if persist else vc
+
+
+def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], col: str = "v",
+                          n_ranges: int = 256) -> DataFrame:
+    """Exact quantiles from a (v, w) table (see ``exact_quantiles``)."""
+    vals = vc
     grid = [i / n_ranges for i in range(1, n_ranges)]
     st = vc.agg(F.sum("w").alias("n"), F.percentile_approx("v", grid, 10000).alias("s")).first()
     n = st["n"]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from strideframe.functions import scalar as S
 from strideframe.operators.dedupe import split_roles
 from strideframe.operators.match import BROADCAST_ROWS, anti_join, nearest_match, semi_join
-from strideframe.operators.profile import count_of_counts, exact_quantiles, profile, threshold_counts
+from strideframe.operators.profile import (count_of_counts, exact_quantiles, profile, quantiles_from_counts,
+                                           summary_from_counts, threshold_counts, value_weights)
 from strideframe.operators.sequence import next_in_sequence, time_buckets
 from strideframe.plans.distance import dedupe_moments
 
@@ -81,15 +82,14 @@ def jumps(moments_feet: DataFrame, bucket_seconds: float | None = 60.0) -> DataF
 
 def jump_report(moments_feet: DataFrame, big: float = 10.0, huge: float = 50.0) -> DataFrame:
     """Q8: mean / median / 95th percentile / max of the jumps and the counts
-    beyond ``big`` (likely gaps) and ``huge`` (data errors)."""
-    j = jumps(moments_feet)
-    q = exact_quantiles(j, "jump_ft", [0.5, 0.95])
+    beyond ``big`` (likely gaps) and ``huge`` (data errors).  Everything is
+    read from one (jump, count) table, so the jump pipeline runs once."""
+    vc = value_weights(jumps(moments_feet), "jump_ft")
+    q = quantiles_from_counts(vc, [0.5, 0.95], "jump_ft")
     qp = q.agg(F.max(F.when(F.col("p") == 0.5, F.col("jump_ft"))).alias("median"),
                F.max(F.when(F.col("p") == 0.95, F.col("jump_ft"))).alias("p95"))
-    base = j.agg(F.count(F.lit(1)).alias("n_jumps"), F.avg("jump_ft").alias("mean"),
-                 F.max("jump_ft").alias("max"),
-                 F.count_if(F.col("jump_ft") > big).alias("n_over_big"),
-                 F.count_if(F.col("jump_ft") > huge).alias("n_over_huge"))
+    base = summary_from_counts(vc, [("over_big", ">", big), ("over_huge", ">", huge)]).select(
+        F.col("n").alias("n_jumps"), "mean", "max", "n_over_big", "n_over_huge")
     both = base.unionByName(qp, allowMissingColumns=True)
     cols = ["n_jumps", "mean", "median", "p95", "max", "n_over_big", "n_over_huge"]
     out = both.agg(*[F.max(c).alias(c) for c in cols])
