@@ -168,7 +168,8 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
     bin (empty ones with count 0): bin, bin_lo, bin_hi, count."""
     v = F.col(col).cast("double")
     if clip_upper is not None:
-        v = F.least(v, F.lit(float(clip_upper)))
+        # least() skips nulls; a null must stay null, not become the clip value
+        v = F.when(v.isNotNull(), F.least(v, F.lit(float(clip_upper))))
     vals = df.select(v.alias("v"), _w(weight).alias("w")).filter(F.col("v").isNotNull())
     if lo is None or hi is None:
         mm = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
