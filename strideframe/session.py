@@ -36,6 +36,29 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for the input: shuffle partitions ~ input / 256 MB
+    (AQE coalesces small ones and splits skewed ones at run time), scan
+    splits of 256 MB, broadcast of runtime-measured small sides only."""
+    parts = max(200, min(100_000, input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_if_unset(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set each option only where the session does not already define it."""
+    for k, v in conf.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A path under the cluster's shared checkpoint folder.
 
@@ -61,4 +84,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "shared_dir", "local_path", "os"]
+__all__ = ["build_session", "cluster_conf", "apply_if_unset", "shared_dir", "local_path", "os"]
