@@ -79,13 +79,55 @@ def next_in_sequence(df: DataFrame, keys: Sequence[str], order: Order, carry: Se
     return out.drop("_sent", *added)
 
 
+def next_within(df: DataFrame, keys: Sequence[str], t: str, ascending: bool, carry: Sequence[str],
+                horizon: float, width: float, tie_break: Sequence[str] = (), prefix: str = "next_") -> DataFrame:
+    """Next row within a time horizon, in one shuffle.
+
+    Rows are windowed per (entity, ``floor(t / width)``).  A row that lies
+    within ``horizon`` of the edge its successors come from is also copied
+    into the neighbouring bucket, after that bucket's own rows in time order.
+    So the last row of a bucket sees its true successor whenever the gap is
+    at most ``horizon``: ``prefix + c`` is always either the true successor's
+    value or null, and null only when the successor is further than
+    ``horizon`` away (or absent).  Copies are a fraction
+    ``horizon / width`` of the rows; extra copies (the small safety margin)
+    never change a result.  Requires ``horizon <= width``.
+    """
+    if horizon > width:
+        raise ValueError("horizon must not exceed the bucket width")
+    keys, carry = list(keys), list(carry)
+    w, h = float(width), float(horizon)
+    margin = w * 1e-9
+    tc = F.col(t)
+    b = F.floor(tc / F.lit(w))
+    own = df.withColumn("_b", b).withColumn("_copy", F.lit(False))
+    if ascending:   # successors have larger t: rows near a bucket's lower edge serve the bucket below
+        near = F.floor((tc - F.lit(h + margin)) / F.lit(w)) < b
+        copies = df.filter(near).withColumn("_b", b - 1)
+    else:           # count-down clock: rows near a bucket's upper edge serve the bucket above
+        near = F.floor((tc + F.lit(h + margin)) / F.lit(w)) > b
+        copies = df.filter(near).withColumn("_b", b + 1)
+    both = own.unionByName(copies.withColumn("_copy", F.lit(True)))
+    order = [tc.asc() if ascending else tc.desc()] + [F.col(c).asc() for c in tie_break]
+    win = Window.partitionBy(*keys, "_b").orderBy(*order)
+    out = both.select("*", *[F.lead(c).over(win).alias(prefix + c) for c in carry])
+    return out.filter(~F.col("_copy")).drop("_b", "_copy")
+
+
 def step_distance(df: DataFrame, keys: Sequence[str], t: str = "game_clock", x: str = "x_loc",
                   y: str = "y_loc", max_gap: float | None = 0.5, t_desc: bool = True,
-                  buckets: Buckets | None = None, out: str = "dist_m") -> DataFrame:
+                  buckets: Buckets | None = None, out: str = "dist_m",
+                  bucket_width: float | None = None) -> DataFrame:
     """Euclidean step to the next row; 0 when there is no next row or
     the time gap exceeds ``max_gap`` (inclusive ``<=``, gap measured forward
-    in time: ``t - t_next`` for a count-down clock)."""
-    nx = next_in_sequence(df, keys, [(t, not t_desc)], [x, y, t], buckets)
+    in time: ``t - t_next`` for a count-down clock).
+
+    With ``bucket_width`` (>= max_gap) the single-shuffle ``next_within``
+    is used; with ``buckets`` the sentinel-based ``next_in_sequence``."""
+    if bucket_width is not None and max_gap is not None:
+        nx = next_within(df, keys, t, not t_desc, [x, y, t], max_gap, max(bucket_width, max_gap))
+    else:
+        nx = next_in_sequence(df, keys, [(t, not t_desc)], [x, y, t], buckets)
     gap = (F.col(t) - F.col("next_" + t)) if t_desc else (F.col("next_" + t) - F.col(t))
     ok = F.col("next_" + x).isNotNull()
     if max_gap is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strideframe.operators.dedupe import dedupe, split_roles
 from strideframe.operators.rates import per_unit_rate, total_per
-from strideframe.operators.sequence import next_in_sequence, step_distance, time_buckets
+from strideframe.operators.sequence import next_in_sequence, step_distance
 from strideframe.functions.scalar import FEET_TO_METERS, dist2d
 
 MOMENT_KEY = ["game_id", "player_id", "quarter", "game_clock"]
@@ -32,9 +32,8 @@ def distance_per_entity(moments: DataFrame, minutes: DataFrame, max_gap: float =
     of play.  Players without minutes are dropped (inner join, H17)."""
     players, _ = split_roles(moments)
     players = dedupe_moments(players, [])
-    buckets = time_buckets("game_clock", bucket_seconds) if bucket_seconds else None
     steps = step_distance(players.select(*SEGMENT, "game_clock", "x_loc", "y_loc"), SEGMENT,
-                          max_gap=max_gap, buckets=buckets)
+                          max_gap=max_gap, bucket_width=bucket_seconds)
     dist = total_per(steps, "player_id", "dist_m", "total_distance_m")
     mins = seconds_on_court(minutes).withColumn("total_minutes", F.col("total_seconds") / 60)
     return (dist.join(mins, "player_id")

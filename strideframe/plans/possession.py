@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strideframe.functions.scalar import SECONDS_PER_SAMPLE
 from strideframe.operators.near import MOMENT, exclusive_near, with_target_in_moment
 from strideframe.operators.rates import percent_of, ticks_to_seconds
-from strideframe.operators.sequence import step_distance, time_buckets
+from strideframe.operators.sequence import step_distance
 from strideframe.plans.distance import SEGMENT, dedupe_moments, seconds_on_court
 
 
@@ -32,8 +32,7 @@ def possession_per_entity(moments: DataFrame, minutes: DataFrame, radius: float
     possession rows only, so the gap guard also splits possession spells
     (H18).  Players without minutes are kept with nulls (left join, H17)."""
     pos = possession_moments(moments, radius)
-    buckets = time_buckets("game_clock", bucket_seconds) if bucket_seconds else None
-    steps = step_distance(pos, SEGMENT, max_gap=max_gap, buckets=buckets)
+    steps = step_distance(pos, SEGMENT, max_gap=max_gap, bucket_width=bucket_seconds)
     stats = steps.groupBy("player_id").agg(
         F.sum("dist_m").alias("total_distance_with_ball_possession_m"),
         ticks_to_seconds(F.count(F.lit(1)), seconds_per_sample).alias("time_ball_possession_s"))

@@ -104,7 +104,7 @@ from strideframe.plans import reports as R  # noqa: E402
 from strideframe.operators import profile as PR  # noqa: E402
 from strideframe.operators.rates import pivot_rates  # noqa: E402
 from strideframe.operators.score import linear_score_columns  # noqa: E402
-from strideframe.operators.sequence import head_k, next_in_sequence  # noqa: E402
+from strideframe.operators.sequence import head_k, next_within  # noqa: E402
 from strideframe.sources.readers import read_results  # noqa: E402
 from strideframe.sources.sinks import write_single_delimited  # noqa: E402
 from strideframe.session import shared_dir  # noqa: E402
@@ -228,8 +228,8 @@ def q_event_path_length(spark, sf):
     when they are at most 6 h apart."""
     ev = A.table(spark, sf, "events").select(
         "user_id", "event_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
-    buckets = [("_day", F.floor(F.col("t_us") / F.lit(86_400_000_000)), True)]
-    nx = next_in_sequence(ev, ["user_id"], [("t_us", True), ("event_id", True)], ["value", "t_us"], buckets)
+    nx = next_within(ev, ["user_id"], "t_us", True, ["value", "t_us"], PATH_GAP_MICROS, 86_400_000_000,
+                     tie_break=["event_id"])
     ok = F.col("next_t_us").isNotNull() & ((F.col("next_t_us") - F.col("t_us")) <= PATH_GAP_MICROS)
     step = F.when(ok, F.abs(F.col("next_value") - F.col("value"))).otherwise(F.lit(0.0))
     out = nx.groupBy("user_id").agg(F.sum(step).alias("path_length"), F.count_if(ok).alias("n_steps"),

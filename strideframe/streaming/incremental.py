@@ -20,7 +20,7 @@ from strideframe import schemas
 from strideframe.functions.scalar import FEET_TO_METERS
 from strideframe.operators.dedupe import split_roles
 from strideframe.operators.rates import per_unit_rate
-from strideframe.operators.sequence import step_distance, time_buckets
+from strideframe.operators.sequence import step_distance
 from strideframe.plans.distance import SEGMENT, dedupe_moments, seconds_on_court
 from strideframe.session import shared_dir
 from strideframe.sources.readers import scale_columns
@@ -30,9 +30,8 @@ def game_partials(moments_m: DataFrame, max_gap: float = 0.5, bucket_seconds: fl
     """(game_id, player_id, distance_m) for the games in ``moments_m``."""
     players, _ = split_roles(moments_m)
     players = dedupe_moments(players, [])
-    buckets = time_buckets("game_clock", bucket_seconds) if bucket_seconds else None
     steps = step_distance(players.select(*SEGMENT, "game_clock", "x_loc", "y_loc"), SEGMENT,
-                          max_gap=max_gap, buckets=buckets)
+                          max_gap=max_gap, bucket_width=bucket_seconds)
     return steps.groupBy("game_id", "player_id").agg(F.sum("dist_m").alias("distance_m"))
 
 

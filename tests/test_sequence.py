@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from conftest import moments_df, rows
-from strideframe.operators.sequence import (consecutive_gap, forward_fill, head_k, next_in_sequence,
+from strideframe.operators.sequence import (consecutive_gap, forward_fill, head_k, next_in_sequence, next_within,
                                             shot_instant, step_distance, time_buckets)
 
 SEG = ["game_id", "player_id", "quarter"]
@@ -140,3 +140,27 @@ def test_head_k_total_order(spark):
     df = spark.createDataFrame([(1, i, 10 - i % 3) for i in range(10)] + [(2, 0, 1)], "u long, id long, t long")
     out = head_k(df, ["u"], [("t", True), ("id", True)], 3)
     assert rows(out.select("u", "id")) == [(1, 2), (1, 5), (1, 8), (2, 0)]
+
+
+def test_next_within_matches_brute_force(spark):
+    df, data = _random_moments(spark, n=4000, seed=9)
+    expect = _brute_steps(data, 0.6)
+    for width in (0.6, 1.0, 13.0):
+        got = {r.player_id: r.s for r in step_distance(df, SEG, max_gap=0.6, bucket_width=width)
+               .groupBy("player_id").agg(F.sum("dist_m").alias("s")).collect()}
+        assert set(got) == set(expect)
+        for k in expect:
+            assert math.isclose(got[k], expect[k], rel_tol=1e-9)
+
+
+def test_next_within_ascending_boundaries(spark):
+    ts = [0.0, 59.5, 60.0, 120.5, 121.0, 179.9, 180.4, 240.0]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(ts)], "u long, id long, t double")
+    out = {r.id: r.next_t for r in next_within(df, ["u"], "t", True, ["t"], 0.5, 60.0).collect()}
+    for i, t in enumerate(ts):
+        true_next = ts[i + 1] if i + 1 < len(ts) else None
+        # either the true successor or null, and never null within the horizon (inclusive)
+        assert out[i] in (true_next, None)
+        if true_next is not None and true_next - t <= 0.5:
+            assert out[i] == true_next
+    assert out[1] == 60.0 and out[5] == 180.4
