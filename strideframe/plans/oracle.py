@@ -446,3 +446,24 @@ FROM e GROUP BY user_id
 """
 
 ORACLES["delimited_round_trip"] = "SELECT r_regionkey, r_name FROM region"
+
+ORACLES["nearest_match_tolerance"] = with_views(f"""
+, ts AS (
+  SELECT game_id, eventnum, player1_id AS player_id, period AS quarter,
+         CAST(TRY_CAST(split_part(trim(pctimestring), ':', 1) AS INTEGER) * 60
+              + TRY_CAST(split_part(trim(pctimestring), ':', 2) AS INTEGER) AS DOUBLE) AS event_clock
+  FROM events_pbp WHERE eventmsgtype IN (1, 2)),
+c AS (
+  SELECT t.*, m.game_clock, abs(m.game_clock - t.event_clock) AS clock_diff, m.x_loc, m.y_loc,
+         row_number() OVER (PARTITION BY t.game_id, t.eventnum, t.player_id, t.quarter, t.event_clock
+                            ORDER BY abs(m.game_clock - t.event_clock), m.game_clock DESC, m.x_loc, m.y_loc) AS rn
+  FROM ts t JOIN moments m ON m.game_id = t.game_id AND m.player_id = t.player_id AND m.quarter = t.quarter
+       AND abs(m.game_clock - t.event_clock) <= 1.0
+  WHERE m.player_id <> -1)
+SELECT game_id, eventnum, player_id, quarter, event_clock, game_clock, clock_diff, x_loc, y_loc FROM c WHERE rn = 1
+""")
+
+ORACLES["duplicate_keys"] = with_views("""
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct, CAST(sum(n) - count(*) AS BIGINT) AS n_duplicates
+FROM (SELECT count(*) AS n FROM moments GROUP BY game_id, player_id, quarter, game_clock) a
+""")

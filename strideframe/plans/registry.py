@@ -271,3 +271,31 @@ QUERIES.update({
     "event_path_length": q_event_path_length,
     "delimited_round_trip": q_delimited_round_trip,
 })
+
+
+from strideframe.operators.match import nearest_match  # noqa: E402
+
+
+def q_nearest_match_tolerance(spark, sf):
+    """J7 on every made/missed event: the shooter's sample nearest in time
+    within ±1 s, same game and quarter."""
+    ev = A.events(spark, sf)
+    from strideframe.functions import scalar as S
+    shots = (ev.filter(F.col("eventmsgtype").isin(1, 2))
+               .select("game_id", "eventnum", F.col("player1_id").alias("player_id"),
+                       F.col("period").alias("quarter"),
+                       S.clock_to_seconds("pctimestring", strict=False).cast("double").alias("event_clock")))
+    players, _ = split_roles(A.moments(spark, sf))
+    m = players.select("game_id", "player_id", "quarter", "game_clock", "x_loc", "y_loc")
+    on = [("game_id", "game_id"), ("player_id", "player_id"), ("quarter", "quarter")]
+    return nearest_match(shots, m, on, "event_clock", "game_clock", ["x_loc", "y_loc"], tolerance=1.0)
+
+
+def q_duplicate_keys(spark, sf):
+    return PR.duplicate_key_count(A.moments(spark, sf), D.MOMENT_KEY)
+
+
+QUERIES.update({
+    "nearest_match_tolerance": q_nearest_match_tolerance,
+    "duplicate_keys": q_duplicate_keys,
+})
