@@ -101,20 +101,27 @@ def value_weights(df: DataFrame, col: str, weight=None, persist: bool = True) ->
 
 
 def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], col: str = "v",
-                          n_ranges: int = 256) -> DataFrame:
-    """Exact quantiles from a (v, w) table (see ``exact_quantiles``)."""
+                          n_ranges: int = 256, values_per_range: int = 1_000_000,
+                          max_ranges: int = 100_000) -> DataFrame:
+    """Exact quantiles from a (v, w) table (see ``exact_quantiles``).
+
+    The number of ranges grows with the number of distinct values (about
+    ``values_per_range`` each, at most ``max_ranges``); a value's range is
+    found by binary search (``Bucketizer``, JVM side)."""
+    from pyspark.ml.feature import Bucketizer
+
     vals = vc
+    nd = vc.count()
+    n_ranges = int(min(max_ranges, max(n_ranges, nd // values_per_range + 1)))
     grid = [i / n_ranges for i in range(1, n_ranges)]
-    st = vc.agg(F.sum("w").alias("n"), F.percentile_approx("v", grid, 10000).alias("s")).first()
+    st = vc.agg(F.sum("w").alias("n"),
+                F.percentile_approx("v", grid, max(10_000, 10 * n_ranges)).alias("s")).first()
     n = st["n"]
     if not n:
         return vals.sparkSession.range(0).select(F.lit(None).cast("double").alias("p"),
                                                  F.lit(None).cast("double").alias(col)).limit(0)
-    splits = sorted(set(st["s"] or []))
-    # range index = number of splits below the value (splits: a literal array)
-    rng = F.size(F.filter(F.array(*[F.lit(float(s)) for s in splits]), lambda s: s < F.col("v"))) \
-        if splits else F.lit(0)
-    ranged = vc.withColumn("_r", rng)
+    splits = [float("-inf")] + sorted({float(x) for x in (st["s"] or [])}) + [float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol="v", outputCol="_r").transform(vc)
     tot = ranged.groupBy("_r").agg(F.sum("w").alias("_rt"))
     before = tot.withColumn("_rb", F.coalesce(F.sum("_rt").over(
         Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
