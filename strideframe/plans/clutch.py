@@ -18,7 +18,7 @@ MIN_PERIOD = 4
 CLUTCH_SECONDS = 300
 CLUTCH_MARGIN = 5
 BALL_HEIGHT_M = 2.0
-FILL_BUCKET_SECONDS = 60
+FILL_BUCKET_SECONDS = 1
 
 
 def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SECONDS,
@@ -26,7 +26,11 @@ def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SEC
     """Shots (made/missed) with ``margin_filled``: last non-null score margin
     within the game in time order (period asc, clock desc, event number asc —
     the event number breaks ties at equal clocks, H2).  As in the reference,
-    only shot rows are seen by the fill unless ``fill_before_filter`` (H3)."""
+    only shot rows are seen by the fill unless ``fill_before_filter`` (H3).
+
+    The fill runs per (game, period, clock second): a window group holds the
+    events of one game-second, and the carry-in table has at most one row per
+    period and second of a game, whatever the data volume."""
     ev = events.withColumn("game_clock_seconds", S.clock_to_seconds("pctimestring"))
     is_shot = F.col("eventmsgtype").isin(S.EVENT_MADE, S.EVENT_MISSED)
     if not fill_before_filter:
