@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest row count of a derived side that may be broadcast.  Above it the
@@ -24,72 +24,119 @@ def fits_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> bool
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """(side, small): the side broadcast when it has at most ``max_rows`` rows.
-
-    The side is persisted while it is counted, so a small side is computed
-    once (the count fills the cache, the join reads it; a lost block is
-    recomputed from lineage).  A side over the bound is unpersisted and left
-    to a shuffle join."""
+def persist_if_small(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """(side, small): ``df`` persisted and counted; kept persisted when it has
+    at most ``max_rows`` rows (so it is computed once for every later use —
+    a lost block is recomputed from lineage), otherwise released."""
     if not max_rows:
         return df, False
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     if cached.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(cached), True
+        return cached, True
     cached.unpersist()
     return df, False
 
 
-def _cond(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> Column:
-    c = None
-    for lc, rc in on:
-        e = left[lc] == right[rc]
-        c = e if c is None else c & e
-    return c
+def maybe_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """(side, small): the side broadcast when it has at most ``max_rows`` rows
+    (``persist_if_small``); a side over the bound is left to a shuffle join."""
+    side, small = persist_if_small(df, max_rows)
+    return (F.broadcast(side), True) if small else (side, False)
 
 
 def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_t: str,
                   right_t: str, right_cols: Sequence[str], later_first: bool = True,
                   broadcast_rows: int | None = BROADCAST_ROWS, tolerance: float | None = None,
-                  diff_col: str = "clock_diff") -> DataFrame:
-    """For every ``left`` row, the ``right`` row with equal keys and
-    the smallest ``abs(right_t - left_t)``; ties go to the larger
+                  diff_col: str = "clock_diff", bucket_width: float | None = 60.0) -> DataFrame:
+    """J6/J7 as-of match: for every ``left`` row, the ``right`` row with equal
+    keys and the smallest ``abs(right_t - left_t)``; ties go to the larger
     ``right_t`` (earlier on a count-down clock) when ``later_first``, then to
-    the smaller ``right_cols`` values.  Left rows without a candidate are
-    dropped (inner semantics).  ``left`` rows must be distinct.
-
-    With ``tolerance`` the candidates are limited to ``abs(diff) <= tolerance``
-    and the time axis becomes part of the equi-key: right rows carry
-    ``floor(t / tolerance)``, left rows the (at most three) buckets their band
-    touches — so a few hot keys do not turn into a per-key cross product.
-
-    The pick is an aggregate (``min`` of a struct) so it is combined
-    map-side; the join broadcasts ``left`` only behind a row-count check.
+    the smaller ``right_cols`` values.  Left rows without a candidate (or
+    with a null key or time) are dropped (inner semantics); identical left
+    rows give one result row.  With ``tolerance`` the match must lie within
+    ``abs(diff) <= tolerance`` — the nearest row overall, kept only when it is
+    that close, which is the nearest row inside the band.
+
+    Sort-based, no pairs: both sides are unioned and sorted by time within
+    (key, time bucket); the nearest right row before and after each left row
+    come from two growing-frame windows (``last`` ignoring nulls, one in each
+    time direction).  ``bucket_width`` splits a key's time axis so a hot key
+    is spread over many tasks: the right row that precedes / follows a bucket
+    (from the nearest earlier / later bucket that has right rows) comes from a
+    per-bucket aggregate and is added to the bucket as a sentinel row.  The
+    work is linear in the rows; nothing is built per pair.
+
+    When ``left`` passes the size check its keys filter ``right`` map-side
+    (broadcast semi join), so only candidate rows are shuffled.
     """
     right_cols = list(right_cols)
     lcols = left.columns
-    r = right.select(*[F.col(rc).alias(f"_r_{rc}") for _, rc in on],
-                     F.col(right_t).alias("_r_t"), *[F.col(c).alias(f"_r_{c}") for c in right_cols])
-    on_r = [(lc, f"_r_{rc}") for lc, rc in on]
-    lt = left
-    if tolerance is not None:
-        tol = float(tolerance)
-        r = r.withColumn("_r_b", F.floor(F.col("_r_t") / F.lit(tol)))
-        lt = left.withColumn("_l_b", F.explode(F.sequence(
-            F.floor((F.col(left_t) - F.lit(tol)) / F.lit(tol)),
-            F.floor((F.col(left_t) + F.lit(tol)) / F.lit(tol)))))
-        on_r = on_r + [("_l_b", "_r_b")]
-    lb, _ = maybe_broadcast(lt, broadcast_rows)
-    j = lb.join(r, _cond(lb, r, on_r), "inner")
-    diff = F.abs(F.col("_r_t") - F.col(left_t))
+    keys = [lc for lc, _ in on]
+    r_t_type = right.schema[right_t].dataType
+    lp, small = persist_if_small(left, broadcast_rows)
+    r = right.select(*[F.col(rc).alias(lc) for lc, rc in on], F.col(right_t).alias("_t"),
+                     *[F.col(c) for c in right_cols if c != right_t])
+    if small:
+        r = r.join(F.broadcast(lp.select(*keys)), keys, "left_semi")
+    valid = F.col("_t").isNotNull()
+    for k in keys:
+        valid = valid & F.col(k).isNotNull()
+    extra = [c for c in right_cols if c != right_t]
+
+    def tie_key(prefix: str = "") -> Column:
+        return F.struct(*[F.col(prefix + c).alias(c) for c in extra]) if extra else F.struct(F.lit(0).alias("_z"))
+
+    rstruct = F.struct(F.col("_t").alias("t"), *[F.col(c) for c in extra])
+    rows_r = r.filter(valid).select(*keys, "_t", F.lit(0).alias("_side"), rstruct.alias("_r"),
+                                    tie_key().alias("_rk"),
+                                    F.lit(None).cast(lp.select(F.struct(*lcols)).schema[0].dataType).alias("_l"))
+    lsel = lp.select(*keys, F.col(left_t).alias("_t"), F.struct(*lcols).alias("_l"))
+    rows_l = lsel.filter(valid).select(*keys, "_t", F.lit(1).alias("_side"),
+                                       F.lit(None).cast(rows_r.schema["_r"].dataType).alias("_r"),
+                                       F.lit(None).cast(rows_r.schema["_rk"].dataType).alias("_rk"), "_l")
+    both = rows_r.unionByName(rows_l)
+    part = list(keys)
+    if bucket_width:
+        both = both.withColumn("_b", F.floor(F.col("_t") / F.lit(float(bucket_width))))
+        part.append("_b")
+        is_r = F.col("_side") == 0
+        bt = both.groupBy(*keys, "_b").agg(
+            F.max("_side").alias("_has_l"),
+            F.min(F.when(is_r, F.struct((-F.col("_t")).alias("nt"), "_rk", "_r"))).alias("_last"),
+            F.min(F.when(is_r, F.struct("_t", "_rk", "_r"))).alias("_first"))
+        up = Window.partitionBy(*keys).orderBy(F.col("_b").asc()).rowsBetween(Window.unboundedPreceding, -1)
+        down = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carry = bt.select(*keys, "_b", "_has_l",
+                          F.last(F.col("_last._r"), ignorenulls=True).over(up).alias("_pc"),
+                          F.last(F.col("_first._r"), ignorenulls=True).over(down).alias("_nc"))
+        sent = (carry.filter(F.col("_has_l") == 1)
+                     .select(*keys, "_b", F.explode(F.array("_pc", "_nc")).alias("_r"))
+                     .filter(F.col("_r").isNotNull())
+                     .select(*keys, F.col("_r.t").alias("_t"), F.lit(0).alias("_side"), "_r",
+                             tie_key("_r.").alias("_rk"),
+                             F.lit(None).cast(rows_r.schema["_l"].dataType).alias("_l"), "_b"))
+        both = both.unionByName(sent)
+    tail = [F.col("_side").asc(), F.col("_rk").desc(), F.col("_l").asc()]
+    fwd = Window.partitionBy(*part).orderBy(F.col("_t").asc(), *tail)
+    bwd = Window.partitionBy(*part).orderBy(F.col("_t").desc(), *tail)
+    grow = (Window.unboundedPreceding, 0)
+    picked = both.select(
+        "_side", "_t", "_l",
+        F.last("_r", ignorenulls=True).over(fwd.rowsBetween(*grow)).alias("_p"),
+        F.last("_r", ignorenulls=True).over(bwd.rowsBetween(*grow)).alias("_n"),
+        F.lag("_l").over(fwd).eqNullSafe(F.col("_l")).alias("_dup"))
+    picked = picked.filter((F.col("_side") == 1) & ~F.col("_dup"))
+    dp, dn = F.abs(F.col("_p.t") - F.col("_t")), F.abs(F.col("_n.t") - F.col("_t"))
+    take_next = F.col("_p").isNull() | (F.col("_n").isNotNull() & (
+        (dn < dp) | ((dn == dp) & F.lit(bool(later_first)))))
+    best = F.when(take_next, F.col("_n")).otherwise(F.col("_p"))
+    out = picked.select("_t", "_l", best.alias("_m")).filter(F.col("_m").isNotNull()) \
+                .withColumn("_d", F.abs(F.col("_m.t") - F.col("_t")))
     if tolerance is not None:
-        j = j.filter(diff <= F.lit(float(tolerance)))
-    tkey = -F.col("_r_t") if later_first else F.col("_r_t")
-    best = j.groupBy(*[F.col(c) for c in lcols]).agg(
-        F.min(F.struct(diff.alias("d"), tkey.alias("k"), *[F.col(f"_r_{c}").alias(c) for c in right_cols],
-                       F.col("_r_t").alias("t"))).alias("_m"))
-    return best.select(*lcols, F.col("_m.t").alias(right_t), F.col("_m.d").alias(diff_col),
-                       *[F.col(f"_m.{c}").alias(c) for c in right_cols if c != right_t])
+        out = out.filter(F.col("_d") <= F.lit(float(tolerance)))
+    return out.select(*[F.col(f"_l.{c}").alias(c) for c in lcols],
+                      F.col("_m.t").cast(r_t_type).alias(right_t), F.col("_d").alias(diff_col),
+                      *[F.col(f"_m.{c}").alias(c) for c in extra])
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:

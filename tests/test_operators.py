@@ -178,3 +178,36 @@ def test_random_repartition_invariance(spark):
     a = dedupe(moments_df(spark, data), MOMENT_KEY, TIE_BREAK)
     b = dedupe(moments_df(spark, list(reversed(data))).repartition(7), MOMENT_KEY, TIE_BREAK)
     assert rows(a) == rows(b)
+
+
+def _brute_nearest(left, right, tol=None):
+    """Pure-Python reference: min over (d, -t, x) per distinct left row."""
+    out = set()
+    for (g, p, t) in set(left):
+        cands = [(abs(rt - t), -rt, x, rt) for (rg, rp, rt, x) in right if (rg, rp) == (g, p)]
+        if tol is not None:
+            cands = [c for c in cands if c[0] <= tol]
+        if cands:
+            d, _, x, rt = min(cands)
+            out.add((g, p, t, rt, x))
+    return out
+
+
+@pytest.mark.parametrize("width", [None, 0.7, 3.0, 50.0])
+def test_nearest_match_bucketed_matches_brute_force(spark, width):
+    rnd = random.Random(7)
+    # key (1, 1) is hot: most rows of both sides; clocks on a coarse grid so ties occur
+    right = [(1 if rnd.random() < 0.7 else rnd.randint(2, 3), rnd.randint(1, 2),
+              rnd.randint(0, 80) / 4, float(rnd.randint(0, 3))) for _ in range(400)]
+    left = [(1 if rnd.random() < 0.7 else rnd.randint(2, 4), rnd.randint(1, 2), rnd.randint(-8, 90) / 4)
+            for _ in range(120)]
+    left += left[:10]                       # identical left rows collapse to one result
+    L = spark.createDataFrame(left, "g long, p long, t double").repartition(3)
+    R = spark.createDataFrame(right, "g long, p long, clock double, x double").repartition(5)
+    on = [("g", "g"), ("p", "p")]
+    for bro in (None, 10_000):
+        got = nearest_match(L, R, on, "t", "clock", ["x"], broadcast_rows=bro, bucket_width=width)
+        assert {(r.g, r.p, r.t, r.clock, r.x) for r in got.collect()} == _brute_nearest(left, right)
+        assert got.count() == len(_brute_nearest(left, right))
+        tol = nearest_match(L, R, on, "t", "clock", ["x"], broadcast_rows=bro, bucket_width=width, tolerance=0.5)
+        assert {(r.g, r.p, r.t, r.clock, r.x) for r in tol.collect()} == _brute_nearest(left, right, 0.5)
