@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideframe.session import reliable_checkpoint
+
 
 def _w(weight) -> Column:
     if weight is None:
@@ -90,14 +91,16 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight=None
     return quantiles_from_counts(value_weights(df, col, weight), probs, col, n_ranges)
 
 
-def value_weights(df: DataFrame, col: str, weight=None, persist: bool = True) -> DataFrame:
+def value_weights(df: DataFrame, col: str, weight=None, materialise: bool = True) -> DataFrame:
     """(v, w): distinct non-null values of ``col`` with their total weight —
-    a combining aggregate, bounded by the number of distinct values.  It is
-    persisted (recomputable from lineage) because the quantile and summary
-    steps read it more than once."""
+    a combining aggregate, bounded by the number of distinct values (which
+    can approach the row count for measured doubles).  The quantile and
+    summary steps read it several times, so it is written once to the shared
+    checkpoint folder (``reliable_checkpoint``): later reads neither replay
+    the upstream pipeline nor depend on any executor's cached blocks."""
     vals = df.select(F.col(col).cast("double").alias("v"), _w(weight).alias("w")).filter(F.col("v").isNotNull())
     vc = vals.groupBy("v").agg(F.sum("w").alias("w")).filter(F.col("w") > 0)
-    return vc.persist(StorageLevel.MEMORY_AND_DISK) if persist else vc
+    return reliable_checkpoint(vc, "value-weights") if materialise else vc
 
 
 def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], col: str = "v",

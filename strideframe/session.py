@@ -79,9 +79,24 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     return base.rstrip("/") + "/" + name + "-" + uuid.uuid4().hex[:12]
 
 
+def reliable_checkpoint(df, name: str = "table"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and return a frame that reads it back — lineage cut at the files.
+
+    For intermediate tables that are read several times and may be large:
+    the files survive the loss of any executor, so a later read never
+    replays the upstream shuffles, and the columnar files are cheaper to
+    re-read than an RDD checkpoint.  Each call writes a new folder."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for helpers that need a plain path."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "cluster_conf", "apply_if_unset", "shared_dir", "local_path", "os"]
+__all__ = ["build_session", "cluster_conf", "apply_if_unset", "shared_dir", "reliable_checkpoint",
+           "local_path", "os"]
