@@ -100,14 +100,17 @@ def next_within(df: DataFrame, keys: Sequence[str], t: str, ascending: bool, car
     margin = w * 1e-9
     tc = F.col(t)
     b = F.floor(tc / F.lit(w))
-    own = df.withColumn("_b", b).withColumn("_copy", F.lit(False))
     if ascending:   # successors have larger t: rows near a bucket's lower edge serve the bucket below
         near = F.floor((tc - F.lit(h + margin)) / F.lit(w)) < b
-        copies = df.filter(near).withColumn("_b", b - 1)
+        other = b - 1
     else:           # count-down clock: rows near a bucket's upper edge serve the bucket above
         near = F.floor((tc + F.lit(h + margin)) / F.lit(w)) > b
-        copies = df.filter(near).withColumn("_b", b + 1)
-    both = own.unionByName(copies.withColumn("_copy", F.lit(True)))
+        other = b + 1
+    # one pass over the input: every row in its own bucket (position 0), a
+    # row near the edge also as a copy in the neighbouring bucket (position 1)
+    both = df.select("*", F.posexplode(F.when(near, F.array(b, other)).otherwise(F.array(b)))
+                           .alias("_copy", "_b"))
+    both = both.withColumn("_copy", F.col("_copy") == 1)
     order = [tc.asc() if ascending else tc.desc()] + [F.col(c).asc() for c in tie_break]
     win = Window.partitionBy(*keys, "_b").orderBy(*order)
     out = both.select("*", *[F.lead(c).over(win).alias(prefix + c) for c in carry])
