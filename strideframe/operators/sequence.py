@@ -61,9 +61,19 @@ def next_in_sequence(df: DataFrame, keys: Sequence[str], order: Order, carry: Se
         return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in carry])
 
     base, bnames, added = _add_buckets(df, buckets)
-    # first row of every (entity, bucket)
-    heads = base.groupBy(*keys, *bnames).agg(
-        F.min(F.struct(*_asc_key(order), *[F.col(c).alias(c) for c in carry])).alias("_h"))
+    # first row of every (entity, bucket).  Order columns that are bucket
+    # columns are constant within a bucket; when one order column remains,
+    # min_by / max_by pick the row with fixed-width buffers (hash aggregate,
+    # no map-side sort); otherwise the minimum of an order struct.
+    inner = [(c, asc) for c, asc in order if c not in bnames]
+    if len(inner) == 1:
+        c0, asc0 = inner[0]
+        pick = F.min_by if asc0 else F.max_by
+        heads = base.groupBy(*keys, *bnames).agg(
+            F.struct(*[pick(F.col(c), F.col(c0)).alias(c) for c in carry]).alias("_h"))
+    else:
+        heads = base.groupBy(*keys, *bnames).agg(
+            F.min(F.struct(*_asc_key(order), *[F.col(c).alias(c) for c in carry])).alias("_h"))
     wb = Window.partitionBy(*keys).orderBy(*_sort([(b, asc) for b, _, asc in buckets]))
     nxt = heads.select(*keys, *bnames, F.lead("_h").over(wb).alias("_h")).filter(F.col("_h").isNotNull())
     # sentinel rows: the next bucket's first row, sorted after every real row
