@@ -205,12 +205,36 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
 
 # ---------------------------------------------------------------- profile
 
-def profile(df: DataFrame, table: str) -> DataFrame:
+def profile(df: DataFrame, table: str, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Q5 (A10, A17, A18): per column — type, non-null and null counts, null
     percent (1 decimal), distinct values, and a deterministic sample (the
-    smallest value).  One pass: values are unpivoted to (column, value) and
-    reduced per distinct pair map-side, so a hot value costs nothing."""
+    smallest value).
+
+    Exact: values are unpivoted to (column, value) and reduced per distinct
+    pair map-side, so a hot value costs nothing; the shuffle carries every
+    distinct (column, value) pair.  ``approx=True`` replaces the distinct
+    count with a HyperLogLog++ sketch per column (relative error ``rsd``):
+    one aggregate over the table, partial sketches combined map-side, one
+    row out — the choice for very large, high-cardinality tables."""
     fields = df.schema.fields
+    if approx:
+        aggs = [F.count(F.lit(1)).alias("_rows")]
+        for i, f in enumerate(fields):
+            c = F.col(f"`{f.name}`")
+            aggs += [F.count(c).alias(f"_nn{i}"), F.approx_count_distinct(c, rsd).alias(f"_nd{i}"),
+                     F.min(c).cast("string").alias(f"_mn{i}")]
+        one = df.agg(*aggs)
+        per = one.select(F.explode(F.array(*[
+            F.struct(F.lit(f.name).alias("column"), F.lit(i).alias("ordinal"),
+                     F.lit(f.dataType.simpleString()).alias("dtype"), F.col("_rows").alias("rows"),
+                     F.col(f"_nn{i}").alias("non_null"), F.col(f"_nd{i}").alias("nunique"),
+                     F.col(f"_mn{i}").alias("sample"))
+            for i, f in enumerate(fields)])).alias("p")).select("p.*")
+        return per.select(F.lit(table).alias("table_name"), "column", "ordinal", "dtype", "rows", "non_null",
+                          (F.col("rows") - F.col("non_null")).alias("nulls"),
+                          F.round(F.try_divide(F.col("rows") - F.col("non_null"), F.col("rows")) * 100, 1)
+                          .alias("null_pct"),
+                          "nunique", "sample")
     cells = F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
                  F.lit(i).alias("ordinal"), F.col(f"`{f.name}`").cast("string").alias("value"))

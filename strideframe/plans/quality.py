@@ -16,11 +16,12 @@ from strideframe.plans.distance import dedupe_moments
 MOMENT = ["game_id", "quarter", "game_clock"]
 
 
-def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Q5: column profile of several tables, stacked."""
+def table_profile(tables: dict[str, DataFrame], approx: bool = False) -> DataFrame:
+    """Q5: column profile of several tables, stacked (``approx``: sketched
+    distinct counts, see ``profile``)."""
     out = None
     for name, df in tables.items():
-        p = profile(df, name)
+        p = profile(df, name, approx=approx)
         out = p if out is None else out.unionByName(p)
     return out
 

@@ -63,14 +63,19 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A path under the cluster's shared checkpoint folder.
 
     Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local runs, tests) a private folder is created and registered as the
-    checkpoint dir, so ``DataFrame.checkpoint()`` works as well.
+    on a local master (local runs, tests) a private folder is created and
+    registered as the checkpoint dir, so ``DataFrame.checkpoint()`` works as
+    well; on a cluster an unset setting is an error, never a machine-local
+    folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = jdir.get() if jdir.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(a distributed file system or object store)")
         base = tempfile.mkdtemp(prefix="strideframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

@@ -211,3 +211,18 @@ def test_nearest_match_bucketed_matches_brute_force(spark, width):
         assert got.count() == len(_brute_nearest(left, right))
         tol = nearest_match(L, R, on, "t", "clock", ["x"], broadcast_rows=bro, bucket_width=width, tolerance=0.5)
         assert {(r.g, r.p, r.t, r.clock, r.x) for r in tol.collect()} == _brute_nearest(left, right, 0.5)
+
+
+def test_profile_approx_agrees_with_exact(spark):
+    rnd = random.Random(3)
+    data = [(i % 37, None if i % 5 == 0 else rnd.choice("abcdefg"), float(i % 11) if i % 7 else None)
+            for i in range(2000)]
+    df = spark.createDataFrame(data, "a long, b string, c double")
+    ex = {r.column: r for r in profile(df, "t").collect()}
+    ap = {r.column: r for r in profile(df, "t", approx=True).collect()}
+    assert set(ex) == set(ap)
+    for c in ex:
+        e, a = ex[c], ap[c]
+        assert (e.ordinal, e.dtype, e.rows, e.non_null, e.nulls, e.null_pct, e.sample) == \
+               (a.ordinal, a.dtype, a.rows, a.non_null, a.nulls, a.null_pct, a.sample)
+        assert abs(a.nunique - e.nunique) <= max(1, 0.05 * e.nunique)
