@@ -31,6 +31,39 @@ def time_buckets(t: str, width: float, ascending: bool = False, name: str = "_tb
     return [(name, F.floor(F.col(t) / F.lit(float(width))), ascending)]
 
 
+def equi_depth_buckets(df: DataFrame, t: str, rows_per_bucket: int = 1_000_000,
+                       max_buckets: int = 100_000, ascending: bool = True,
+                       name: str = "_qb") -> tuple[DataFrame, list]:
+    """Order-preserving time buckets sized from the data: about
+    ``rows_per_bucket`` rows each, over all entities together.
+
+    Split points are quantiles of ``t`` over the whole input (one count and
+    one sketch aggregate; only the split points reach the driver).  Because
+    the buckets are equi-depth globally, an entity that holds a large share
+    of all rows — or rows crowded into a short interval — is cut into
+    proportionally many buckets: no (entity, bucket) group is much larger
+    than ``rows_per_bucket``.  A value's bucket is found by binary search
+    (``Bucketizer``, JVM side).  Returns (frame with the bucket column,
+    bucket spec for ``next_in_sequence`` / ``forward_fill``, ordered like the
+    sequence: ``ascending`` when ``t`` is sorted ascending); with fewer rows
+    than one bucket the spec is empty (plain windows)."""
+    from pyspark.ml.feature import Bucketizer
+
+    n = df.select(t).filter(F.col(t).isNotNull()).count()
+    k = int(min(max_buckets, -(-n // max(1, rows_per_bucket))))
+    if k <= 1:
+        return df, []
+    grid = [i / k for i in range(1, k)]
+    cuts = df.agg(F.percentile_approx(F.col(t).cast("double"), grid, max(10_000, 10 * k)).alias("s")).first()["s"]
+    splits = [float("-inf")] + sorted({float(x) for x in cuts or []}) + [float("inf")]
+    if len(splits) <= 2:
+        return df, []
+    tmp = "_qb_src"
+    out = Bucketizer(splits=splits, inputCol=tmp, outputCol=name, handleInvalid="keep").transform(
+        df.withColumn(tmp, F.col(t).cast("double"))).drop(tmp)
+    return out, [(name, None, ascending)]
+
+
 def _sort(order: Order) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
