@@ -40,23 +40,28 @@ def percent_of(part, whole, digits: int = 2) -> Column:
 def pivot_rates(df: DataFrame, key: str, category: str, categories: Sequence[str], success: Column,
                 names: dict[str, tuple[str, str, str]] | None = None, digits: int = 2) -> DataFrame:
     """Attempts and successes per (key, category), pivoted on a fixed
-    category list, missing cells filled with 0, rate = 0.0 when there are no
-    attempts else round(made / attempts).
+    category list, missing cells 0, rate = 0.0 when there are no attempts
+    else round(made / attempts).
+
+    With the category list fixed, the pivot is a set of conditional counts
+    in one aggregate (``count_if`` per category): one shuffle of partial
+    counts, hash aggregation in codegen — instead of an aggregate per
+    (key, category) followed by a pivot aggregate.  A key whose rows all fall
+    outside the list still appears, with zeros (as with a pivot).
 
     names maps a category to (rate column, attempts column, made column);
     default ``{cat}_rate``, ``nb_{cat}``, ``nb_{cat}_made``.
     """
-    counts = df.groupBy(key, category).agg(
-        F.count(F.lit(1)).alias("shots"),
-        F.sum(F.when(success, 1).otherwise(0)).alias("made"))
-    piv = (counts.groupBy(key).pivot(category, list(categories))
-                 .agg(F.first("shots").alias("shots"), F.first("made").alias("made"))
-                 .na.fill(0))
+    aggs = []
+    for i, cat in enumerate(categories):
+        is_c = F.col(category) == F.lit(cat)
+        aggs += [F.count_if(is_c).alias(f"_s{i}"), F.count_if(is_c & success).alias(f"_m{i}")]
+    counts = df.groupBy(key).agg(*aggs)
     cols = [F.col(key)]
-    for cat in categories:
+    for i, cat in enumerate(categories):
         rate, nb, made = (names or {}).get(cat, (f"{cat}_rate", f"nb_{cat}", f"nb_{cat}_made"))
-        cols.append(guarded_ratio(F.col(f"`{cat}_made`"), F.col(f"`{cat}_shots`"), digits).alias(rate))
-        cols.append(F.col(f"`{cat}_shots`").cast("bigint").alias(nb))
+        cols.append(guarded_ratio(F.col(f"_m{i}"), F.col(f"_s{i}"), digits).alias(rate))
+        cols.append(F.col(f"_s{i}").alias(nb))
         if made:
-            cols.append(F.col(f"`{cat}_made`").cast("bigint").alias(made))
-    return piv.select(*cols)
+            cols.append(F.col(f"_m{i}").alias(made))
+    return counts.select(*cols)

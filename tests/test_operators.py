@@ -226,3 +226,12 @@ def test_profile_approx_agrees_with_exact(spark):
         assert (e.ordinal, e.dtype, e.rows, e.non_null, e.nulls, e.null_pct, e.sample) == \
                (a.ordinal, a.dtype, a.rows, a.non_null, a.nulls, a.null_pct, a.sample)
         assert abs(a.nunique - e.nunique) <= max(1, 0.05 * e.nunique)
+
+
+def test_pivot_rates_keys_outside_the_list(spark):
+    """A key whose rows all have other (or null) categories still appears,
+    with zero attempts — the same rows a pivot on the fixed list gives."""
+    df = spark.createDataFrame([(1, "2pt", 1), (2, "free", 1), (3, None, 1), (3, "3pt", None)],
+                               "player_id long, shot_type string, event_type int")
+    out = pivot_rates(df, "player_id", "shot_type", ["2pt", "3pt"], F.col("event_type") == 1)
+    assert rows(out) == [(1, 1.0, 1, 1, 0.0, 0, 0), (2, 0.0, 0, 0, 0.0, 0, 0), (3, 0.0, 0, 0, 0.0, 1, 0)]
