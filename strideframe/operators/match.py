@@ -140,10 +140,17 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys_df`` (no duplication)."""
-    return df.join(keys_df.select(*on), list(on), "left_semi")
+    """Rows of ``df`` whose key is in ``keys_df`` (no duplication).
+
+    The key side is reduced to distinct keys first (a combining aggregate),
+    so a key repeated many times on that side reaches the join as one row;
+    a hot key on ``df``'s side is split by AQE's skew handling (the left side
+    of a semi join may be split).  A small key set is broadcast by AQE from
+    its measured size."""
+    return df.join(keys_df.select(*on).distinct(), list(on), "left_semi")
 
 
 def anti_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``keys_df``."""
-    return df.join(keys_df.select(*on), list(on), "left_anti")
+    """Rows of ``df`` whose key is not in ``keys_df`` (key side reduced
+    to distinct keys first, as in ``semi_join``)."""
+    return df.join(keys_df.select(*on).distinct(), list(on), "left_anti")

@@ -467,3 +467,19 @@ ORACLES["duplicate_keys"] = with_views("""
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct, CAST(sum(n) - count(*) AS BIGINT) AS n_duplicates
 FROM (SELECT count(*) AS n FROM moments GROUP BY game_id, player_id, quarter, game_clock) a
 """)
+
+ORACLES["ball_rows_in_shots"] = with_views("""
+SELECT m.game_id, m.event_id, m.quarter, m.game_clock, m.radius
+FROM moments m
+WHERE m.player_id = -1
+  AND EXISTS (SELECT 1 FROM events_pbp e
+              WHERE e.eventmsgtype IN (1, 2) AND e.game_id = m.game_id AND e.eventnum = m.event_id)
+""")
+
+ORACLES["untracked_made_events"] = with_views("""
+SELECT DISTINCT e.game_id, e.eventnum AS event_id
+FROM events_pbp e
+WHERE e.eventmsgtype = 1
+  AND NOT EXISTS (SELECT 1 FROM moments m
+                  WHERE m.player_id = -1 AND m.game_id = e.game_id AND m.event_id = e.eventnum)
+""")

@@ -172,29 +172,37 @@ def height_coverage(moments: DataFrame, events: DataFrame, height: float = 2.0)
 
     Ball rows in shot events (made or missed), the share at or above
     ``height``; made-shot events with ball rows, without any, and with at
-    least one row at or above ``height``.  Events are keyed by (game, event)."""
+    least one row at or above ``height``.  Events are keyed by (game, event).
+
+    One pass per table: ball rows are reduced to (rows, high rows) per event
+    and events to (is shot, is made) per event — both partial aggregates,
+    one row per key — then full-outer joined, so the semi join (J8, ball rows
+    of shot events) and the anti join (J9, made events without ball rows)
+    become conditional counts over the joined table.  A key with null parts
+    never matches, as in an equi-join."""
     _, ball = split_roles(moments)
     ek = ["game_id", "event_id"]
-    ev = events.select("game_id", F.col("eventnum").alias("event_id"), "eventmsgtype")
-    shot_ev = ev.filter(F.col("eventmsgtype").isin(S.EVENT_MADE, S.EVENT_MISSED))
-    made_ev = ev.filter(F.col("eventmsgtype") == S.EVENT_MADE).select(*ek).distinct()
-    in_shots = semi_join(ball, shot_ev, ek)
     high = F.col("radius") >= F.lit(float(height))
-    a = ball.agg(F.count(F.lit(1)).alias("ball_rows"))
-    b = in_shots.agg(F.count(F.lit(1)).alias("ball_rows_in_shots"), F.count_if(high).alias("ball_rows_high"))
-    made_ball = semi_join(ball, made_ev, ek)
-    per_event = made_ball.groupBy(*ek).agg(F.max(high.cast("int")).alias("_hi"))
-    c = made_ev.agg(F.count(F.lit(1)).alias("made_events"))
-    d = per_event.agg(F.count(F.lit(1)).alias("made_with_ball"),
-                      F.coalesce(F.sum("_hi"), F.lit(0)).cast("bigint").alias("made_high"))
-    e = anti_join(made_ev, ball, ek).agg(F.count(F.lit(1)).alias("made_without_ball"))
-    parts = [a, b, c, d, e]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
+    per_ball = ball.groupBy(*ek).agg(F.count(F.lit(1)).alias("n"), F.count_if(high).alias("nh"))
+    per_ev = (events.select("game_id", F.col("eventnum").alias("event_id"), "eventmsgtype")
+                    .groupBy(*ek).agg(
+                        F.max(F.col("eventmsgtype").isin(S.EVENT_MADE, S.EVENT_MISSED)).alias("shot"),
+                        F.max(F.col("eventmsgtype") == S.EVENT_MADE).alias("made")))
+    j = per_ball.alias("b").join(per_ev.alias("e"),
+                                 (F.col("b.game_id") == F.col("e.game_id")) & (F.col("b.event_id") == F.col("e.event_id")),
+                                 "full_outer")
+    shot, made = F.coalesce(F.col("shot"), F.lit(False)), F.coalesce(F.col("made"), F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    out = j.agg(
+        F.coalesce(F.sum("n"), zero).alias("ball_rows"),
+        F.coalesce(F.sum(F.when(shot, F.col("n"))), zero).alias("ball_rows_in_shots"),
+        F.coalesce(F.sum(F.when(shot, F.col("nh"))), zero).alias("ball_rows_high"),
+        F.count_if(made).alias("made_events"),
+        F.count_if(made & F.col("n").isNotNull()).alias("made_with_ball"),
+        F.count_if(made & F.col("n").isNull()).alias("made_without_ball"),
+        F.count_if(made & (F.col("nh") > 0)).alias("made_high"))
     cols = ["ball_rows", "ball_rows_in_shots", "ball_rows_high", "made_events", "made_with_ball",
             "made_without_ball", "made_high"]
-    out = u.agg(*[F.max(c).alias(c) for c in cols])
     return out.select(
         *cols,
         F.round(F.try_divide(F.col("ball_rows_high") * 100.0, F.col("ball_rows_in_shots")), 1).alias("pct_high"),
@@ -202,6 +210,25 @@ def height_coverage(moments: DataFrame, events: DataFrame, height: float = 2.0)
         F.round(F.try_divide(F.col("made_high") * 100.0, F.col("made_events")), 1).alias("coverage_pct"))
 
 
+def _event_keys(events: DataFrame, types) -> DataFrame:
+    return (events.filter(F.col("eventmsgtype").isin(*types))
+                  .select("game_id", F.col("eventnum").alias("event_id")))
+
+
+def ball_rows_in_shots(moments: DataFrame, events: DataFrame) -> DataFrame:
+    """The ball samples that belong to a shot event (made or missed)."""
+    _, ball = split_roles(moments)
+    return semi_join(ball.select("game_id", "event_id", "quarter", "game_clock", "radius"),
+                     _event_keys(events, [S.EVENT_MADE, S.EVENT_MISSED]), ["game_id", "event_id"])
+
+
+def untracked_made_events(moments: DataFrame, events: DataFrame) -> DataFrame:
+    """Made-shot events (game, event) without any ball sample."""
+    _, ball = split_roles(moments)
+    made = _event_keys(events, [S.EVENT_MADE]).distinct()
+    return anti_join(made, ball, ["game_id", "event_id"])
+
+
 def low_ball_rows(moments_feet: DataFrame, below: float = 0.5, k: int = 20) -> DataFrame:
     """the ``k`` lowest ball samples under ``below`` (a top-k report;
     the order is total so the cut is deterministic)."""

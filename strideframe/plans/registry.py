@@ -303,3 +303,17 @@ QUERIES.update({
     "nearest_match_tolerance": q_nearest_match_tolerance,
     "duplicate_keys": q_duplicate_keys,
 })
+
+
+def q_ball_rows_in_shots(spark, sf):
+    return Q.ball_rows_in_shots(A.moments(spark, sf), A.events(spark, sf))
+
+
+def q_untracked_made_events(spark, sf):
+    return Q.untracked_made_events(A.moments(spark, sf), A.events(spark, sf))
+
+
+QUERIES.update({
+    "ball_rows_in_shots": q_ball_rows_in_shots,
+    "untracked_made_events": q_untracked_made_events,
+})
