@@ -153,17 +153,30 @@ def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], col: str = "v",
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std (sample), min, 25/50/75 %, max per column, one
-    row per column."""
+    row per column.
+
+    Every statistic is read from the column's materialised (value, weight)
+    table (``value_weights``), so the upstream pipeline runs once per column
+    however many passes the statistics need; the standard deviation is taken
+    about the mean (two passes over that table, numerically stable)."""
     out = None
+    names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     for c in cols:
-        base = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                      F.min(F.col(c).cast("double")).alias("min"), F.max(F.col(c).cast("double")).alias("max"))
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        qp = q.agg(*[F.max(F.when(F.col("p") == p, F.col(c))).alias(n)
-                     for p, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
+        vw = value_weights(df, c)
+        v, w = F.col("v"), F.col("w")
+        st = vw.agg(F.sum(w).alias("n"), F.sum(v * w).alias("s")).first()
+        n = st["n"] or 0
+        mean = st["s"] / n if n else None
+        dev = F.sum(w * F.pow(v - F.lit(mean), 2)) if mean is not None else F.lit(None).cast("double")
+        base = vw.agg(F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias("count"),
+                      F.lit(mean).cast("double").alias("mean"),
+                      F.when(F.lit(n) > 1, F.sqrt(dev / F.lit(max(n - 1, 1)))).alias("std"),
+                      F.min(v).alias("min"), F.max(v).alias("max"))
+        q = quantiles_from_counts(vw, [0.25, 0.5, 0.75], c)
+        qp = q.agg(*[F.max(F.when(F.col("p") == p, F.col(c))).alias(k)
+                     for p, k in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
         both = base.unionByName(qp, allowMissingColumns=True)
-        row = both.agg(*[F.max(k).alias(k) for k in ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]]) \
-                  .select(F.lit(c).alias("column"), "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+        row = both.agg(*[F.max(k).alias(k) for k in names]).select(F.lit(c).alias("column"), *names)
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -182,6 +195,10 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
         v = F.when(v.isNotNull(), F.least(v, F.lit(float(clip_upper))))
     vals = df.select(v.alias("v"), _w(weight).alias("w")).filter(F.col("v").isNotNull())
     if lo is None or hi is None:
+        # the range comes from the data: reduce to (value, weight) once and
+        # materialise it, so the edges and the counts do not both re-run the
+        # upstream pipeline
+        vals = reliable_checkpoint(vals.groupBy("v").agg(F.sum("w").alias("w")), "histogram-values")
         mm = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
         lo = mm["lo"] if lo is None else lo
         hi = mm["hi"] if hi is None else hi

@@ -235,3 +235,19 @@ def test_pivot_rates_keys_outside_the_list(spark):
                                "player_id long, shot_type string, event_type int")
     out = pivot_rates(df, "player_id", "shot_type", ["2pt", "3pt"], F.col("event_type") == 1)
     assert rows(out) == [(1, 1.0, 1, 1, 0.0, 0, 0), (2, 0.0, 0, 0, 0.0, 0, 0), (3, 0.0, 0, 0, 0.0, 1, 0)]
+
+
+def test_describe_matches_pandas(spark):
+    import pandas as pd
+    from strideframe.operators.profile import describe
+    rnd = random.Random(11)
+    vals = [rnd.choice([None, round(rnd.gauss(3.0, 2.0), 3), 1.5]) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = describe(df, ["x"]).first()
+    exp = pd.Series([v for v in vals if v is not None]).describe()
+    assert got["count"] == int(exp["count"])
+    for k, e in [("mean", "mean"), ("std", "std"), ("min", "min"), ("p25", "25%"), ("p50", "50%"),
+                 ("p75", "75%"), ("max", "max")]:
+        assert math.isclose(got[k], exp[e], rel_tol=1e-9, abs_tol=1e-12), k
+    one = describe(spark.createDataFrame([(2.0,), (None,)], "x double"), ["x"]).first()
+    assert one["count"] == 1 and one["mean"] == 2.0 and one["std"] is None and one["p50"] == 2.0
