@@ -51,6 +51,13 @@ def load_inputs(spark, data_dir: str, fmt: str = "csv"):
     return moments, events, minutes
 
 
+def input_bytes(spark, path: str) -> int:
+    """Total size of the files under ``path`` (Hadoop file system summary)."""
+    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jp.getFileSystem(spark._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jp).getLength())
+
+
 def run(spark, task: str, data_dir: str, out_dir: str, fmt: str = "csv", player: int = DEFAULT_PLAYER,
         header: bool = False) -> str:
     from strideframe.plans import clutch, distance, possession
@@ -91,6 +98,10 @@ def main(argv: list[str] | None = None) -> int:
         b = b.master(a.master)
     spark = b.getOrCreate()
     try:
+        # size shuffles and scan splits from the input volume, where the
+        # submitter has not set them (a metadata call, no data read)
+        from strideframe.session import apply_if_unset, cluster_conf
+        apply_if_unset(spark, cluster_conf(input_bytes(spark, _strip(a.data_dir))))
         path = run(spark, task, a.data_dir, a.out_dir, a.format, a.player, a.header)
         print(f"Saved: {path}")
     finally:

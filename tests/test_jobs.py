@@ -154,3 +154,13 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["player_id", "distance_per_quarter_m"] and df.count() > 0
     assert df.filter(F.col("distance_per_quarter_m").isNull()).count() == 0
+
+
+def test_cli_sizes_from_input_bytes(spark, tmp_path):
+    from strideframe.session import cluster_conf
+    d = tmp_path / "data"
+    _write_csv(str(d / "moments" / "g1.csv"), "GAME_ID,X", ["1,2"] * 100)
+    n = cli.input_bytes(spark, str(d))
+    assert n == os.path.getsize(d / "moments" / "g1.csv")
+    conf = cluster_conf(300 << 30)
+    assert conf["spark.sql.shuffle.partitions"] == str((300 << 30) // (256 << 20))
