@@ -164,3 +164,37 @@ def test_cli_sizes_from_input_bytes(spark, tmp_path):
     assert n == os.path.getsize(d / "moments" / "g1.csv")
     conf = cluster_conf(300 << 30)
     assert conf["spark.sql.shuffle.partitions"] == str((300 << 30) // (256 << 20))
+
+
+def test_distance_with_hot_player_and_copy_group(spark):
+    """One player holds most rows, crossing time-bucket edges, and one of its
+    keys is a group of 800 copies with different payloads: the result equals
+    a pure-Python dedupe (smallest event id, x, y) plus gap-guarded steps."""
+    import random
+    rnd = random.Random(21)
+    data = [(1, 1, 1, round(130.0 - 0.04 * i, 2), 7, rnd.uniform(0, 28), rnd.uniform(0, 15)) for i in range(2500)]
+    data += [(1, rnd.randint(1, 50), 1, 50.0, 7, rnd.uniform(0, 28), rnd.uniform(0, 15)) for _ in range(800)]
+    data += [(1, 1, 1, round(130.0 - 0.5 * i, 2), p, rnd.uniform(0, 28), rnd.uniform(0, 15))
+             for p in (8, 9) for i in range(100)]
+    rnd.shuffle(data)
+    m = moments_df(spark, data).repartition(7)
+    mins = _minutes(spark, [(7, 1440.0), (8, 720.0), (9, 720.0)])
+    got = {r.player_id: r.distance_per_quarter_m for r in distance_per_entity(m, mins).collect()}
+
+    keep = {}
+    for g, e, q, c, p, x, y in data:
+        k = (g, p, q, c)
+        if k not in keep or (e, x, y) < keep[k][:3]:
+            keep[k] = (e, x, y)
+    seg = {}
+    for (g, p, q, c), (_, x, y) in keep.items():
+        seg.setdefault((g, p, q), []).append((c, x, y))
+    tot = {}
+    for (g, p, q), pts in seg.items():
+        pts.sort(key=lambda t: -t[0])
+        tot[p] = tot.get(p, 0.0) + sum(math.hypot(a[1] - b[1], a[2] - b[2])
+                                       for a, b in zip(pts, pts[1:]) if a[0] - b[0] <= 0.5)
+    sec = {7: 1440.0, 8: 720.0, 9: 720.0}
+    assert set(got) == set(tot)
+    for p in tot:
+        assert math.isclose(got[p], tot[p] * 12 / (sec[p] / 60), abs_tol=0.0051)
