@@ -66,8 +66,11 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     per-bucket aggregate and is added to the bucket as a sentinel row.  The
     work is linear in the rows; nothing is built per pair.
 
-    When ``left`` passes the size check its keys filter ``right`` map-side
-    (broadcast semi join), so only candidate rows are shuffled.
+    Both sides are first reduced with combining aggregates — right rows to
+    one per (key, time), left rows to distinct rows — so a group of copies on
+    either side never reaches a window partition whole.  When ``left`` passes
+    the size check its keys filter ``right`` map-side (broadcast semi join),
+    so only candidate rows are shuffled.
     """
     right_cols = list(right_cols)
     lcols = left.columns
@@ -87,10 +90,17 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
         return F.struct(*[F.col(prefix + c).alias(c) for c in extra]) if extra else F.struct(F.lit(0).alias("_z"))
 
     rstruct = F.struct(F.col("_t").alias("t"), *[F.col(c) for c in extra])
-    rows_r = r.filter(valid).select(*keys, "_t", F.lit(0).alias("_side"), rstruct.alias("_r"),
-                                    tie_key().alias("_rk"),
-                                    F.lit(None).cast(lp.select(F.struct(*lcols)).schema[0].dataType).alias("_l"))
-    lsel = lp.select(*keys, F.col(left_t).alias("_t"), F.struct(*lcols).alias("_l"))
+    # Right rows at the same (key, time) can only ever contribute their
+    # smallest payload, so they are reduced to that row first: a combining
+    # aggregate that collapses any group of copies map-side, before a single
+    # row of it is shuffled into the windows.
+    best_r = (r.filter(valid).groupBy(*keys, "_t")
+               .agg(F.min(F.struct(tie_key().alias("rk"), rstruct.alias("r"))).alias("_m")))
+    rows_r = best_r.select(*keys, "_t", F.lit(0).alias("_side"), F.col("_m.r").alias("_r"),
+                           F.col("_m.rk").alias("_rk"),
+                           F.lit(None).cast(lp.select(F.struct(*lcols)).schema[0].dataType).alias("_l"))
+    # identical left rows give one result: collapsed the same way
+    lsel = lp.distinct().select(*keys, F.col(left_t).alias("_t"), F.struct(*lcols).alias("_l"))
     rows_l = lsel.filter(valid).select(*keys, "_t", F.lit(1).alias("_side"),
                                        F.lit(None).cast(rows_r.schema["_r"].dataType).alias("_r"),
                                        F.lit(None).cast(rows_r.schema["_rk"].dataType).alias("_rk"), "_l")

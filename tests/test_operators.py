@@ -251,3 +251,16 @@ def test_describe_matches_pandas(spark):
         assert math.isclose(got[k], exp[e], rel_tol=1e-9, abs_tol=1e-12), k
     one = describe(spark.createDataFrame([(2.0,), (None,)], "x double"), ["x"]).first()
     assert one["count"] == 1 and one["mean"] == 2.0 and one["std"] is None and one["p50"] == 2.0
+
+
+def test_nearest_match_copy_group_on_the_right(spark):
+    """300 right rows share one (key, time) with different payloads: the
+    smallest payload wins, exactly as the brute force picks it."""
+    rnd = random.Random(17)
+    right = [(1, 1, 5.0, float(rnd.randint(0, 50))) for _ in range(300)]
+    right += [(1, 1, rnd.randint(0, 40) / 4, float(rnd.randint(0, 3))) for _ in range(60)]
+    left = [(1, 1, rnd.randint(-4, 44) / 4) for _ in range(40)] + [(1, 1, 5.1)] * 3
+    L = spark.createDataFrame(left, "g long, p long, t double")
+    R = spark.createDataFrame(right, "g long, p long, clock double, x double").repartition(4)
+    got = nearest_match(L, R, [("g", "g"), ("p", "p")], "t", "clock", ["x"], bucket_width=2.0)
+    assert sorted((r.g, r.p, r.t, r.clock, r.x) for r in got.collect()) == sorted(_brute_nearest(left, right))
