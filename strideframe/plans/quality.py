@@ -10,7 +10,7 @@ from strideframe.operators.dedupe import split_roles
 from strideframe.operators.match import BROADCAST_ROWS, anti_join, nearest_match, semi_join
 from strideframe.operators.profile import (count_of_counts, exact_quantiles, profile, quantiles_from_counts,
                                            summary_from_counts, threshold_counts, value_weights)
-from strideframe.operators.sequence import next_in_sequence, time_buckets
+from strideframe.operators.sequence import equi_depth_buckets, next_in_sequence, time_buckets
 from strideframe.plans.distance import dedupe_moments
 
 MOMENT = ["game_id", "quarter", "game_clock"]
@@ -237,3 +237,27 @@ def low_ball_rows(moments_feet: DataFrame, below: float = 0.5, k: int = 20) -> D
                 .select("x_loc", "y_loc", "radius", "game_clock", "quarter", "game_id", "event_id")
                 .orderBy("radius", "game_id", "quarter", F.col("game_clock").desc(), "event_id", "x_loc", "y_loc")
                 .limit(k))
+
+
+def event_path_length(events: DataFrame, max_gap_us: int, rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """W1/W2 on a raw event stream (user_id, event_id, ts, value): per user,
+    the summed change of ``value`` between consecutive events (time order,
+    event id breaks ties) at most ``max_gap_us`` microseconds apart, the
+    number of such steps and the number of events."""
+    ev = events.select("user_id", "event_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
+    # exact copies are reduced to (row, multiplicity) by a combining
+    # aggregate: m copies are m - 1 in-gap steps of length 0 (when the time
+    # is known) plus one step from the last copy to the next distinct event
+    evc = ev.groupBy("user_id", "event_id", "value", "t_us").agg(F.count(F.lit(1)).alias("m"))
+    # equi-depth time buckets: a hot user (or a burst) is split over many
+    # window partitions; the next event across a bucket edge is carried in
+    evb, bspec = equi_depth_buckets(evc, "t_us", rows_per_bucket)
+    nx = next_in_sequence(evb, ["user_id"], [("t_us", True), ("event_id", True)], ["value", "t_us"],
+                          bspec or None)
+    ok = F.col("next_t_us").isNotNull() & ((F.col("next_t_us") - F.col("t_us")) <= F.lit(max_gap_us))
+    step = F.when(ok, F.abs(F.col("next_value") - F.col("value"))).otherwise(F.lit(0.0))
+    copy_steps = F.when(F.col("t_us").isNotNull(), F.col("m") - 1).otherwise(F.lit(0).cast("bigint"))
+    out = nx.groupBy("user_id").agg(F.sum(step).alias("path_length"),
+                                    (F.count_if(ok) + F.sum(copy_steps)).alias("n_steps"),
+                                    F.sum("m").alias("n_events"))
+    return out

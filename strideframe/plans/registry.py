@@ -104,7 +104,7 @@ from strideframe.plans import reports as R  # noqa: E402
 from strideframe.operators import profile as PR  # noqa: E402
 from strideframe.operators.rates import pivot_rates  # noqa: E402
 from strideframe.operators.score import linear_score_columns  # noqa: E402
-from strideframe.operators.sequence import equi_depth_buckets, head_k, next_in_sequence  # noqa: E402
+from strideframe.operators.sequence import head_k  # noqa: E402
 from strideframe.sources.readers import read_results  # noqa: E402
 from strideframe.sources.sinks import write_single_delimited  # noqa: E402
 from strideframe.session import shared_dir  # noqa: E402
@@ -227,17 +227,7 @@ def q_event_path_length(spark, sf):
     """W1/W2 on the raw event stream: per user, the summed change of
     ``value`` between consecutive events (time order, event id breaks ties)
     when they are at most 6 h apart."""
-    ev = A.table(spark, sf, "events").select(
-        "user_id", "event_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
-    # equi-depth time buckets: a hot user (or a burst) is split over many
-    # window partitions; the next event across a bucket edge is carried in
-    evb, bspec = equi_depth_buckets(ev, "t_us", EVENT_ROWS_PER_BUCKET)
-    nx = next_in_sequence(evb, ["user_id"], [("t_us", True), ("event_id", True)], ["value", "t_us"],
-                          bspec or None)
-    ok = F.col("next_t_us").isNotNull() & ((F.col("next_t_us") - F.col("t_us")) <= PATH_GAP_MICROS)
-    step = F.when(ok, F.abs(F.col("next_value") - F.col("value"))).otherwise(F.lit(0.0))
-    out = nx.groupBy("user_id").agg(F.sum(step).alias("path_length"), F.count_if(ok).alias("n_steps"),
-                                    F.count(F.lit(1)).alias("n_events"))
+    out = Q.event_path_length(A.table(spark, sf, "events"), PATH_GAP_MICROS, EVENT_ROWS_PER_BUCKET)
     return _round(out, ["path_length"])
 
 

@@ -198,3 +198,32 @@ def test_distance_with_hot_player_and_copy_group(spark):
     assert set(got) == set(tot)
     for p in tot:
         assert math.isclose(got[p], tot[p] * 12 / (sec[p] / 60), abs_tol=0.0051)
+
+
+def test_event_path_length_copies_and_hot_user(spark):
+    """A hot user with a 400-row group of exact copies and a burst; small
+    equi-depth buckets.  Equals a plain sort-and-step over the raw rows."""
+    import datetime as dt
+    import random
+    from strideframe.plans.quality import event_path_length
+    rnd = random.Random(4)
+    base = dt.datetime(2024, 1, 1)
+    rows_ = []
+    for i in range(1500):
+        u = 0 if rnd.random() < 0.6 else rnd.randint(1, 4)
+        rows_.append((u, i, base + dt.timedelta(minutes=rnd.randint(0, 3000)), float(rnd.randint(0, 9))))
+    rows_ += [(0, 99999, base + dt.timedelta(minutes=77), 5.0)] * 400
+    df = spark.createDataFrame(rows_, "user_id long, event_id long, ts timestamp, value double").repartition(5)
+    gap = 6 * 3600 * 1_000_000
+    got = {r.user_id: (round(r.path_length, 9), r.n_steps, r.n_events)
+           for r in event_path_length(df, gap, rows_per_bucket=60).collect()}
+    exp = {}
+    for u in {r[0] for r in rows_}:
+        ev = sorted((r for r in rows_ if r[0] == u), key=lambda r: (r[2], r[1]))
+        path, steps = 0.0, 0
+        for a, b in zip(ev, ev[1:]):
+            if (b[2] - a[2]).total_seconds() * 1_000_000 <= gap:
+                path += abs(b[3] - a[3])
+                steps += 1
+        exp[u] = (round(path, 9), steps, len(ev))
+    assert got == exp
