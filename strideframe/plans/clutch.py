@@ -22,7 +22,7 @@ FILL_BUCKET_SECONDS = 1
 
 
 def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SECONDS,
-                 fill_before_filter: bool = False) -> DataFrame:
+                 fill_before_filter: bool = False, broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
     """Shots (made/missed) with ``margin_filled``: last non-null score margin
     within the game in time order (period asc, clock desc, event number asc —
     the event number breaks ties at equal clocks, H2).  As in the reference,
@@ -30,7 +30,11 @@ def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SEC
 
     The fill runs per (game, period, clock second): a window group holds the
     events of one game-second, and the carry-in table has at most one row per
-    period and second of a game, whatever the data volume."""
+    period and second of a game, whatever the data volume.  It runs on
+    distinct rows (a combining aggregate folds copies map-side; a row's fill
+    depends only on its content), and every input row — copies included —
+    gets its value back by an equi-join on the whole row, broadcast behind
+    the size check, so no group of copies passes through one window task."""
     ev = events.withColumn("game_clock_seconds", S.clock_to_seconds("pctimestring"))
     is_shot = F.col("eventmsgtype").isin(S.EVENT_MADE, S.EVENT_MISSED)
     if not fill_before_filter:
@@ -40,7 +44,12 @@ def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SEC
     if bucket_seconds:
         buckets = [("period", None, True),
                    ("_cb", F.floor(F.col("game_clock_seconds") / F.lit(bucket_seconds)), False)]
-    out = forward_fill(ev, ["game_id"], order, "scoremargin", "margin_filled", buckets)
+    filled = forward_fill(ev.distinct(), ["game_id"], order, "scoremargin", "margin_filled", buckets)
+    side, small = maybe_broadcast(filled, broadcast_rows)
+    cols = ev.columns
+    cond = [F.col(f"_raw.{c}").eqNullSafe(F.col(f"_fill.{c}")) for c in cols]
+    out = (ev.alias("_raw").join(side.alias("_fill"), cond, "inner")
+             .select(*[F.col(f"_raw.{c}").alias(c) for c in cols], F.col("_fill.margin_filled")))
     return out.filter(is_shot) if fill_before_filter else out
 
 

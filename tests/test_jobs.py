@@ -227,3 +227,26 @@ def test_event_path_length_copies_and_hot_user(spark):
                 steps += 1
         exp[u] = (round(path, 9), steps, len(ev))
     assert got == exp
+
+
+def test_margin_fill_keeps_copies(spark):
+    """A 200-row group of exact copies: every copy is kept and gets the fill a
+    plain window over the raw rows gives."""
+    from pyspark.sql import Window
+    from strideframe.plans.clutch import fill_margins
+    cols = ("game_id long, eventnum long, eventmsgtype int, period int, pctimestring string, scoremargin string, "
+            "player1_id long, player1_name string, homedescription string, visitordescription string")
+    base = [(1, 1, 1, 4, "5:00", "3", 7, "a", None, None), (1, 2, 2, 4, "4:30", None, 7, "a", None, None),
+            (1, 3, 1, 4, "4:00", "TIE", 8, "b", None, None), (1, 4, 2, 4, "3:59", None, 8, "b", None, None),
+            (2, 1, 2, 1, "11:00", None, 9, "c", None, None)]
+    data = base + [base[1]] * 200 + [base[3]] * 3
+    ev = spark.createDataFrame(data, cols).repartition(4)
+    got = fill_margins(ev)
+    assert got.count() == len(data)
+    w = (Window.partitionBy("game_id").orderBy("period", F.col("game_clock_seconds").desc(), "eventnum")
+               .rowsBetween(Window.unboundedPreceding, 0))
+    plain = (ev.withColumn("game_clock_seconds", F.split("pctimestring", ":")[0].cast("int") * 60
+                           + F.split("pctimestring", ":")[1].cast("int"))
+               .withColumn("margin_filled", F.last("scoremargin", ignorenulls=True).over(w)))
+    key = ["game_id", "eventnum", "margin_filled"]
+    assert rows(got.select(*key)) == rows(plain.select(*key))
