@@ -47,7 +47,8 @@ def maybe_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tup
 def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_t: str,
                   right_t: str, right_cols: Sequence[str], later_first: bool = True,
                   broadcast_rows: int | None = BROADCAST_ROWS, tolerance: float | None = None,
-                  diff_col: str = "clock_diff", bucket_width: float | None = 60.0) -> DataFrame:
+                  diff_col: str = "clock_diff", bucket_width: float | None = 60.0,
+                  left_small: bool | None = None) -> DataFrame:
     """J6/J7 as-of match: for every ``left`` row, the ``right`` row with equal
     keys and the smallest ``abs(right_t - left_t)``; ties go to the larger
     ``right_t`` (earlier on a count-down clock) when ``later_first``, then to
@@ -69,14 +70,18 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     Both sides are first reduced with combining aggregates — right rows to
     one per (key, time), left rows to distinct rows — so a group of copies on
     either side never reaches a window partition whole.  When ``left`` passes
-    the size check its keys filter ``right`` map-side (broadcast semi join),
+    the size check (or the caller passes ``left_small=True`` for a side with
+    a proven bound) its keys filter ``right`` map-side (broadcast semi join),
     so only candidate rows are shuffled.
     """
     right_cols = list(right_cols)
     lcols = left.columns
     keys = [lc for lc, _ in on]
     r_t_type = right.schema[right_t].dataType
-    lp, small = persist_if_small(left, broadcast_rows)
+    if left_small:      # the caller has a proven bound (e.g. one row per size-checked shot)
+        lp, small = left.persist(StorageLevel.MEMORY_AND_DISK), True
+    else:
+        lp, small = persist_if_small(left, broadcast_rows)
     r = right.select(*[F.col(rc).alias(lc) for lc, rc in on], F.col(right_t).alias("_t"),
                      *[F.col(c) for c in right_cols if c != right_t])
     if small:

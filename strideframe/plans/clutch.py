@@ -33,8 +33,9 @@ def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SEC
     period and second of a game, whatever the data volume.  It runs on
     distinct rows (a combining aggregate folds copies map-side; a row's fill
     depends only on its content), and every input row — copies included —
-    gets its value back by an equi-join on the whole row, broadcast behind
-    the size check, so no group of copies passes through one window task."""
+    gets its value back by an equi-join on the whole row, so no group of
+    copies passes through one window task.  ``broadcast_rows`` is kept for
+    the callers' signature."""
     ev = events.withColumn("game_clock_seconds", S.clock_to_seconds("pctimestring"))
     is_shot = F.col("eventmsgtype").isin(S.EVENT_MADE, S.EVENT_MISSED)
     if not fill_before_filter:
@@ -45,10 +46,12 @@ def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SEC
         buckets = [("period", None, True),
                    ("_cb", F.floor(F.col("game_clock_seconds") / F.lit(bucket_seconds)), False)]
     filled = forward_fill(ev.distinct(), ["game_id"], order, "scoremargin", "margin_filled", buckets)
-    side, small = maybe_broadcast(filled, broadcast_rows)
     cols = ev.columns
     cond = [F.col(f"_raw.{c}").eqNullSafe(F.col(f"_fill.{c}")) for c in cols]
-    out = (ev.alias("_raw").join(side.alias("_fill"), cond, "inner")
+    # no hint: the filled side (one row per distinct event) is broadcast by
+    # the planner or by AQE only when its estimated / measured size is under
+    # the broadcast threshold; otherwise a shuffle join (AQE splits skew)
+    out = (ev.alias("_raw").join(filled.alias("_fill"), cond, "inner")
              .select(*[F.col(f"_raw.{c}").alias(c) for c in cols], F.col("_fill.margin_filled")))
     return out.filter(is_shot) if fill_before_filter else out
 
@@ -89,10 +92,12 @@ def locate_shots(moments: DataFrame, shots: DataFrame, height: float = BALL_HEIG
     inst = inst.select(*shot_cols, F.col("shot_game_clock").alias("tracking_game_clock"),
                        F.col("max_height").alias("ball_height"))
     on = [(c, c) for c in ["game_id", "event_id", "player_id", "quarter"]]
+    # one instant per shot: when the shots passed the size check, so do the
+    # instants (no second count)
     loc = nearest_match(inst, players.select("game_id", "event_id", "player_id", "quarter", "game_clock",
                                              "x_loc", "y_loc"),
                         on, "tracking_game_clock", "game_clock", ["x_loc", "y_loc"],
-                        broadcast_rows=broadcast_rows)
+                        broadcast_rows=broadcast_rows, left_small=True if small else None)
     return loc.drop("clock_diff").withColumnRenamed("game_clock", "m_game_clock")
 
 
