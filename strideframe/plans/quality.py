@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from strideframe.functions import scalar as S
 from strideframe.operators.dedupe import split_roles
@@ -244,7 +245,14 @@ def event_path_length(events: DataFrame, max_gap_us: int, rows_per_bucket: int =
     the summed change of ``value`` between consecutive events (time order,
     event id breaks ties) at most ``max_gap_us`` microseconds apart, the
     number of such steps and the number of events."""
-    ev = events.select("user_id", "event_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
+    if isinstance(events.schema["ts"].dataType, TimestampNTZType):
+        # wall-clock time: microseconds since the epoch without any time
+        # zone, so the session zone (and its daylight-saving shifts) never
+        # changes a gap
+        t_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    else:
+        t_us = F.unix_micros(F.col("ts"))          # an instant: zone-free already
+    ev = events.select("user_id", "event_id", "value", t_us.alias("t_us"))
     # exact copies are reduced to (row, multiplicity) by a combining
     # aggregate: m copies are m - 1 in-gap steps of length 0 (when the time
     # is known) plus one step from the last copy to the next distinct event

@@ -250,3 +250,25 @@ def test_margin_fill_keeps_copies(spark):
                .withColumn("margin_filled", F.last("scoremargin", ignorenulls=True).over(w)))
     key = ["game_id", "eventnum", "margin_filled"]
     assert rows(got.select(*key)) == rows(plain.select(*key))
+
+
+def test_event_path_length_ignores_session_time_zone(spark):
+    """Wall-clock (timestamp_ntz) events across a daylight-saving change: the
+    result is the same in any session time zone."""
+    from strideframe.plans.quality import event_path_length
+    df = spark.createDataFrame([(1, 1, "2024-03-10 01:30:00", 1.0), (1, 2, "2024-03-10 03:10:00", 4.0),
+                                (1, 3, "2024-03-10 04:40:00", 6.0)],
+                               "user_id long, event_id long, ts string, value double") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    gap = 90 * 60 * 1_000_000
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        res = []
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            res.append([tuple(r) for r in event_path_length(df, gap, rows_per_bucket=10).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    # 01:30 -> 03:10 is 100 wall-clock minutes (over the gap; 40 real minutes
+    # in Los Angeles that night), 03:10 -> 04:40 is 90 (within)
+    assert res[0] == res[1] == [(1, 2.0, 1, 3)]
