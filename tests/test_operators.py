@@ -264,3 +264,24 @@ def test_nearest_match_copy_group_on_the_right(spark):
     R = spark.createDataFrame(right, "g long, p long, clock double, x double").repartition(4)
     got = nearest_match(L, R, [("g", "g"), ("p", "p")], "t", "clock", ["x"], bucket_width=2.0)
     assert sorted((r.g, r.p, r.t, r.clock, r.x) for r in got.collect()) == sorted(_brute_nearest(left, right))
+
+
+def test_join_target_equals_window_form(spark):
+    """The equi-join of player rows with the ball row of the same moment
+    gives the same exclusive-possession rows as the one-pass window form."""
+    from strideframe.operators.dedupe import split_roles
+    from strideframe.operators.near import join_target
+    rnd = random.Random(8)
+    data = []
+    for c in range(60):
+        clock = 100.0 - c * 0.04
+        if rnd.random() < 0.9:
+            data.append((1, 1, 1, clock, -1, rnd.uniform(0, 5), rnd.uniform(0, 5)))
+        for p in range(1, 5):
+            data.append((1, 1, 1, clock, p, rnd.uniform(0, 5), rnd.uniform(0, 5)))
+    d = dedupe(moments_df(spark, data), MOMENT_KEY, TIE_BREAK)
+    players, ball = split_roles(d)
+    a = exclusive_near(join_target(players, ball), radius=1.5)
+    b = exclusive_near(with_target_in_moment(d), radius=1.5)
+    cols = ["game_id", "quarter", "game_clock", "player_id"]
+    assert rows(a.select(*cols)) == rows(b.select(*cols)) and a.count() > 0
