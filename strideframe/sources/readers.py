@@ -41,6 +41,11 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType
     if fmt != "csv":
         return lower_case_columns(spark.read.format(fmt).load(path))
     reader = spark.read.option("header", str(header).lower()).option("sep", sep)
+    if header:
+        # every file's header is checked against the columns (case-insensitive):
+        # a file whose columns come in another order fails loudly instead of
+        # being read by position into the wrong columns
+        reader = reader.option("enforceSchema", "false")
     if schema is None:
         return lower_case_columns(reader.csv(path))
     if not header:
