@@ -26,7 +26,9 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType
 
     CSV: the header is matched case-insensitively against ``schema`` by
     lower-casing the file's header first; columns missing in a file come back
-    as nulls, extra columns are kept.
+    as nulls, extra columns are kept.  Files of a glob may order their columns
+    differently: they are grouped by header (``header_groups``) and stacked by
+    name.
     """
     if fmt == "parquet":
         df = spark.read.parquet(*([path] if isinstance(path, str) else path))
@@ -43,15 +45,24 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType
     reader = spark.read.option("header", str(header).lower()).option("sep", sep)
     if header:
         # every file's header is checked against the columns (case-insensitive):
-        # a file whose columns come in another order fails loudly instead of
-        # being read by position into the wrong columns
+        # files are grouped by header first, so this only guards against a
+        # header that changes between listing and reading
         reader = reader.option("enforceSchema", "false")
-    if schema is None:
-        return lower_case_columns(reader.csv(path))
     if not header:
-        return reader.schema(schema).csv(path)
-    # Header names are matched by name (case-insensitive), not by position.
-    raw = lower_case_columns(reader.option("inferSchema", "false").csv(path))
+        return reader.schema(schema).csv(path) if schema is not None else reader.csv(path)
+    groups = header_groups(spark, path, sep)
+    frames = []
+    for names, files in sorted(groups.items()):
+        raw = lower_case_columns(reader.option("inferSchema", "false").csv(files))
+        frames.append(raw if schema is None else _conform(raw, schema))
+    if not frames:
+        raise FileNotFoundError(f"no CSV file matches {path}")
+    return union_by_name(frames)
+
+
+def _conform(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Schema columns by name (case-insensitive; missing -> null), typed with
+    ``try_cast``; extra columns kept."""
     cols = []
     for f in schema.fields:
         if f.name in raw.columns:
@@ -62,6 +73,41 @@ def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType
     return raw.select(*cols, *extra)
 
 
+def header_groups(spark: SparkSession, path: str | list[str], sep: str = ",") -> dict[tuple, list[str]]:
+    """S2 with drifting headers: the files behind ``path`` (globs allowed)
+    grouped by their header line (lower-cased column names, in order).
+
+    Only the first line of each file is read, on the driver through the
+    Hadoop file system (no data); each group is then read by one distributed
+    CSV scan, and the groups are stacked by name — so files whose columns come
+    in another order or with other columns line up, as a by-name concat
+    would, while the data itself is read in parallel."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    out: dict[tuple, list[str]] = {}
+    for pat in ([path] if isinstance(path, str) else list(path)):
+        jp = jvm.org.apache.hadoop.fs.Path(pat)
+        fs = jp.getFileSystem(conf)
+        statuses = fs.globStatus(jp) or []
+        files = []
+        for st in statuses:
+            if st.isDirectory():
+                files += [c.getPath() for c in fs.listStatus(st.getPath())
+                          if c.isFile() and not c.getPath().getName().startswith(("_", "."))]
+            else:
+                files.append(st.getPath())
+        for fp in files:
+            stream = fs.open(fp)
+            try:
+                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+                line = reader.readLine() or ""
+            finally:
+                stream.close()
+            names = tuple(n.strip().strip('"').lower() for n in line.lstrip("\ufeff").split(sep))
+            out.setdefault(names, []).append(fp.toString())
+    return out
+
+
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     """Stack frames whose headers drift (missing columns -> null)."""
     frames = list(frames)
