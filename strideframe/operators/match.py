@@ -15,15 +15,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> bool:
-    """Size check behind every broadcast of a data-derived side: counts the
-    rows (a cheap job on a small side; ``limit`` stops it early on a big
-    one)."""
-    if not max_rows:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def persist_if_small(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """(side, small): ``df`` persisted and counted; kept persisted when it has
     at most ``max_rows`` rows (so it is computed once for every later use —
