@@ -55,8 +55,10 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     time direction).  ``bucket_width`` splits a key's time axis so a hot key
     is spread over many tasks: the right row that precedes / follows a bucket
     (from the nearest earlier / later bucket that has right rows) comes from a
-    per-bucket aggregate and is added to the bucket as a sentinel row.  The
-    work is linear in the rows; nothing is built per pair.
+    per-bucket aggregate and is added to the bucket as a sentinel row.  With
+    a tolerance band no wider than a bucket, right rows near a bucket edge
+    are copied into the neighbouring bucket instead (no carried rows needed).
+    The work is linear in the rows; nothing is built per pair.
 
     Both sides are first reduced with combining aggregates — right rows to
     one per (key, time), left rows to distinct rows — so a group of copies on
@@ -100,9 +102,25 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     rows_l = lsel.filter(valid).select(*keys, "_t", F.lit(1).alias("_side"),
                                        F.lit(None).cast(rows_r.schema["_r"].dataType).alias("_r"),
                                        F.lit(None).cast(rows_r.schema["_rk"].dataType).alias("_rk"), "_l")
-    both = rows_r.unionByName(rows_l)
     part = list(keys)
-    if bucket_width:
+    band = tolerance is not None and bucket_width and float(tolerance) <= float(bucket_width)
+    if band:
+        # every candidate inside the band lies in the left row's bucket or a
+        # neighbour: right rows within the band of a bucket edge are copied
+        # into the neighbouring bucket (one pass, posexplode) — exact, with no
+        # per-bucket aggregate or carried rows
+        w, tol = float(bucket_width), float(tolerance)
+        margin = w * 1e-9
+        b = F.floor(F.col("_t") / F.lit(w))
+        lo = F.when(F.floor((F.col("_t") - F.lit(tol + margin)) / F.lit(w)) < b, F.array(b - 1)) \
+              .otherwise(F.array().cast("array<bigint>"))
+        hi = F.when(F.floor((F.col("_t") + F.lit(tol + margin)) / F.lit(w)) > b, F.array(b + 1)) \
+              .otherwise(F.array().cast("array<bigint>"))
+        rows_r = rows_r.withColumn("_b", F.explode(F.concat(F.array(b), lo, hi)))
+        rows_l = rows_l.withColumn("_b", b)
+        part.append("_b")
+    both = rows_r.unionByName(rows_l)
+    if bucket_width and not band:
         both = both.withColumn("_b", F.floor(F.col("_t") / F.lit(float(bucket_width))))
         part.append("_b")
         is_r = F.col("_side") == 0
