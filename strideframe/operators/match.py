@@ -110,11 +110,13 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
         # into the neighbouring bucket (one pass, posexplode) — exact, with no
         # per-bucket aggregate or carried rows
         w, tol = float(bucket_width), float(tolerance)
-        margin = w * 1e-9
+        # margin: a fraction of the bucket plus a few units in the last place
+        # of the time itself; extra copies never change a result
+        reach = F.lit(tol) + F.lit(w * 1e-9) + F.abs(F.col("_t").cast("double")) * F.lit(1e-14)
         b = F.floor(F.col("_t") / F.lit(w))
-        lo = F.when(F.floor((F.col("_t") - F.lit(tol + margin)) / F.lit(w)) < b, F.array(b - 1)) \
+        lo = F.when(F.floor((F.col("_t") - reach) / F.lit(w)) < b, F.array(b - 1)) \
               .otherwise(F.array().cast("array<bigint>"))
-        hi = F.when(F.floor((F.col("_t") + F.lit(tol + margin)) / F.lit(w)) > b, F.array(b + 1)) \
+        hi = F.when(F.floor((F.col("_t") + reach) / F.lit(w)) > b, F.array(b + 1)) \
               .otherwise(F.array().cast("array<bigint>"))
         rows_r = rows_r.withColumn("_b", F.explode(F.concat(F.array(b), lo, hi)))
         rows_l = rows_l.withColumn("_b", b)

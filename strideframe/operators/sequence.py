@@ -140,14 +140,17 @@ def next_within(df: DataFrame, keys: Sequence[str], t: str, ascending: bool, car
         raise ValueError("horizon must not exceed the bucket width")
     keys, carry = list(keys), list(carry)
     w, h = float(width), float(horizon)
-    margin = w * 1e-9
     tc = F.col(t)
+    # safety margin: a fraction of the bucket plus a few units in the last
+    # place of t itself (large absolute times round coarsely); extra copies
+    # never change a result
+    margin = F.lit(w * 1e-9) + F.abs(tc.cast("double")) * F.lit(1e-14)
     b = F.floor(tc / F.lit(w))
     if ascending:   # successors have larger t: rows near a bucket's lower edge serve the bucket below
-        near = F.floor((tc - F.lit(h + margin)) / F.lit(w)) < b
+        near = F.floor((tc - (F.lit(h) + margin)) / F.lit(w)) < b
         other = b - 1
     else:           # count-down clock: rows near a bucket's upper edge serve the bucket above
-        near = F.floor((tc + F.lit(h + margin)) / F.lit(w)) > b
+        near = F.floor((tc + (F.lit(h) + margin)) / F.lit(w)) > b
         other = b + 1
     # one pass over the input: every row in its own bucket (position 0), a
     # row near the edge also as a copy in the neighbouring bucket (position 1)

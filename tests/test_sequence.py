@@ -186,3 +186,16 @@ def test_equi_depth_buckets_split_a_hot_entity(spark):
     exp = df.select("*", F.lead("v").over(w).alias("next_v"), F.lead("t").over(w).alias("next_t"))
     assert sorted(map(tuple, got.select("id", "next_v", "next_t").collect())) == \
         sorted(map(tuple, exp.select("id", "next_v", "next_t").collect()))
+
+
+def test_next_within_large_absolute_times(spark):
+    """Microsecond timestamps (~1.7e15) with one-second buckets: a successor
+    exactly one horizon away across a bucket edge is still found."""
+    base = 1_704_067_200_000_000          # 2024-01-01 in microseconds
+    w, h = 1_000_000, 250_000
+    ts = [base + 999_900, base + 1_149_900, base + 2_999_750, base + 3_249_750, base + 5_000_000]
+    df = spark.createDataFrame([(1, i, float(t)) for i, t in enumerate(ts)], "u long, id long, t double")
+    out = {r.id: r.next_t for r in next_within(df, ["u"], "t", True, ["t"], h, w).collect()}
+    assert out[0] == float(ts[1]) and out[2] == float(ts[3])     # 150 ms and exactly 250 ms, across edges
+    assert out[3] is None or out[3] == float(ts[4])
+    assert out[4] is None
