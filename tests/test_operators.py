@@ -285,3 +285,21 @@ def test_join_target_equals_window_form(spark):
     b = exclusive_near(with_target_in_moment(d), radius=1.5)
     cols = ["game_id", "quarter", "game_clock", "player_id"]
     assert rows(a.select(*cols)) == rows(b.select(*cols)) and a.count() > 0
+
+
+def test_nearest_match_tolerance_large_absolute_times(spark):
+    """Microsecond timestamps (~1.7e15), one-second buckets and a 250 ms band:
+    right rows exactly one tolerance away across a bucket edge still match;
+    one a microsecond further out does not."""
+    base = 1_704_067_200_000_000          # 2024-01-01 in microseconds
+    w, tol = 1_000_000.0, 250_000.0
+    left = [(1, 1, float(base + 999_900)), (1, 2, float(base + 3_000_100)), (1, 3, float(base + 5_000_000))]
+    right = [(1, 1, float(base + 1_249_900), 1.0), (1, 2, float(base + 2_750_100), 2.0),
+             (1, 3, float(base + 5_250_001), 3.0)]
+    L = spark.createDataFrame(left, "g long, p long, t double")
+    R = spark.createDataFrame(right, "g long, p long, clock double, x double")
+    for bro in (None, 100):
+        got = nearest_match(L, R, [("g", "g"), ("p", "p")], "t", "clock", ["x"], broadcast_rows=bro,
+                            tolerance=tol, bucket_width=w)
+        assert sorted((r.p, r.clock, r.x) for r in got.collect()) == \
+            [(1, float(base + 1_249_900), 1.0), (2, float(base + 2_750_100), 2.0)]
