@@ -41,7 +41,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def linked_components(groups: DataFrame, confirm: Callable[[DataFrame], DataFrame], stars: int = 2) -> DataFrame:
+def linked_components(groups: DataFrame, confirm: Callable[[DataFrame], DataFrame], stars: int = 2,
+                      rest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, root) of the graph whose edges are the confirmed pairs of nodes
     that share a group; nodes without any edge are left out.
 
@@ -49,46 +50,57 @@ def linked_components(groups: DataFrame, confirm: Callable[[DataFrame], DataFram
     more; ``confirm`` keeps the true links of candidate pairs (a, b).  Pairs
     are not enumerated within a group: each of the ``stars`` rounds compares
     the members outside the component of the group's first node, or (later)
-    of its first node outside that, with that node only.  What then remains
-    in several components of one group is compared across components, so no
-    link between two components is lost, and members of one component, which
-    need no further link, make no pair.
+    of its first node outside that, with that node only.  Groups that then
+    still hold several components are compared across components, so no link
+    between two components is lost, and members of one component, which need
+    no further link, make no pair.  ``rest`` may give those last candidates by
+    a sharper join: it gets (g, node, r), r the component so far, and returns
+    pairs (a, b) that hold every link between components.
     """
     groups = groups.select("g", "node")
     done = edges = root = None
 
-    def with_root(df: DataFrame) -> DataFrame:
+    def placed() -> DataFrame:
         if root is None:
-            return df.withColumn("r", F.col("node"))
-        return df.join(root, "node", "left").withColumn("r", F.coalesce("root", "node")).drop("root")
+            return groups.withColumn("r", F.col("node"))
+        return groups.join(root, "node", "left").withColumn("r", F.coalesce("root", "node")).drop("root")
 
     for turn in range(stars + 1):
-        placed = with_root(groups)
-        span = placed.groupBy("g").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).filter("lo < hi")
-        if turn == 0:
+        at = placed()
+        span = at.groupBy("g").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).filter("lo < hi").select("g", "lo")
+        if turn < stars:
             lead = span.select("g", F.col("lo").alias("a"), F.col("lo").alias("ra"))
-        elif turn < stars:
-            # the first node outside the smallest component of the group
-            lead = (placed.join(span, "g").filter("r <> lo").groupBy("g")
-                          .agg(F.min(F.struct("node", "r")).alias("x"))
+            if turn:
+                # the first node outside the smallest component of the group
+                lead = (at.join(span, "g").filter("r <> lo").groupBy("g").agg(F.min(F.struct("node", "r")).alias("x"))
                           .select("g", F.col("x.node").alias("a"), F.col("x.r").alias("ra")))
+            pairs = at.withColumnRenamed("node", "b").join(lead, "g").filter("a <> b AND ra <> r").select("a", "b")
         else:
-            lead = placed.join(span.select("g"), "g").select("g", F.col("node").alias("a"), F.col("r").alias("ra"))
-        other = placed.withColumnRenamed("node", "b")
-        pairs = other.join(lead, "g").filter("a <> b AND ra <> r")
-        if turn == stars:
-            pairs = pairs.filter("a < b")
+            several = reliable_checkpoint(at.join(span, "g"), "several")
+            if several.isEmpty():
+                break
+            pairs = (rest or across)(several.select("g", "node", "r"))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = reliable_checkpoint(pairs, "pairs")
         if pairs.isEmpty():
+            if turn < stars:
+                continue
             break
         found = reliable_checkpoint(confirm(pairs).select("a", "b"), "links")
         done = pairs if done is None else done.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
         root = reliable_checkpoint(components(edges), "components")
     if root is None:
-        kind = groups.schema["node"].dataType.simpleString()
-        return groups.sparkSession.createDataFrame([], f"node {kind}, root {kind}")
+        return groups.select("node", F.col("node").alias("root")).limit(0)
     return root
+
+
+def across(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of (g, node, r) that share a group but not a
+    component.  At least one of a pair is outside its group's smallest
+    component, so only those are matched with all."""
+    main = members.groupBy("g").agg(F.min("r").alias("lo"))
+    out = members.join(main, "g").filter("r <> lo").select("g", F.col("node").alias("a"), F.col("r").alias("ra"))
+    return (members.withColumnRenamed("node", "b").join(out, "g").filter("ra <> r").select("a", "b"))

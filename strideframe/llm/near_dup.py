@@ -10,7 +10,11 @@ distance share an index key.  With the defaults a pair of similarity 0.8 is
 missed with probability 2e-6.
 
 * Documents with equal sets are one class; signatures are joined per class.
-* Pairs are not enumerated inside an index group: see ``linked_components``.
+* Pairs are not enumerated inside an index group: first each group's members
+  are compared with one of them (see ``linked_components``).  Groups that then
+  still hold several components, texts that share much but not enough, are
+  joined exactly on the rarest members of their sets (prefix, length and
+  positional filters), which leaves out almost all pairs below the similarity.
 * A pair is linked only if the full sets reach the similarity.
 """
 
@@ -22,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strideframe.llm import textscan as ts
@@ -158,6 +162,39 @@ def _class_sets(docs: DataFrame, shingle: int, wanted: np.ndarray, doc_id: str,
     return src.mapInArrow(scan, f"node {kind}, s1 long, s2 long, members array<long>")
 
 
+def _prefix_pairs(nodes: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of nodes (node, r, members) with different r that hold
+    every pair of the similarity, by an exact prefix-filtered set join.
+
+    Members are ordered by the number of sets that hold them, rarest first.
+    Two sets x and y, x the larger, that need an overlap of o share one of the
+    first |x| - o + 1 members of x and |y| - o + 1 of y; the place of the first
+    shared one bounds the overlap.  Members that no other set holds take the
+    first places and need no sort."""
+    t = similarity / 100
+    each = nodes.select("node", "r", F.size("members").alias("n"), F.explode("members").alias("m"))
+    held = each.groupBy("m").agg(F.count("*").alias("k")).filter("k > 1")
+    shared = reliable_checkpoint(each.join(held, "m"), "shared")
+    # places of the members held by one set only come first
+    alone = shared.groupBy("node", "n").agg(F.count("*").alias("s")).select(
+        "node", (F.col("n") - F.col("s")).alias("alone")).filter(
+        F.col("alone") <= F.col("n") - F.ceil(t * F.col("n") - 1e-9))
+    order = Window.partitionBy("node").orderBy("k", "m")
+    prefix = reliable_checkpoint(
+        shared.join(alone, "node").withColumn("at", F.col("alone") + F.row_number().over(order) - 1)
+        .filter(F.col("at") <= F.col("n") - F.ceil(t * F.col("n") - 1e-9)).select("m", "node", "r", "n", "at"), "prefix")
+    main = prefix.groupBy("m").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).filter("lo < hi").select("m", "lo")
+    # one of a pair is outside the smallest component of the member's sets
+    out = prefix.join(main, "m").filter("r <> lo").select(
+        "m", F.col("node").alias("a"), F.col("r").alias("ra"), F.col("n").alias("na"), F.col("at").alias("ia"))
+    need = F.ceil(t / (1 + t) * (F.col("n") + F.col("na")) - 1e-9)
+    return (prefix.withColumnRenamed("node", "b").join(out, "m")
+                  .filter((F.col("ra") != F.col("r"))
+                          & (F.least("n", "na") * 100 >= F.greatest("n", "na") * similarity)
+                          & (F.col("n") - F.col("at") >= need) & (F.col("na") - F.col("ia") >= need))
+                  .select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
                     similarity: int = 80, index: Index = Index()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
@@ -193,7 +230,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return (pairs.join(side("b"), "b").join(side("a"), "a").filter(fits)
                      .filter(both * 100 >= (n_a + n_b - both) * similarity))
 
-    placed = classes.select(*one, "node").join(linked_components(groups, confirm), "node", "left")
+    def rest(several: DataFrame) -> DataFrame:
+        return _prefix_pairs(several.select("node", "r").distinct().join(sets, "node"), similarity)
+
+    placed = classes.select(*one, "node").join(linked_components(groups, confirm, rest=rest), "node", "left")
     found = placed.select(*one, F.coalesce("root", "node").alias("component")).groupBy(*one).agg(
         F.min("component").alias("component"))
     own = [F.col(f"d.{c}") == F.col(f"c.{c}") for c in one]
