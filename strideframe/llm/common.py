@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from strideframe.llm import textscan as ts
 from strideframe.session import reliable_checkpoint, shared_dir
 
-__all__ = ["read_table", "fold", "append_columns", "bitmap", "in_bitmap", "reliable_checkpoint", "shared_dir"]
+__all__ = ["read_table", "fold", "append_columns", "bitmap", "in_bitmap", "passing", "reliable_checkpoint", "shared_dir"]
 
 #: Bits of a Spark bitmap function's bucket.
 _BUCKET_BITS = 32_768
@@ -67,3 +67,14 @@ def in_bitmap(bm: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = len(bm).bit_length() + 2
     p = hashes >> ts.U(64 - bits)
     return (bm[(p >> ts.U(3)).astype(np.int64)] >> (p & ts.U(7)).astype(np.uint8)) & 1 == 1
+
+
+def passing(df: DataFrame, hash_col: str, bm: np.ndarray) -> DataFrame:
+    """Rows of ``df`` whose 64-bit hash has its bit set."""
+    at = df.columns.index(hash_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(in_bitmap(bm, b.column(at).to_numpy(zero_copy_only=False).view(ts.U))))
+
+    return df.mapInArrow(run, df.schema)

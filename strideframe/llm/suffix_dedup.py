@@ -12,7 +12,10 @@ equal are sorted, one at a time, to the depth ``length``.
    of a difference cover is for.  Consecutive starts share an anchor and form a
    block: the bytes of all their strings.
 2. Anchors that occur once (a count over the corpus) hold no repeat.  A second
-   scan keeps the blocks of the others; equal blocks repeat in full.
+   scan counts the blocks of the others by a 128-bit hash; equal blocks repeat
+   in full.  Two fixed-size bitmaps, one of the repeated blocks and one of the
+   single ones that the first lets pass, let the third scan name whole runs of
+   repeated blocks at once; only blocks that are in both are joined.
 3. The rest are suffix buckets: the differing blocks around one anchor.  A
    bucket's suffixes are sorted by the head of the string, the precomputed
    rank of the cover sample (every ``STEP``-th position from the anchor, to
@@ -36,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.llm import textscan as ts
-from strideframe.llm.common import append_columns, bitmap, in_bitmap, read_table, reliable_checkpoint
+from strideframe.llm.common import append_columns, bitmap, in_bitmap, passing, read_table, reliable_checkpoint
 
 LENGTH = 400
 #: Bytes compared directly at either end of a string, and distance of the cover sample.
 STEP = 32
-PART_BLOCKS = 512
+PART_BLOCKS = 4096
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -56,7 +59,8 @@ def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
 
 def _anchors(data: np.ndarray, offsets: np.ndarray, length: int):
     """(row, lo, hi, anchor, anchor hash) of the blocks of a chunk: starts
-    lo..hi of strings with one anchor, as positions in the chunk; and the prefix sums."""
+    lo..hi of strings with one anchor, as positions in the chunk; and the
+    prefix sums of the chunk."""
     piece = length // 2
     prefix = ts.FIRST.prefix(data)
     none = np.zeros(0, dtype=np.int64)
@@ -94,77 +98,81 @@ def _text_key(text: str):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-_BLOCK = "anchor long, at int, span int, b1 long, b2 long"
+def _hashes(data: np.ndarray, prefix: np.ndarray, first: np.ndarray, last: np.ndarray, length: int):
+    """Two hashes of the bytes of each block."""
+    if not len(first):
+        return np.zeros(0, dtype=ts.U), np.zeros(0, dtype=ts.U)
+    return (ts.FIRST.spans(prefix, first, last + length),
+            ts.SECOND.spans(ts.SECOND.prefix(data), first, last + length))
 
 
-def _blocks(docs: DataFrame, wanted: np.ndarray, doc_id: str, text: str, length: int) -> DataFrame:
-    """(doc_id, text_key, lo, hi, n, block): blocks whose anchor passes the
-    bitmap.  A block is told by its anchor's hash, the anchor's place, its
-    number of starts and two hashes of its bytes; ``n`` equal blocks in a row,
-    as in periodic text, are one record from the first lo to the last hi."""
+def _place_hash(text_key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return ts.mix64(text_key + ts.mix64(place.astype(ts.U)))
+
+
+def _block_classes(docs: DataFrame, anchors: np.ndarray, text: str, length: int) -> DataFrame:
+    """(b1, b2, anchor, n, place): the different blocks whose anchor passes
+    the bitmap, how often each occurs, and the hash of one of its places."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, hi, data, offsets in ts.text_chunks(b.column(1)):
-                row, first, last, at, g, prefix = _anchors(data, offsets, length)
-                keep = in_bitmap(wanted, g)
-                row, first, last, at, g = (x[keep] for x in (row, first, last, at, g))
-                b1 = ts.FIRST.spans(prefix, first, last + length)
-                b2 = ts.SECOND.spans(ts.SECOND.prefix(data), first, last + length) if len(row) else b1
-                cols = np.column_stack([g, (at - first).astype(ts.U), (last - first).astype(ts.U), b1, b2])
-                same = np.zeros(len(row), dtype=bool)
-                same[1:] = ((cols[1:] == cols[:-1]).all(axis=1) & (row[1:] == row[:-1]) & (first[1:] == last[:-1] + 1))
-                head = np.flatnonzero(~same)
-                n = np.diff(np.append(head, len(row)))
-                r = row[head]
-                base = offsets[r]
+            keys = b.column(1).to_numpy(zero_copy_only=False).view(ts.U)
+            for lo, hi, data, offsets in ts.text_chunks(b.column(0)):
+                row, first, last, _, g, prefix = _anchors(data, offsets, length)
+                keep = in_bitmap(anchors, g)
+                row, first, last, g = row[keep], first[keep], last[keep], g[keep]
+                b1, b2 = _hashes(data, prefix, first, last, length)
+                place = _place_hash(keys[lo:hi][row], first - offsets[row])
+                # equal blocks of the chunk, as in periodic text, count together
+                _, at, n = np.unique(np.column_stack([b1, b2]).view("V16").reshape(-1), return_index=True,
+                                     return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo).take(pa.array(r)), b.column(2).slice(lo, hi - lo).take(pa.array(r)),
-                     pa.array(first[head] - base), pa.array(last[head + n - 1] - base), pa.array(n),
-                     pa.array(ts.as_long(g[head])), pa.array((at - first)[head].astype(np.int32)),
-                     pa.array((last - first)[head].astype(np.int32)),
-                     pa.array(ts.as_long(b1[head])), pa.array(ts.as_long(b2[head]))],
-                    names=["doc_id", "text_key", "lo", "hi", "n", "anchor", "at", "span", "b1", "b2"])
+                    [*(pa.array(ts.as_long(x[at])) for x in (b1, b2, g)), pa.array(n), pa.array(ts.as_long(place[at]))],
+                    names=["b1", "b2", "anchor", "n", "place"])
 
-    src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), _text_key(text).alias("text_key"))
-    kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(scan, f"doc_id {kind}, text_key long, lo long, hi long, n long, {_BLOCK}")
+    found = docs.select(text, _text_key(text).alias("k")).mapInArrow(
+        scan, "b1 long, b2 long, anchor long, n long, place long")
+    return found.groupBy("b1", "b2").agg(F.sum("n").alias("n"), F.min("anchor").alias("anchor"),
+                                         F.min("place").alias("place"))
 
 
-def _bytes_of(docs: DataFrame, wanted: np.ndarray, doc_id: str, text: str, length: int) -> DataFrame:
-    """(doc_id, text_key, lo, body) of the blocks whose place passes the bitmap."""
+def _marked_blocks(docs: DataFrame, anchors: np.ndarray, whole: np.ndarray, doubt: np.ndarray, bodies: np.ndarray,
+                   doc_id: str, text: str, length: int) -> DataFrame:
+    """(doc_id, text_key, lo, hi, b1, b2, at, body): runs of starts of
+    repeated blocks (b1 null), blocks in doubt (body null), and the bytes of
+    the blocks whose place passes the bitmap."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(2).to_numpy(zero_copy_only=False).view(ts.U)
             for lo, hi, data, offsets in ts.text_chunks(b.column(1)):
-                row, first, last, *_ = _anchors(data, offsets, length)
-                place = first - offsets[row]
-                keep = np.flatnonzero(in_bitmap(wanted, _place_hash(keys[lo:hi][row], place)))
+                row, first, last, anchor, g, prefix = _anchors(data, offsets, length)
+                # the same blocks as were counted: only of those does ``doubt`` know the single ones
+                row, first, last, anchor = (x[in_bitmap(anchors, g)] for x in (row, first, last, anchor))
+                b1, b2 = _hashes(data, prefix, first, last, length)
+                maybe = in_bitmap(whole, b1)
+                unsure = np.flatnonzero(maybe & in_bitmap(doubt, b2))
+                sure = maybe.copy()
+                sure[unsure] = False
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], sure.view(np.int8), [0]])))
+                cut = np.flatnonzero(sure[1:] & sure[:-1] & (first[1:] != last[:-1] + 1)) + 1   # a gap ends a run
+                head = np.union1d(edge[::2], cut)
+                tail = np.union1d(edge[1::2], cut) - 1
+                member = np.flatnonzero(in_bitmap(bodies, _place_hash(keys[lo:hi][row], first - offsets[row])))
                 raw = data.tobytes()
-                body = [raw[a:z] for a, z in zip(first[keep].tolist(), (last[keep] + length).tolist())]
-                r = pa.array(row[keep])
+                body = [raw[x:y] for x, y in zip(first[member].tolist(), (last[member] + length).tolist())]
+                a, z = np.concatenate([head, unsure, member]), np.concatenate([tail, unsure, member])
+                r, none = pa.array(row[a]), np.arange(len(a)) < len(head)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo).take(r), b.column(2).slice(lo, hi - lo).take(r),
-                     pa.array(place[keep]), pa.array(body, pa.binary())],
-                    names=["doc_id", "text_key", "lo", "body"])
+                     pa.array(first[a] - offsets[row[a]]), pa.array(last[z] - offsets[row[a]]),
+                     pa.array(ts.as_long(b1[a]), mask=none), pa.array(ts.as_long(b2[a]), mask=none),
+                     pa.array(anchor[a] - first[a]), pa.array([None] * (len(head) + len(unsure)) + body, pa.binary())],
+                    names=["doc_id", "text_key", "lo", "hi", "b1", "b2", "at", "body"])
 
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), _text_key(text).alias("text_key"))
     kind = src.schema["doc_id"].dataType.simpleString()
-    return src.mapInArrow(scan, f"doc_id {kind}, text_key long, lo long, body binary")
-
-
-def _place_hash(text_key: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return ts.mix64(text_key + ts.mix64(place.astype(ts.U)))
-
-
-def _place_hashes(places: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = _place_hash(b.column(0).to_numpy().view(ts.U), b.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(ts.as_long(h))], names=["h"])
-
-    return places.select("text_key", "lo").mapInArrow(run, "h long")
+    return src.mapInArrow(scan, f"doc_id {kind}, text_key long, lo long, hi long, b1 long, b2 long, at long, body binary")
 
 
 def sort_bucket(bodies: list[bytes], at: np.ndarray, length: int) -> np.ndarray:
@@ -252,33 +260,33 @@ def _sort_parts(length: int):
 def repeated_starts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
                     part_blocks: int = PART_BLOCKS) -> DataFrame:
     """(doc_id, text_key, lo, hi): starts of the repeated strings, as ranges."""
-    wanted = bitmap(_anchor_counts(docs, text, length), "anchor")
-    blocks = reliable_checkpoint(_blocks(docs, wanted, doc_id, text, length), "blocks")
-    one = ["anchor", "at", "span", "b1", "b2"]
-    place = ["doc_id", "text_key", "lo"]
-    classes = reliable_checkpoint(
-        blocks.groupBy(*one).agg(F.sum("n").alias("n"), F.min(F.struct(*place)).alias("rep")), "classes")
-    whole = blocks.join(classes.filter("n > 1").select(*one), one, "left_semi").select("doc_id", "text_key", "lo", "hi")
-
+    anchors = bitmap(_anchor_counts(docs, text, length), "anchor")
+    classes = reliable_checkpoint(_block_classes(docs, anchors, text, length), "classes")
+    whole = classes.filter("n > 1")
+    seen = bitmap(whole, "b1")
+    doubt = bitmap(passing(classes.filter("n = 1"), "b1", seen), "b2")
     # a bucket: the different blocks around one anchor, with at least one that is not repeated in full
     buckets = classes.groupBy("anchor").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter(
         "m > 1 AND least = 1").select("anchor", F.ceil(F.col("m") / part_blocks).cast("int").alias("parts"))
-    members = reliable_checkpoint(
-        classes.join(buckets, "anchor").select(
-            "anchor", "at", "n", "parts", F.pmod(F.xxhash64("b1", "b2"), F.col("parts")).cast("int").alias("part"),
-            "rep.doc_id", "rep.text_key", "rep.lo"), "members")
-    places = bitmap(_place_hashes(members), "h")
-    same = [members[c].eqNullSafe(F.col(f"t.{c}")) for c in place]
-    body = (_bytes_of(docs, places, doc_id, text, length).dropDuplicates(place).alias("t"))
-    parts = members.join(body, same).select(*[members[c] for c in members.columns], "t.body")
+    members = reliable_checkpoint(classes.join(buckets, "anchor"), "members")
+    marked = reliable_checkpoint(
+        _marked_blocks(docs, anchors, seen, doubt, bitmap(members, "place"), doc_id, text, length), "marked")
+    out = ["doc_id", "text_key", "lo", "hi"]
+    runs = marked.filter("b1 IS NULL").select(*out)
+    unsure = marked.filter("b1 IS NOT NULL AND body IS NULL").join(whole.select("b1", "b2"), ["b1", "b2"], "left_semi")
+
+    bodies = marked.filter("body IS NOT NULL").dropDuplicates(["b1", "b2"])
+    parts = bodies.join(members, ["b1", "b2"]).select(
+        "anchor", F.pmod(F.xxhash64("b1", "b2"), F.col("parts")).cast("int").alias("part"), "parts", "at", *out[:3], "body")
     kind = parts.schema["doc_id"].dataType.simpleString()
     found = reliable_checkpoint(
         parts.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(
             _sort_parts(length), f"doc_id {kind}, text_key long, lo long, hi long, w1 long, w2 long"), "sorted")
-    single = found.filter("w1 IS NULL").drop("w1", "w2")
+    single = found.filter("w1 IS NULL").select(*out)
     again = found.filter("w1 IS NOT NULL")
     twice = again.groupBy("w1", "w2").agg(F.count("*").alias("k")).filter("k > 1").select("w1", "w2")
-    return whole.unionByName(single).unionByName(again.join(twice, ["w1", "w2"], "left_semi").drop("w1", "w2"))
+    return runs.unionByName(unsure.select(*out)).unionByName(single).unionByName(
+        again.join(twice, ["w1", "w2"], "left_semi").select(*out))
 
 
 def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
