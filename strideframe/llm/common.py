@@ -15,6 +15,8 @@ from strideframe.session import reliable_checkpoint, shared_dir
 
 __all__ = ["read_table", "fold", "append_columns", "bitmap", "in_bitmap", "passing", "reliable_checkpoint", "shared_dir"]
 
+#: Rows that ``append_columns`` computes at a time, which bounds a worker's memory.
+_ROWS = 256
 #: Bits of a Spark bitmap function's bucket.
 _BUCKET_BITS = 32_768
 
@@ -30,7 +32,7 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 def append_columns(df: DataFrame, fields: Sequence[tuple[str, str]],
                    compute: Callable[[pa.RecordBatch], Sequence[pa.Array]]) -> DataFrame:
-    """``df`` with columns computed per Arrow batch.  A column of ``df`` that
+    """``df`` with columns computed per slice of an Arrow batch.  A column of ``df`` that
     has the name of a new one is replaced."""
     new = {name for name, _ in fields}
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in new])
@@ -40,8 +42,10 @@ def append_columns(df: DataFrame, fields: Sequence[tuple[str, str]],
     names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, *compute(b)], names=names)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, _ROWS):
+                b = batch.slice(lo, _ROWS)
+                yield pa.RecordBatch.from_arrays([*b.columns, *compute(b)], names=names)
 
     return kept.mapInArrow(run, schema)
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.llm.common import reliable_checkpoint
@@ -42,12 +42,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def linked_components(groups: DataFrame, confirm: Callable[[DataFrame], DataFrame], stars: int = 2,
-                      rest: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                      rest: Callable[[DataFrame], DataFrame] | None = None, carry: Sequence[str] = (),
+                      fits: Callable[[str, str], Column] | None = None) -> DataFrame:
     """(node, root) of the graph whose edges are the confirmed pairs of nodes
     that share a group; nodes without any edge are left out.
 
-    ``groups`` (g, node) holds the memberships of groups with two nodes or
-    more; ``confirm`` keeps the true links of candidate pairs (a, b).  Pairs
+    ``groups`` (g, node, and the columns ``carry``) holds the memberships of
+    groups with two nodes or more; ``confirm`` keeps the true links of
+    candidate pairs (a, b), ``fits`` is a cheap necessary condition on the
+    carried columns of a pair, named with the two prefixes it gets.  Pairs
     are not enumerated within a group: each of the ``stars`` rounds compares
     the members outside the component of the group's first node, or (later)
     of its first node outside that, with that node only.  Groups that then
@@ -57,7 +60,7 @@ def linked_components(groups: DataFrame, confirm: Callable[[DataFrame], DataFram
     a sharper join: it gets (g, node, r), r the component so far, and returns
     pairs (a, b) that hold every link between components.
     """
-    groups = groups.select("g", "node")
+    groups = groups.select("g", "node", *carry)
     done = edges = root = None
 
     def placed() -> DataFrame:
@@ -68,26 +71,26 @@ def linked_components(groups: DataFrame, confirm: Callable[[DataFrame], DataFram
     for turn in range(stars + 1):
         at = placed()
         span = at.groupBy("g").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).filter("lo < hi").select("g", "lo")
-        if turn < stars:
-            lead = span.select("g", F.col("lo").alias("a"), F.col("lo").alias("ra"))
-            if turn:
-                # the first node outside the smallest component of the group
-                lead = (at.join(span, "g").filter("r <> lo").groupBy("g").agg(F.min(F.struct("node", "r")).alias("x"))
-                          .select("g", F.col("x.node").alias("a"), F.col("x.r").alias("ra")))
-            pairs = at.withColumnRenamed("node", "b").join(lead, "g").filter("a <> b AND ra <> r").select("a", "b")
-        else:
-            several = reliable_checkpoint(at.join(span, "g"), "several")
+        several = at.join(span, "g")
+        if turn == stars:
+            several = reliable_checkpoint(several, "several")
             if several.isEmpty():
                 break
-            pairs = (rest or across)(several.select("g", "node", "r"))
+        if turn == stars and rest is not None:
+            pairs = rest(several.select("g", "node", "r"))
+        else:
+            lead = several.filter("r <> lo" if turn else "r = lo")
+            if turn < stars:
+                lead = lead.groupBy("g").agg(F.min(F.struct("node", "r", *carry)).alias("x")).select("g", "x.*")
+            # of each pair across components at least one is outside the group's smallest component
+            pairs = (_prefixed(several.drop("lo"), "b").join(_prefixed(lead.select("g", "node", "r", *carry), "a"), "g")
+                     .filter("a <> b AND a_r <> b_r").filter(fits("a_", "b_") if fits else F.lit(True)))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = reliable_checkpoint(pairs, "pairs")
         if pairs.isEmpty():
-            if turn < stars:
-                continue
-            break
+            continue
         found = reliable_checkpoint(confirm(pairs).select("a", "b"), "links")
         done = pairs if done is None else done.unionByName(pairs)
         edges = found if edges is None else edges.unionByName(found)
@@ -97,10 +100,6 @@ def linked_components(groups: DataFrame, confirm: Callable[[DataFrame], DataFram
     return root
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes of (g, node, r) that share a group but not a
-    component.  At least one of a pair is outside its group's smallest
-    component, so only those are matched with all."""
-    main = members.groupBy("g").agg(F.min("r").alias("lo"))
-    out = members.join(main, "g").filter("r <> lo").select("g", F.col("node").alias("a"), F.col("r").alias("ra"))
-    return (members.withColumnRenamed("node", "b").join(out, "g").filter("ra <> r").select("a", "b"))
+def _prefixed(df: DataFrame, name: str) -> DataFrame:
+    """Columns of ``df`` but g with a prefix; the node is called ``name``."""
+    return df.select("g", *[F.col(c).alias(name if c == "node" else f"{name}_{c}") for c in df.columns if c != "g"])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strideframe.llm import textscan as ts
-from strideframe.llm.common import bitmap, in_bitmap, read_table, reliable_checkpoint
+from strideframe.llm.common import bitmap, in_bitmap, passing, read_table, reliable_checkpoint
 from strideframe.llm.graph import linked_components
 
 BITS = 12
@@ -130,16 +130,11 @@ def index_keys(classes: DataFrame, index: Index) -> DataFrame:
 
 
 def shared_groups(keys: DataFrame) -> DataFrame:
-    """The rows (g, node) whose group has two rows or more.  The groups are
-    found by a count; a fixed-size bitmap of them thins the rows before the join."""
-    many = reliable_checkpoint(keys.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g"), "groups")
-    bm = bitmap(many, "g")
-
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(in_bitmap(bm, b.column(0).to_numpy(zero_copy_only=False).view(ts.U))))
-
-    return keys.mapInArrow(thin, keys.schema).join(many, "g")
+    """The rows of ``keys`` (g, ...) whose group g has two rows or more, with
+    their number n.  The groups are found by a count; a fixed-size bitmap of
+    them thins the rows before the join."""
+    many = reliable_checkpoint(keys.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1"), "groups")
+    return passing(keys, "g", bitmap(many, "g")).join(many, "g")
 
 
 def _class_sets(docs: DataFrame, shingle: int, wanted: np.ndarray, doc_id: str, text: str) -> DataFrame:
