@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from strideframe.llm import textscan as ts
 from strideframe.session import reliable_checkpoint, shared_dir
 
-__all__ = ["read_table", "fold", "append_columns", "bitmap", "in_bitmap", "passing", "reliable_checkpoint", "shared_dir"]
+__all__ = ["read_table", "fold", "fresh", "append_columns", "bitmap", "in_bitmap", "passing", "reliable_checkpoint", "shared_dir"]
 
 #: Rows that ``append_columns`` computes at a time, which bounds a worker's memory.
 _ROWS = 256
@@ -30,6 +30,16 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(modulus)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def append_columns(df: DataFrame, fields: Sequence[tuple[str, str]],
                    compute: Callable[[pa.RecordBatch], Sequence[pa.Array]]) -> DataFrame:
     """``df`` with columns computed per slice of an Arrow batch.  A column of ``df`` that

@@ -33,6 +33,8 @@ from strideframe.llm.license_scan import text_words
 WINDOW = 10
 SHINGLE = 5
 FILTER_BITS = 24
+#: Longer runs are cut into overlapping pieces of so many words, which bounds a row.
+RUN_WORDS = 1024
 
 
 def _shingle_hash(h: np.ndarray, size: int) -> np.ndarray:
@@ -75,6 +77,14 @@ def _filter_of(windows: DataFrame, bits: int) -> np.ndarray:
     return bitmap(parts.mapInArrow(hashed, "h long"), "h", bits)
 
 
+def _cut(a: np.ndarray, z: np.ndarray, size: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges a..z in pieces of at most ``size`` that overlap by ``overlap``."""
+    step = size - overlap
+    n = np.maximum(1, -(-(z - a - overlap) // step))
+    start = np.repeat(a, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * step
+    return start, np.minimum(start + size, np.repeat(z, n))
+
+
 def candidate_runs(docs: DataFrame, bm: np.ndarray, sizes: list[int], window: int, doc_id: str,
                    text: str) -> DataFrame:
     """(doc_id, text_key, n_words, start, words): the runs of words of each
@@ -99,6 +109,7 @@ def candidate_runs(docs: DataFrame, bm: np.ndarray, sizes: list[int], window: in
                 kept = np.cumsum(edge[:-1]) > 0
                 # ranges of two texts may touch: a run ends with its text
                 a, z = ts.runs(kept.astype(np.uint8), first)
+                a, z = _cut(a, z, max(RUN_WORDS, 2 * window), window - 1)
                 raw = low.tobytes()
                 text_of = [" ".join(raw[s[i]:e[i]].decode("utf-8") for i in range(p, q)) for p, q in zip(a, z)]
                 r = np.concatenate([np.arange(hi - lo), row[a]])
@@ -136,11 +147,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
                 .select(*key, "start", F.split("words", " ").alias("words")))
     if not sizes:
         held = held.limit(0)
-    pieces = held.select(
-        *key, "start", "words",
-        F.explode(F.concat(*[F.expr(f"if(size(words) >= {k}, {_shingles('words', str(k))}, "
-                                    "cast(array() as array<struct<p:int,s:string>>))") for k in sizes or [1]])
-                  ).alias("x")).select(*key, "start", "words", "x.p", "x.s")
+    # each shingle with the words around it that a window can cover, not with its whole run
+    around = f"slice(words, greatest(p - {window - 1}, 0) + 1, {2 * window})"
+    shingles = [f"if(size(words) >= {k}, transform(sequence(0, size(words) - {k}), p -> struct(p AS p, "
+                f"array_join(slice(words, p + 1, {k}), ' ') AS s, {around} AS near)), "
+                "cast(array() as array<struct<p:int,s:string,near:array<string>>>))" for k in sizes or [1]]
+    pieces = held.select(*key, "start", F.explode(F.concat(*map(F.expr, shingles))).alias("x")).select(
+        *key, "start", "x.*")
 
     parts = windows.select("window", "item_id", F.explode(F.expr(_shingles("window", "k"))).alias("x")).select(
         "window", "item_id", F.col("x.p").alias("off"), F.col("x.s").alias("s"))
@@ -152,8 +165,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
     hits = (pieces.join(rarest, "s")
                   .withColumn("at", F.col("p") - F.col("off"))
-                  .filter("at >= 0 AND at + size(window) <= size(words)")
-                  .filter("slice(words, at + 1, size(window)) = window")
+                  .withColumn("i", F.expr(f"at - greatest(p - {window - 1}, 0)"))
+                  .filter("at >= 0 AND i + size(window) <= size(near)")
+                  .filter("slice(near, i + 1, size(window)) = window")
                   .select(*key, "window", (F.col("start") + F.col("at")).alias("a"),
                           (F.col("start") + F.col("at") + F.size("window")).alias("z")))
     # words covered: each occurrence adds what lies beyond the reach of those before it

@@ -23,7 +23,7 @@ equal are sorted, one at a time, to the depth ``length``.
    rank instead of a long comparison.
 4. A bucket is dealt to parts of about ``PART_BLOCKS`` blocks, which bounds a
    task's memory.  What a part finds unique, while the bucket has other parts, is
-   counted once more over all parts by its 128-bit hash.
+   counted once more by its 128-bit hash, with what the other parts hold.
 
 A sample by position modulo a period (the textbook difference cover) would
 have 5 to 20 % of all positions here and exceed the shuffle that anchors need.
@@ -39,12 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.llm import textscan as ts
-from strideframe.llm.common import append_columns, bitmap, in_bitmap, passing, read_table, reliable_checkpoint
+from strideframe.llm.common import append_columns, bitmap, fresh, in_bitmap, passing, read_table, reliable_checkpoint
 
 LENGTH = 400
 #: Bytes compared directly at either end of a string, and distance of the cover sample.
 STEP = 32
 PART_BLOCKS = 4096
+#: End of the range of a string that its part already knows to repeat.
+_KNOWN = -1
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -224,20 +226,23 @@ def _sort_parts(length: int):
                 for k, v in zip(out, (r["doc_id"], r["text_key"], r["lo"] + a, r["lo"] + z, w1, w2)):
                     out[k].append(v)
 
-            i = 0
+            i, told = 0, set()
             for r in held:
                 mine = twice[i:i + len(r["body"]) - length + 1]
                 i += len(mine)
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]])))
                 for a, z in zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()):
                     put(r, a, z)
-                open_starts = np.flatnonzero(~mine)
-                if r["parts"] > 1 and len(open_starts):
-                    body = np.frombuffer(r["body"], dtype=np.uint8)
-                    w1, w2 = (ts.as_long(f.spans(f.prefix(body), open_starts, open_starts + length)).tolist()
+                if r["parts"] > 1:
+                    body, every = np.frombuffer(r["body"], dtype=np.uint8), np.arange(len(mine))
+                    w1, w2 = (ts.as_long(f.spans(f.prefix(body), every, every + length)).tolist()
                               for f in (ts.FIRST, ts.SECOND))
-                    for a, x, y in zip(open_starts.tolist(), w1, w2):
-                        put(r, a, a, x, y)
+                    for a, x, y, known in zip(every.tolist(), w1, w2, mine.tolist()):
+                        if not known:
+                            put(r, a, a, x, y)
+                        elif (x, y) not in told:    # other parts learn what repeats in this one
+                            told.add((x, y))
+                            put(r, a, _KNOWN - r["lo"], x, y)
             held.clear()
             types = [pa.int64()] * 5
             return pa.RecordBatch.from_arrays(
@@ -284,7 +289,9 @@ def repeated_starts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             _sort_parts(length), f"doc_id {kind}, text_key long, lo long, hi long, w1 long, w2 long"), "sorted")
     single = found.filter("w1 IS NULL").select(*out)
     again = found.filter("w1 IS NOT NULL")
-    twice = again.groupBy("w1", "w2").agg(F.count("*").alias("k")).filter("k > 1").select("w1", "w2")
+    twice = again.groupBy("w1", "w2").agg(F.sum(F.when(F.col("hi") == _KNOWN, 2).otherwise(1)).alias("k")).filter(
+        "k > 1").select("w1", "w2")
+    again = again.filter(F.col("hi") != _KNOWN)
     return runs.unionByName(unsure.select(*out)).unionByName(single).unionByName(
         again.join(twice, ["w1", "w2"], "left_semi").select(*out))
 
@@ -301,25 +308,26 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     Other columns pass through (columns with the names of the new ones are
     replaced); an empty table stays empty.
     """
+    at, at_id, at_key, key = fresh(docs, "_starts", "_starts_id", "_starts_key", "_text_key")
     starts = (repeated_starts(docs, doc_id, text, length, part_blocks)
-              .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("_starts"))
-              .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_starts"))
-    own = docs.withColumn("_text_key", _text_key(text))
-    joined = own.join(starts, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")),
-                      "left").drop("_id", "_key", "_text_key")
+              .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias(at))
+              .select(F.col("doc_id").alias(at_id), F.col("text_key").alias(at_key), at))
+    keyed = docs.withColumn(key, _text_key(text))
+    joined = keyed.join(starts, F.col(doc_id).eqNullSafe(F.col(at_id)) & (F.col(key) == F.col(at_key)),
+                      "left").drop(at_id, at_key, key)
 
     def compute(batch: pa.RecordBatch):
         sizes, removed, spans, kept = [], [], [], []
-        lists = batch.column("_starts")
+        lists = batch.column(at)
         for i, t in enumerate(batch.column(text)):
             raw = (t.as_py() or "").encode()
             n = k = 0
             if lists[i].is_valid:
-                at = np.array([(x["lo"], x["hi"] + length) for x in lists[i].as_py()], dtype=np.int64)
-                at = at[np.argsort(at[:, 0], kind="stable")]
-                reach = np.maximum.accumulate(at[:, 1])
-                new = np.append(True, at[1:, 0] > reach[:-1])
-                first = at[new, 0]
+                own = np.array([(x["lo"], x["hi"] + length) for x in lists[i].as_py()], dtype=np.int64)
+                own = own[np.argsort(own[:, 0], kind="stable")]
+                reach = np.maximum.accumulate(own[:, 1])
+                new = np.append(True, own[1:, 0] > reach[:-1])
+                first = own[new, 0]
                 end = np.append(reach[np.flatnonzero(new)[1:] - 1], reach[-1])
                 n, k = int((end - first).sum()), len(first)
                 rest, pos = [], 0
@@ -336,7 +344,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 pa.array(kept, pa.binary())]
 
     return append_columns(joined, [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"),
-                                   ("kept", "binary")], compute).drop("_starts")
+                                   ("kept", "binary")], compute).drop(at)
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
