@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Examples as (indices, values, label); indices are distinct within one.
+#: Examples as (indices, values, label); indices are distinct within one (held as 32 bits).
 Example = tuple[np.ndarray, np.ndarray, float]
 
 
@@ -49,9 +49,9 @@ def train(examples: Sequence[Example], s: Settings) -> np.ndarray:
         lead = np.sign(zi) * s.l1 - zi
         return np.where(np.abs(zi) <= s.l1, 0.0, lead / ((s.beta + np.sqrt(ni)) / s.alpha + s.l2))
 
-    biased = [(np.append(i, size - 1), np.append(v, 1.0), y) for i, v, y in examples]
     for _ in range(s.epochs):
-        for i, x, y in biased:
+        for i, x, y in examples:
+            i, x = np.append(i, size - 1), np.append(x, 1.0)      # the bias
             zi, ni = z[i], n[i]
             w = weights(zi, ni)
             g = (sigmoid(w @ x) - y) * x
@@ -72,7 +72,9 @@ def fit(labelled: DataFrame, key: str, text: str, label: str,
         pdf = pdf.assign(h=pd.util.hash_array(pdf["key"].to_numpy().astype("int64")))
         pdf = pdf.sort_values(["h", "text"])
         feats = examples(pdf["text"].tolist())
-        w = train([(i, v, float(y)) for (i, v), y in zip(feats, pdf["label"])], s)
+        labels = pdf["label"].tolist()
+        del pdf
+        w = train([(i, v, y) for (i, v), y in zip(feats, labels)], s)
         return pd.DataFrame({"w": [w.tobytes()]})
 
     rows = labelled.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),

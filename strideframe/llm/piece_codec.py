@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from strideframe.llm.common import append_columns, read_table
 
 BREAK = "▁"
-#: Words and pairs of tokens that a worker remembers.
-MEMORY = 400_000
+#: Words, and pairs of tokens, that a worker remembers.
+MEMORY, PAIRS = 150_000, 300_000
 
 _WORDS = re.compile(f"\n|{BREAK}+[^{BREAK}\n]*|[^{BREAK}\n]+")
 
@@ -65,6 +65,24 @@ class Codec:
     def merge(self, text: str) -> list[str]:
         """Pieces after repeatedly joining the adjacent pair with the best
         score (leftmost of equals): the definition of the encoding."""
+        return self._merge_short(text) if len(text) <= 40 else self._merge_long(text)
+
+    def _merge_short(self, text: str) -> list[str]:
+        """``merge`` by scanning the pairs for the best one."""
+        part, score, none = list(text), self.score, float("-inf")
+        pairs = [score.get(x + y, none) for x, y in zip(part, part[1:])]
+        while pairs and (best := max(pairs)) > none:
+            i = pairs.index(best)
+            part[i:i + 2] = [part[i] + part[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = score.get(part[i] + part[i + 1], none)
+            if i:
+                pairs[i - 1] = score.get(part[i - 1] + part[i], none)
+        return part
+
+    def _merge_long(self, text: str) -> list[str]:
+        """``merge`` with a heap of the pairs."""
         part, n = list(text), len(text)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = []
@@ -100,7 +118,7 @@ class Codec:
     def _compatible(self, a: str, b: str) -> bool:
         ok = self.fits.get((a, b))
         if ok is None:
-            if len(self.fits) >= MEMORY:
+            if len(self.fits) >= PAIRS:
                 self.fits.clear()
             ok = self.fits[a, b] = self._is_token(b) and self.merge(a + b) == [a, b]
         return ok
@@ -215,7 +233,7 @@ class Codec:
                 self.words.clear()
             ids = self._word(word)
             got = (len(ids), " ".join(map(str, ids)), self.decode_pieces(ids))
-            if len(word) <= 64:
+            if len(word) <= 32:
                 self.words[word] = got
         return got
 

@@ -54,7 +54,7 @@ def _examples(texts, bits: int = SETTINGS.bits) -> list[tuple[np.ndarray, np.nda
         order = np.argsort(row, kind="stable")
         for part in np.split(index[order], np.cumsum(np.bincount(row, minlength=hi - lo))[:-1]):
             i, n = np.unique(part, return_counts=True)
-            out.append((i, n * (SCALE / max(1, len(part)))))
+            out.append((i.astype(np.int32), (n * (SCALE / max(1, len(part)))).astype(np.float32)))
     return out
 
 

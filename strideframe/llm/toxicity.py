@@ -253,7 +253,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, costs: np.ndarray, train_
             low, off, _ = restore_chunk(decoder, data, offsets)
             row, index, value = _counted(*_features(low, off, settings.bits), settings.bits)
             ends = np.searchsorted(row, np.arange(1, hi - lo))
-            out += list(zip(np.split(index, ends), np.split(value, ends)))
+            out += [(i.astype(np.int32), v.astype(np.float32))
+                    for i, v in zip(np.split(index, ends), np.split(value, ends))]
         return out
 
     rows, n = ftrl.sample(docs.select(doc_id, text), labels, doc_id, label, train_fold, settings)
