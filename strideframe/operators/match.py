@@ -61,8 +61,9 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     The work is linear in the rows; nothing is built per pair.
 
     Both sides are first reduced with combining aggregates — right rows to
-    one per (key, time), left rows to distinct rows — so a group of copies on
-    either side never reaches a window partition whole.  When ``left`` passes
+    one per (key, time), left rows to distinct rows with their number — so a
+    group of copies on either side never reaches a window partition whole, and
+    every left row with a match gives a result row.  When ``left`` passes
     the size check (or the caller passes ``left_small=True`` for a side with
     a proven bound) its keys filter ``right`` map-side (broadcast semi join),
     so only candidate rows are shuffled.
@@ -88,6 +89,8 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
         return F.struct(*[F.col(prefix + c).alias(c) for c in extra]) if extra else F.struct(F.lit(0).alias("_z"))
 
     rstruct = F.struct(F.col("_t").alias("t"), *[F.col(c) for c in extra])
+    # identical left rows are matched once and given out again as often
+    counted = lp.groupBy(*lcols).agg(F.count("*").cast("int").alias("_n"))
     # Right rows at the same (key, time) can only ever contribute their
     # smallest payload, so they are reduced to that row first: a combining
     # aggregate that collapses any group of copies map-side, before a single
@@ -96,9 +99,8 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
                .agg(F.min(F.struct(tie_key().alias("rk"), rstruct.alias("r"))).alias("_m")))
     rows_r = best_r.select(*keys, "_t", F.lit(0).alias("_side"), F.col("_m.r").alias("_r"),
                            F.col("_m.rk").alias("_rk"),
-                           F.lit(None).cast(lp.select(F.struct(*lcols)).schema[0].dataType).alias("_l"))
-    # identical left rows give one result: collapsed the same way
-    lsel = lp.distinct().select(*keys, F.col(left_t).alias("_t"), F.struct(*lcols).alias("_l"))
+                           F.lit(None).cast(counted.select(F.struct(*lcols, "_n")).schema[0].dataType).alias("_l"))
+    lsel = counted.select(*keys, F.col(left_t).alias("_t"), F.struct(*lcols, "_n").alias("_l"))
     rows_l = lsel.filter(valid).select(*keys, "_t", F.lit(1).alias("_side"),
                                        F.lit(None).cast(rows_r.schema["_r"].dataType).alias("_r"),
                                        F.lit(None).cast(rows_r.schema["_rk"].dataType).alias("_rk"), "_l")
@@ -160,6 +162,7 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
                 .withColumn("_d", F.abs(F.col("_m.t") - F.col("_t")))
     if tolerance is not None:
         out = out.filter(F.col("_d") <= F.lit(float(tolerance)))
+    out = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_l._n"))))
     return out.select(*[F.col(f"_l.{c}").alias(c) for c in lcols],
                       F.col("_m.t").cast(r_t_type).alias(right_t), F.col("_d").alias(diff_col),
                       *[F.col(f"_m.{c}").alias(c) for c in extra])

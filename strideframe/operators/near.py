@@ -28,11 +28,12 @@ def with_target_in_moment(moments: DataFrame, keys: Sequence[str] = MOMENT, role
     same moment with an unordered window over the moment key, then the
     target rows removed.  Same result as ``join_target`` on deduped input
     (entity rows of moments without a target get nulls, then drop out of
-    any distance predicate), without a second scan and join.  A moment holds
-    one row per entity, so window partitions stay small."""
+    any distance predicate), without a second scan and join.  Rows with a
+    null key belong to no moment and go, as the join drops them.  A moment
+    holds one row per entity, so window partitions stay small."""
     w = Window.partitionBy(*keys)
     is_t = F.col(role) == F.lit(target_id)
-    out = moments.withColumns({prefix + c.split("_")[0]: F.max(F.when(is_t, F.col(c))).over(w) for c in cols})
+    out = moments.dropna(subset=list(keys)).withColumns({prefix + c.split("_")[0]: F.max(F.when(is_t, F.col(c))).over(w) for c in cols})
     return out.filter(F.col(role) != F.lit(target_id))
 
 

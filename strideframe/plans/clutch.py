@@ -108,9 +108,15 @@ def classify_shots(located: DataFrame, radius: float = S.THREE_POINT_RADIUS_M) -
                    .withColumn("shot_type", S.shot_type("dist_to_basket", radius)))
 
 
-def typed_clutch_shots(moments: DataFrame, events: DataFrame, **kw) -> DataFrame:
+def typed_clutch_shots(moments: DataFrame, events: DataFrame, player_id: int | None = None, **kw) -> DataFrame:
+    """Located and typed clutch shots, of one player if given: the other
+    players' shots go after the margin fill, before anything is located."""
     bro = kw.pop("broadcast_rows", BROADCAST_ROWS)
-    return classify_shots(locate_shots(moments, clutch_shots(events, **kw), broadcast_rows=bro))
+    shots = clutch_shots(events, **kw)
+    if player_id is not None:
+        shots = shots.filter(F.col("player_id") == F.lit(player_id))
+        moments = moments.filter(F.col("player_id").isin(player_id, S.BALL_ID))
+    return classify_shots(locate_shots(moments, shots, broadcast_rows=bro))
 
 
 def clutch_efficiency(moments: DataFrame, events: DataFrame, **kw) -> DataFrame:
@@ -124,7 +130,5 @@ def clutch_efficiency(moments: DataFrame, events: DataFrame, **kw) -> DataFrame:
 
 def shot_locations(moments: DataFrame, events: DataFrame, player_id: int, **kw) -> DataFrame:
     """Q4: one player's clutch shots with position, type and distance."""
-    typed = typed_clutch_shots(moments, events, **kw)
-    return (typed.filter(F.col("player_id") == F.lit(player_id))
-                 .select("player_id", "event_type", "shot_type", "x_loc", "y_loc", "dist_to_basket",
-                         "game_clock_seconds", "game_id"))
+    return typed_clutch_shots(moments, events, player_id, **kw).select(
+        "player_id", "event_type", "shot_type", "x_loc", "y_loc", "dist_to_basket", "game_clock_seconds", "game_id")

@@ -15,35 +15,27 @@ import uuid
 from pyspark.sql import DataFrame
 
 
-def _fs_and_path(spark, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs, p
-
-
 def write_single_delimited(df: DataFrame, out_dir: str, name: str, sep: str = " ",
                            header: bool = False) -> str:
+    """Write ``df`` as the one file ``out_dir/name`` and return its path.
+
+    The rows are computed in parallel; only the finished result is brought
+    together (``repartition(1)``).  An existing file keeps its content until
+    the new one is complete."""
     spark = df.sparkSession
-    out_dir = out_dir[:-1] if out_dir.endswith("/") else out_dir
-    tmp = f"{out_dir}/_tmp_{name}_{uuid.uuid4().hex[:8]}"
-    final = f"{out_dir}/{name}"
-    (df.coalesce(1).write.mode("overwrite")
-       .option("header", str(header).lower()).option("sep", sep).csv(tmp))
-    fs, tmp_path = _fs_and_path(spark, tmp)
-    part = None
-    for st in fs.listStatus(tmp_path):
-        if st.getPath().getName().startswith("part-"):
-            part = st.getPath()
-            break
-    if part is None:
-        raise RuntimeError(f"no part file found in {tmp}")
-    _, final_path = _fs_and_path(spark, final)
-    fs.delete(final_path, False)
-    if not fs.rename(part, final_path):
-        raise RuntimeError(f"rename {part} -> {final} failed")
-    fs.delete(tmp_path, True)
-    return final
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(out_dir)
+    target, staging = hadoop.Path(folder, name), hadoop.Path(folder, f".{name}.{uuid.uuid4().hex}")
+    df.repartition(1).write.csv(staging.toString(), sep=sep, header=header)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    (written,) = [f.getPath() for f in files.globStatus(hadoop.Path(staging, "part-*"))]
+    if files.exists(target):
+        files.delete(target, False)
+    moved = files.rename(written, target)
+    files.delete(staging, True)
+    if not moved:
+        raise OSError(f"{target} could not be put in place")
+    return target.toString()
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | None = None,

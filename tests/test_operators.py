@@ -181,16 +181,16 @@ def test_random_repartition_invariance(spark):
 
 
 def _brute_nearest(left, right, tol=None):
-    """Pure-Python reference: min over (d, -t, x) per distinct left row."""
-    out = set()
-    for (g, p, t) in set(left):
+    """Pure-Python reference: min over (d, -t, x) per left row, copies included."""
+    out = []
+    for (g, p, t) in left:
         cands = [(abs(rt - t), -rt, x, rt) for (rg, rp, rt, x) in right if (rg, rp) == (g, p)]
         if tol is not None:
             cands = [c for c in cands if c[0] <= tol]
         if cands:
             d, _, x, rt = min(cands)
-            out.add((g, p, t, rt, x))
-    return out
+            out.append((g, p, t, rt, x))
+    return sorted(out)
 
 
 @pytest.mark.parametrize("width", [None, 0.7, 3.0, 50.0])
@@ -201,16 +201,16 @@ def test_nearest_match_bucketed_matches_brute_force(spark, width):
               rnd.randint(0, 80) / 4, float(rnd.randint(0, 3))) for _ in range(400)]
     left = [(1 if rnd.random() < 0.7 else rnd.randint(2, 4), rnd.randint(1, 2), rnd.randint(-8, 90) / 4)
             for _ in range(120)]
-    left += left[:10]                       # identical left rows collapse to one result
+    left += left[:10]                       # identical left rows each give a result
     L = spark.createDataFrame(left, "g long, p long, t double").repartition(3)
     R = spark.createDataFrame(right, "g long, p long, clock double, x double").repartition(5)
     on = [("g", "g"), ("p", "p")]
     for bro in (None, 10_000):
         got = nearest_match(L, R, on, "t", "clock", ["x"], broadcast_rows=bro, bucket_width=width)
-        assert {(r.g, r.p, r.t, r.clock, r.x) for r in got.collect()} == _brute_nearest(left, right)
+        assert sorted((r.g, r.p, r.t, r.clock, r.x) for r in got.collect()) == _brute_nearest(left, right)
         assert got.count() == len(_brute_nearest(left, right))
         tol = nearest_match(L, R, on, "t", "clock", ["x"], broadcast_rows=bro, bucket_width=width, tolerance=0.5)
-        assert {(r.g, r.p, r.t, r.clock, r.x) for r in tol.collect()} == _brute_nearest(left, right, 0.5)
+        assert sorted((r.g, r.p, r.t, r.clock, r.x) for r in tol.collect()) == _brute_nearest(left, right, 0.5)
 
 
 def test_profile_approx_agrees_with_exact(spark):
@@ -303,3 +303,19 @@ def test_nearest_match_tolerance_large_absolute_times(spark):
                             tolerance=tol, bucket_width=w)
         assert sorted((r.p, r.clock, r.x) for r in got.collect()) == \
             [(1, float(base + 1_249_900), 1.0), (2, float(base + 2_750_100), 2.0)]
+
+
+def test_nearest_match_keeps_repeated_left_rows(spark):
+    from strideframe.operators.match import nearest_match
+    left = spark.createDataFrame([(1, 5.0), (1, 5.0), (1, 6.0)], "k int, t double")
+    right = spark.createDataFrame([(1, 5.2, 9.0)], "k int, u double, x double")
+    for tol in (None, 2.0):
+        assert nearest_match(left, right, [("k", "k")], "t", "u", ["x"], tolerance=tol).count() == 3
+
+
+def test_target_in_moment_drops_null_keys(spark):
+    from strideframe.operators import near
+    rows = [(1, 1, None, -1, 0.0, 0.0), (1, 1, None, 5, 0.1, 0.0), (1, 1, 2.0, -1, 0.0, 0.0), (1, 1, 2.0, 5, 0.1, 0.0)]
+    m = spark.createDataFrame(rows, "game_id long, quarter int, game_clock double, player_id long, x_loc double, y_loc double")
+    joined = near.join_target(m.filter("player_id <> -1"), m.filter("player_id = -1"))
+    assert near.with_target_in_moment(m).count() == joined.count() == 1
