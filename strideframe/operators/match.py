@@ -1,51 +1,27 @@
 """Matching joins: nearest-in-time (J6), nearest within a tolerance band
-(J7), semi / anti joins by key set (J8, J9), and the size-checked broadcast
-used by every join whose small side is derived from data."""
+(J7), semi / anti joins by key set (J8, J9)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest row count of a derived side that may be broadcast.  Above it the
-# join stays a shuffle join (AQE may still split skewed partitions).
-BROADCAST_ROWS = 2_000_000
-
-
-def persist_if_small(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """(side, small): ``df`` persisted and counted; kept persisted when it has
-    at most ``max_rows`` rows (so it is computed once for every later use —
-    a lost block is recomputed from lineage), otherwise released."""
-    if not max_rows:
-        return df, False
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.limit(max_rows + 1).count() <= max_rows:
-        return cached, True
-    cached.unpersist()
-    return df, False
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """(side, small): the side broadcast when it has at most ``max_rows`` rows
-    (``persist_if_small``); a side over the bound is left to a shuffle join."""
-    side, small = persist_if_small(df, max_rows)
-    return (F.broadcast(side), True) if small else (side, False)
+#: Slices that a key of the right side is dealt into while it is filtered by the left side's keys.
+FILTER_SLICES = 8
 
 
 def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_t: str,
                   right_t: str, right_cols: Sequence[str], later_first: bool = True,
-                  broadcast_rows: int | None = BROADCAST_ROWS, tolerance: float | None = None,
-                  diff_col: str = "clock_diff", bucket_width: float | None = 60.0,
-                  left_small: bool | None = None) -> DataFrame:
+                  tolerance: float | None = None, diff_col: str = "clock_diff",
+                  bucket_width: float | None = 60.0) -> DataFrame:
     """J6/J7 as-of match: for every ``left`` row, the ``right`` row with equal
     keys and the smallest ``abs(right_t - left_t)``; ties go to the larger
     ``right_t`` (earlier on a count-down clock) when ``later_first``, then to
     the smaller ``right_cols`` values.  Left rows without a candidate (or
-    with a null key or time) are dropped (inner semantics); identical left
-    rows give one result row.  With ``tolerance`` the match must lie within
+    with a null key or time) are dropped (inner semantics); every other left
+    row, copies included, gives its own result row.  With ``tolerance`` the match must lie within
     ``abs(diff) <= tolerance`` — the nearest row overall, kept only when it is
     that close, which is the nearest row inside the band.
 
@@ -63,23 +39,22 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     Both sides are first reduced with combining aggregates — right rows to
     one per (key, time), left rows to distinct rows with their number — so a
     group of copies on either side never reaches a window partition whole, and
-    every left row with a match gives a result row.  When ``left`` passes
-    the size check (or the caller passes ``left_small=True`` for a side with
-    a proven bound) its keys filter ``right`` map-side (broadcast semi join),
-    so only candidate rows are shuffled.
+    every left row with a match gives a result row.  The distinct keys of
+    ``left`` filter ``right`` first, so only candidate rows reach the windows;
+    adaptive execution broadcasts them when they are measured small.  Beyond
+    that the filter is a shuffle join on (key, slice): a key's right rows are
+    dealt into ``FILTER_SLICES`` by their input partition, and what is still
+    skewed can be split, as another exchange follows.
     """
     right_cols = list(right_cols)
     lcols = left.columns
     keys = [lc for lc, _ in on]
     r_t_type = right.schema[right_t].dataType
-    if left_small:      # the caller has a proven bound (e.g. one row per size-checked shot)
-        lp, small = left.persist(StorageLevel.MEMORY_AND_DISK), True
-    else:
-        lp, small = persist_if_small(left, broadcast_rows)
     r = right.select(*[F.col(rc).alias(lc) for lc, rc in on], F.col(right_t).alias("_t"),
-                     *[F.col(c) for c in right_cols if c != right_t])
-    if small:
-        r = r.join(F.broadcast(lp.select(*keys)), keys, "left_semi")
+                     *[F.col(c) for c in right_cols if c != right_t],
+                     F.pmod(F.spark_partition_id(), F.lit(FILTER_SLICES)).alias("_slice"))
+    slices = F.explode(F.sequence(F.lit(0), F.lit(FILTER_SLICES - 1))).alias("_slice")
+    r = r.join(left.select(*keys).distinct().select(*keys, slices), [*keys, "_slice"], "left_semi").drop("_slice")
     valid = F.col("_t").isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
@@ -90,7 +65,7 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
 
     rstruct = F.struct(F.col("_t").alias("t"), *[F.col(c) for c in extra])
     # identical left rows are matched once and given out again as often
-    counted = lp.groupBy(*lcols).agg(F.count("*").cast("int").alias("_n"))
+    counted = left.groupBy(*lcols).agg(F.count("*").cast("int").alias("_n"))
     # Right rows at the same (key, time) can only ever contribute their
     # smallest payload, so they are reduced to that row first: a combining
     # aggregate that collapses any group of copies map-side, before a single

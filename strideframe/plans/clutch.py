@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.functions import scalar as S
-from strideframe.operators.dedupe import split_roles
-from strideframe.operators.match import BROADCAST_ROWS, maybe_broadcast, nearest_match
+from strideframe.operators.dedupe import dedupe, split_roles
+from strideframe.operators.match import nearest_match
 from strideframe.operators.rates import pivot_rates
 from strideframe.operators.sequence import forward_fill, shot_instant
 
@@ -19,10 +19,11 @@ CLUTCH_SECONDS = 300
 CLUTCH_MARGIN = 5
 BALL_HEIGHT_M = 2.0
 FILL_BUCKET_SECONDS = 1
+EVENT_KEY = ["game_id", "event_id", "quarter"]
 
 
 def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SECONDS,
-                 fill_before_filter: bool = False, broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
+                 fill_before_filter: bool = False) -> DataFrame:
     """Shots (made/missed) with ``margin_filled``: last non-null score margin
     within the game in time order (period asc, clock desc, event number asc —
     the event number breaks ties at equal clocks, H2).  As in the reference,
@@ -34,8 +35,7 @@ def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SEC
     distinct rows (a combining aggregate folds copies map-side; a row's fill
     depends only on its content), and every input row — copies included —
     gets its value back by an equi-join on the whole row, so no group of
-    copies passes through one window task.  ``broadcast_rows`` is kept for
-    the callers' signature."""
+    copies passes through one window task."""
     ev = events.withColumn("game_clock_seconds", S.clock_to_seconds("pctimestring"))
     is_shot = F.col("eventmsgtype").isin(S.EVENT_MADE, S.EVENT_MISSED)
     if not fill_before_filter:
@@ -69,35 +69,35 @@ def clutch_shots(events: DataFrame, min_period: int = MIN_PERIOD, clutch_seconds
                      F.col("game_clock_seconds")))
 
 
+def one_shot_per_event(shots: DataFrame) -> DataFrame:
+    """One shot per (game, event, quarter), as every ball sample of an event
+    belongs to one shot: the smallest by player, then type, then clock (the
+    reference keeps any one)."""
+    return dedupe(shots, EVENT_KEY, ["player_id", "event_type", "game_clock_seconds"])
+
+
 def locate_shots(moments: DataFrame, shots: DataFrame, height: float = BALL_HEIGHT_M,
-                 broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
-    """The shooter's position at the shot instant.
+                 player_id: int | None = None) -> DataFrame:
+    """The shooter's position at the shot instant, one
+    shot per event; with ``player_id`` only that player's shots are located.
 
     The shot instant per (game, event, quarter) is an aggregate over the
-    event's ball rows.  When the shot list passes the size check it is
-    broadcast and filters the ball rows before aggregating; otherwise the
-    ball rows are aggregated per event first (partials combined map-side)
-    and the much smaller result is joined.  Moments are not deduped (H11).
+    event's ball rows, combined map-side, so one row per event and task is
+    shuffled and joined to the shots.  Moments are not deduped (H11).
     """
+    shots = one_shot_per_event(shots)
+    if player_id is not None:
+        shots = shots.filter(F.col("player_id") == F.lit(player_id))
+        moments = moments.filter(F.col("player_id").isin(player_id, S.BALL_ID))
     players, ball = split_roles(moments)
-    ekey = ["game_id", "event_id", "quarter"]
-    shot_cols = shots.columns
-    sb, small = maybe_broadcast(shots, broadcast_rows)
-    ball = ball.select(*ekey, "game_clock", "radius")
-    if small:
-        inst = shot_instant(ball.join(sb, ekey), shot_cols, v="radius", threshold=height)
-    else:
-        per_event = shot_instant(ball, ekey, v="radius", threshold=height)
-        inst = per_event.join(shots, ekey)
-    inst = inst.select(*shot_cols, F.col("shot_game_clock").alias("tracking_game_clock"),
-                       F.col("max_height").alias("ball_height"))
+    per_event = shot_instant(ball.select(*EVENT_KEY, "game_clock", "radius"), EVENT_KEY, v="radius", threshold=height)
+    inst = per_event.join(shots, EVENT_KEY).select(
+        *shots.columns, F.col("shot_game_clock").alias("tracking_game_clock"),
+        F.col("max_height").alias("ball_height"))
     on = [(c, c) for c in ["game_id", "event_id", "player_id", "quarter"]]
-    # one instant per shot: when the shots passed the size check, so do the
-    # instants (no second count)
     loc = nearest_match(inst, players.select("game_id", "event_id", "player_id", "quarter", "game_clock",
                                              "x_loc", "y_loc"),
-                        on, "tracking_game_clock", "game_clock", ["x_loc", "y_loc"],
-                        broadcast_rows=broadcast_rows, left_small=True if small else None)
+                        on, "tracking_game_clock", "game_clock", ["x_loc", "y_loc"])
     return loc.drop("clock_diff").withColumnRenamed("game_clock", "m_game_clock")
 
 
@@ -110,13 +110,9 @@ def classify_shots(located: DataFrame, radius: float = S.THREE_POINT_RADIUS_M) -
 
 def typed_clutch_shots(moments: DataFrame, events: DataFrame, player_id: int | None = None, **kw) -> DataFrame:
     """Located and typed clutch shots, of one player if given: the other
-    players' shots go after the margin fill, before anything is located."""
-    bro = kw.pop("broadcast_rows", BROADCAST_ROWS)
-    shots = clutch_shots(events, **kw)
-    if player_id is not None:
-        shots = shots.filter(F.col("player_id") == F.lit(player_id))
-        moments = moments.filter(F.col("player_id").isin(player_id, S.BALL_ID))
-    return classify_shots(locate_shots(moments, shots, broadcast_rows=bro))
+    players' shots go after the margin fill and the choice of one shot per
+    event, before anything is located."""
+    return classify_shots(locate_shots(moments, clutch_shots(events, **kw), player_id=player_id))
 
 
 def clutch_efficiency(moments: DataFrame, events: DataFrame, **kw) -> DataFrame:

@@ -130,7 +130,9 @@ LOCATED = FILLED + f"""
   SELECT game_id, eventnum AS event_id, period AS quarter, player1_id AS player_id,
          eventmsgtype AS event_type, game_clock_seconds
   FROM f WHERE margin_filled IS NOT NULL AND period >= 4 AND game_clock_seconds <= 300
-         AND abs(TRY_CAST(margin_filled AS INTEGER)) <= 5),
+         AND abs(TRY_CAST(margin_filled AS INTEGER)) <= 5
+  QUALIFY row_number() OVER (PARTITION BY game_id, event_id, quarter
+                             ORDER BY player_id NULLS FIRST, event_type, game_clock_seconds) = 1),
 bm AS (SELECT m.game_id, m.event_id, m.quarter, m.game_clock, m.radius,
               s.player_id, s.event_type, s.game_clock_seconds
        FROM moments m JOIN shots s ON m.game_id = s.game_id AND m.event_id = s.event_id
@@ -315,14 +317,13 @@ ORACLES["text_shots_located"] = with_views(f"""
   SELECT game_id, eventnum, player1_id AS player_id, player1_name, period AS quarter,
          CAST(TRY_CAST(split_part(trim(pctimestring), ':', 1) AS INTEGER) * 60
               + TRY_CAST(split_part(trim(pctimestring), ':', 2) AS INTEGER) AS DOUBLE) AS game_clock_approx,
-         eventmsgtype = 1 AS made
+         eventmsgtype = 1 AS made, row_number() OVER () AS copy
   FROM events_pbp
   WHERE eventmsgtype IN (1, 2) AND (coalesce(contains(homedescription, '3PT'), false)
                                     OR coalesce(contains(visitordescription, '3PT'), false))),
 c AS (
   SELECT t.*, m.game_clock, m.x_loc, m.y_loc,
-         row_number() OVER (PARTITION BY t.game_id, t.eventnum, t.player_id, t.player1_name, t.quarter,
-                                         t.game_clock_approx, t.made
+         row_number() OVER (PARTITION BY t.copy
                             ORDER BY abs(m.game_clock - t.game_clock_approx), m.game_clock DESC,
                                      m.x_loc, m.y_loc) AS rn
   FROM ts t JOIN moments m ON m.game_id = t.game_id AND m.player_id = t.player_id AND m.quarter = t.quarter
@@ -451,11 +452,12 @@ ORACLES["nearest_match_tolerance"] = with_views(f"""
 , ts AS (
   SELECT game_id, eventnum, player1_id AS player_id, period AS quarter,
          CAST(TRY_CAST(split_part(trim(pctimestring), ':', 1) AS INTEGER) * 60
-              + TRY_CAST(split_part(trim(pctimestring), ':', 2) AS INTEGER) AS DOUBLE) AS event_clock
+              + TRY_CAST(split_part(trim(pctimestring), ':', 2) AS INTEGER) AS DOUBLE) AS event_clock,
+         row_number() OVER () AS copy
   FROM events_pbp WHERE eventmsgtype IN (1, 2)),
 c AS (
   SELECT t.*, m.game_clock, abs(m.game_clock - t.event_clock) AS clock_diff, m.x_loc, m.y_loc,
-         row_number() OVER (PARTITION BY t.game_id, t.eventnum, t.player_id, t.quarter, t.event_clock
+         row_number() OVER (PARTITION BY t.copy
                             ORDER BY abs(m.game_clock - t.event_clock), m.game_clock DESC, m.x_loc, m.y_loc) AS rn
   FROM ts t JOIN moments m ON m.game_id = t.game_id AND m.player_id = t.player_id AND m.quarter = t.quarter
        AND abs(m.game_clock - t.event_clock) <= 1.0

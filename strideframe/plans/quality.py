@@ -8,7 +8,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from strideframe.functions import scalar as S
 from strideframe.operators.dedupe import split_roles
-from strideframe.operators.match import BROADCAST_ROWS, anti_join, nearest_match, semi_join
+from strideframe.operators.match import anti_join, nearest_match, semi_join
 from strideframe.operators.profile import (count_of_counts, exact_quantiles, profile, quantiles_from_counts,
                                            summary_from_counts, threshold_counts, value_weights)
 from strideframe.operators.sequence import equi_depth_buckets, next_in_sequence, time_buckets
@@ -148,8 +148,7 @@ def text_shots(events: DataFrame, token: str = "3PT") -> DataFrame:
 
 
 def locate_text_shots(moments: DataFrame, events: DataFrame, tolerance: float = 1.0, token: str = "3PT",
-                      radius: float = S.THREE_POINT_RADIUS_M,
-                      broadcast_rows: int | None = BROADCAST_ROWS) -> DataFrame:
+                      radius: float = S.THREE_POINT_RADIUS_M) -> DataFrame:
     """Q11: each text-identified shot matched to the shooter's sample
     nearest in time within ±``tolerance`` s in the same game and quarter
     (J7; the game key is part of the match, H24), with distance to the
@@ -161,8 +160,7 @@ def locate_text_shots(moments: DataFrame, events: DataFrame, tolerance: float =
     players, _ = split_roles(moments)
     m = players.select("game_id", "player_id", "quarter", "game_clock", "x_loc", "y_loc")
     on = [("game_id", "game_id"), ("player_id", "player_id"), ("quarter", "quarter")]
-    loc = nearest_match(shots, m, on, "game_clock_approx", "game_clock", ["x_loc", "y_loc"],
-                        broadcast_rows=broadcast_rows, tolerance=tolerance)
+    loc = nearest_match(shots, m, on, "game_clock_approx", "game_clock", ["x_loc", "y_loc"], tolerance=tolerance)
     d = S.min_dist_to_baskets("x_loc", "y_loc")
     return (loc.withColumn("dist_nearest_basket", d)
                .withColumn("outside_arc", S.outside_arc("dist_nearest_basket", radius)))

@@ -8,7 +8,6 @@ fresh local folder when the setting is unset, which is the local/test case.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -40,7 +39,7 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str
     """Settings sized for the input: shuffle partitions ~ input / 256 MB
     (AQE coalesces small ones and splits skewed ones at run time), scan
     splits of 256 MB, broadcast of runtime-measured small sides only."""
-    parts = max(200, min(100_000, input_bytes // partition_bytes))
+    parts = max(200, input_bytes // partition_bytes)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -98,10 +97,4 @@ def reliable_checkpoint(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for helpers that need a plain path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "cluster_conf", "apply_if_unset", "shared_dir", "reliable_checkpoint",
-           "local_path", "os"]
+__all__ = ["build_session", "cluster_conf", "apply_if_unset", "shared_dir", "reliable_checkpoint"]

@@ -4,8 +4,7 @@
 ``out_dir`` (the report format: space separated, optional header).  It goes
 through the Hadoop FileSystem of the output path, so it works the same on a
 local folder, HDFS or an object store.  One file means one writer task: use
-it for reports, never for large outputs (``write_partitioned`` is the
-scalable sink).
+it for reports, never for large outputs.
 """
 
 from __future__ import annotations
@@ -36,13 +35,3 @@ def write_single_delimited(df: DataFrame, out_dir: str, name: str, sep: str = "
     if not moved:
         raise OSError(f"{target} could not be put in place")
     return target.toString()
-
-
-def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                      fmt: str = "parquet") -> str:
-    """Scalable sink: one file per task (and per partition value)."""
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
-    return path

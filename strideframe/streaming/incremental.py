@@ -22,7 +22,6 @@ from strideframe.operators.dedupe import split_roles
 from strideframe.operators.rates import per_unit_rate
 from strideframe.operators.sequence import step_distance
 from strideframe.plans.distance import SEGMENT, dedupe_moments, seconds_on_court
-from strideframe.session import shared_dir
 from strideframe.sources.readers import scale_columns
 
 
@@ -36,12 +35,15 @@ def game_partials(moments_m: DataFrame, max_gap: float = 0.5, bucket_seconds: fl
 
 
 def start_distance_stream(spark: SparkSession, moments_dir: str, partials_path: str,
-                          checkpoint: str | None = None, max_files_per_trigger: int = 8,
+                          checkpoint: str, max_files_per_trigger: int = 8,
                           max_gap: float = 0.5, available_now: bool = True):
-    """Start the stream; returns the StreamingQuery."""
-    src = (spark.readStream.schema(schemas.MOMENTS).option("header", "true")
+    """Start the stream; returns the StreamingQuery.
+
+    ``checkpoint`` belongs to ``partials_path``: a restart with both goes on
+    where the last run stopped.  A file whose header does not name the
+    columns in their order stops the stream, its values are never misread."""
+    src = (spark.readStream.schema(schemas.MOMENTS).option("header", "true").option("enforceSchema", "false")
                 .option("maxFilesPerTrigger", max_files_per_trigger).csv(moments_dir))
-    checkpoint = checkpoint or shared_dir(spark, "distance-stream")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         m = scale_columns(batch, ["x_loc", "y_loc", "radius"], FEET_TO_METERS)

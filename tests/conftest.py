@@ -37,3 +37,11 @@ def moments_df(spark, data):
         team = t[8] if len(t) > 8 else 1
         full.append((g, e, q, float(c), 10.0, team, p, float(x), float(y), float(r)))
     return spark.createDataFrame(full, MOMENT_COLS)
+
+
+@pytest.fixture(autouse=True)
+def _join_limit(request):
+    """A test may set the broadcast threshold; the next one finds the usual one."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL, moments_df, rows
 from strideframe import schemas
 from strideframe.plans import cli
-from strideframe.plans.clutch import clutch_efficiency, clutch_shots, shot_locations
+from strideframe.plans.clutch import clutch_efficiency, clutch_shots, locate_shots, shot_locations
 from strideframe.plans.distance import distance_per_entity, distance_unfiltered
 from strideframe.plans.possession import possession_per_entity
 from strideframe.sources.readers import read_results, read_table
@@ -80,8 +80,9 @@ def test_clutch_efficiency_and_shot_locations(spark):
         data += [(1, e, 4, 299.5, -1, 0, 0, 1.0), (1, e, 4, 299.0, -1, 0, 0, 2.2), (1, e, 4, 298.5, -1, 0, 0, 3.0)]
         data += [(1, e, 4, 299.04, 7, x, y), (1, e, 4, 290.0, 7, 0.0, 0.0)]
     m = moments_df(spark, data)
-    for bro in (None, 1000):
-        res = {r.player_id: r for r in clutch_efficiency(m, ev, broadcast_rows=bro).collect()}
+    for limit in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        res = {r.player_id: r for r in clutch_efficiency(m, ev).collect()}
         r = res[7]
         # event 2 (missed) at x=2 -> 2pt; event 4 (made) at x=20 -> right basket 7.05 m -> 3pt
         assert (r["2pts_efficiency"], r.nb_2pts_shots, r["3pts_efficiency"], r.nb_3pts_shots) == (0.0, 1, 1.0, 1)
@@ -89,6 +90,17 @@ def test_clutch_efficiency_and_shot_locations(spark):
     assert locs == [(1, "3pt", 20.0), (2, "2pt", 2.0)]
 
 
+def test_one_shot_per_event_before_the_player_filter(spark):
+    """Two shots of one event: the smaller player id is the event's shot, also when the other player is asked for."""
+    ev = _events(spark, EVENT_ROWS)
+    shots = clutch_shots(ev).filter("event_id = 2")
+    two = shots.unionByName(shots.withColumn("player_id", F.lit(8).cast("long"))).unionByName(shots)
+    m = moments_df(spark, [(1, 2, 4, 299.0, -1, 0, 0, 2.2), (1, 2, 4, 299.0, 7, 2.0, 7.0), (1, 2, 4, 299.0, 8, 5.0, 5.0)])
+    assert rows(locate_shots(m, two).select("player_id", "x_loc")) == [(7, 2.0)]
+    assert rows(locate_shots(m, two, player_id=7).select("player_id", "x_loc")) == [(7, 2.0)]
+    assert locate_shots(m, two, player_id=8).count() == 0
+
+
 def test_distance_unfiltered_crosses_quarters(spark):
     m = moments_df(spark, [(1, 1, 1, 1.0, 7, 0, 0), (1, 1, 2, 720.0, 7, 0, 10), (1, 1, 2, 700.0, 7, 0, 20)])
     r = distance_unfiltered(m, _minutes(spark, [(9, 60.0)])).collect()[0]
@@ -106,8 +118,6 @@ def test_cli_end_to_end_with_mixed_case_headers(spark, tmp_path):
     hdr = "GAME_ID,EVENT_ID,QUARTER,GAME_CLOCK,SHOT_CLOCK,TEAM_ID,PLAYER_ID,X_LOC,Y_LOC,RADIUS"
     _write_csv(str(d / "moments" / "g1.csv"), hdr, ["1,1,1,10.0,,1,7,0,0,1", "1,1,1,9.96,,1,7,10,0,1"])
     _write_csv(str(d / "moments" / "g2.csv"), hdr.lower(), ["2,1,1,10.0,20,1,7,0,0,1"])
-    _write_csv(str(d / "events" / "g1.csv"), ",".join(f.name.upper() for f in schemas.EVENTS.fields),
-               ["1,1,1,4,4:00,1,7,P,3PT,"])
     _write_csv(str(d / "minutes_played.csv"), "PLAYER_ID,SEC", ["7,720.0"])
     out = tmp_path / "out"
     path = cli.run(spark, " Distance ", str(d) + "/", str(out) + "/")
@@ -116,6 +126,8 @@ def test_cli_end_to_end_with_mixed_case_headers(spark, tmp_path):
     assert cli.main([]) == 0
     with pytest.raises(ValueError, match="curry"):
         cli.parse_task("speed")
+    with pytest.raises(ValueError, match="player"):
+        cli.run(spark, "curry", str(d), str(out))
 
 
 def test_single_file_round_trip(spark, tmp_path):

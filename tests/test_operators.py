@@ -17,6 +17,9 @@ from strideframe.operators.rates import pivot_rates
 from strideframe.operators.score import linear_score, linear_score_columns
 from strideframe.plans.distance import MOMENT_KEY, TIE_BREAK
 
+#: Broadcast thresholds that force a shuffle join and allow a broadcast; conftest restores the setting.
+JOIN_LIMITS = ("-1", "10m")
+
 
 def test_dedupe_is_deterministic_across_input_orders(spark):
     base = [(1, 5, 1, 10.0, 7, 3.0, 4.0), (1, 2, 1, 10.0, 7, 9.0, 9.0), (1, 2, 1, 10.0, 7, 1.0, 1.0),
@@ -52,11 +55,12 @@ def test_nearest_match_ties_and_tolerance(spark):
         (1, 8, 1, 52.0, 5.0),                         # outside a 1 s tolerance
     ], "game_id long, player_id long, quarter int, clock double, x double")
     on = [("game_id", "game_id"), ("player_id", "player_id"), ("quarter", "quarter")]
-    for bro in (None, 100):
-        out = nearest_match(left, right, on, "t", "clock", ["x"], broadcast_rows=bro)
+    for limit in JOIN_LIMITS:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        out = nearest_match(left, right, on, "t", "clock", ["x"])
         got = {(r.game_id, r.player_id): (r.clock, r.x) for r in out.collect()}
         assert got == {(1, 7): (10.5, 2.0), (2, 7): (10.2, 3.0), (1, 8): (52.0, 5.0)}
-        tol = nearest_match(left, right, on, "t", "clock", ["x"], broadcast_rows=bro, tolerance=1.0)
+        tol = nearest_match(left, right, on, "t", "clock", ["x"], tolerance=1.0)
         got = {(r.game_id, r.player_id): (r.clock, r.x) for r in tol.collect()}
         assert got == {(1, 7): (10.5, 2.0), (2, 7): (10.2, 3.0)}
 
@@ -205,11 +209,12 @@ def test_nearest_match_bucketed_matches_brute_force(spark, width):
     L = spark.createDataFrame(left, "g long, p long, t double").repartition(3)
     R = spark.createDataFrame(right, "g long, p long, clock double, x double").repartition(5)
     on = [("g", "g"), ("p", "p")]
-    for bro in (None, 10_000):
-        got = nearest_match(L, R, on, "t", "clock", ["x"], broadcast_rows=bro, bucket_width=width)
+    for limit in JOIN_LIMITS:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = nearest_match(L, R, on, "t", "clock", ["x"], bucket_width=width)
         assert sorted((r.g, r.p, r.t, r.clock, r.x) for r in got.collect()) == _brute_nearest(left, right)
         assert got.count() == len(_brute_nearest(left, right))
-        tol = nearest_match(L, R, on, "t", "clock", ["x"], broadcast_rows=bro, bucket_width=width, tolerance=0.5)
+        tol = nearest_match(L, R, on, "t", "clock", ["x"], bucket_width=width, tolerance=0.5)
         assert sorted((r.g, r.p, r.t, r.clock, r.x) for r in tol.collect()) == _brute_nearest(left, right, 0.5)
 
 
@@ -298,8 +303,9 @@ def test_nearest_match_tolerance_large_absolute_times(spark):
              (1, 3, float(base + 5_250_001), 3.0)]
     L = spark.createDataFrame(left, "g long, p long, t double")
     R = spark.createDataFrame(right, "g long, p long, clock double, x double")
-    for bro in (None, 100):
-        got = nearest_match(L, R, [("g", "g"), ("p", "p")], "t", "clock", ["x"], broadcast_rows=bro,
+    for limit in JOIN_LIMITS:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = nearest_match(L, R, [("g", "g"), ("p", "p")], "t", "clock", ["x"],
                             tolerance=tol, bucket_width=w)
         assert sorted((r.p, r.clock, r.x) for r in got.collect()) == \
             [(1, float(base + 1_249_900), 1.0), (2, float(base + 2_750_100), 2.0)]

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from conftest import rows
 from strideframe import schemas
 from strideframe.plans.distance import distance_per_entity
@@ -30,3 +32,13 @@ def test_stream_matches_batch(spark, tmp_path):
     m = scale_columns(read_table(spark, str(mdir) + "/*.csv", schemas.MOMENTS), ["x_loc", "y_loc", "radius"])
     batch = distance_per_entity(m, minutes)
     assert rows(streamed) == rows(batch)
+
+
+def test_columns_in_another_order_stop_the_stream(spark, tmp_path):
+    (tmp_path / "moments").mkdir()
+    names = [f.name for f in schemas.MOMENTS.fields]
+    names.insert(0, names.pop(names.index("player_id")))
+    (tmp_path / "moments" / "game.csv").write_text(",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+    q = start_distance_stream(spark, str(tmp_path / "moments"), str(tmp_path / "partials"), str(tmp_path / "ckpt"))
+    with pytest.raises(Exception, match="header"):
+        q.awaitTermination(120)
