@@ -11,17 +11,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strideframe.llm import textscan as ts
-from strideframe.session import reliable_checkpoint, shared_dir
+from strideframe.session import apply_if_unset, reliable_checkpoint, shared_dir
 
 __all__ = ["read_table", "fold", "fresh", "append_columns", "bitmap", "in_bitmap", "passing", "reliable_checkpoint", "shared_dir"]
 
 #: Rows that ``append_columns`` computes at a time, which bounds a worker's memory.
 _ROWS = 256
+#: Rows of an Arrow batch where the session does not say: whole texts are wider than the rows
+#: that Spark's own 10,000 are meant for, and a task holds a batch in the JVM and in Python.
+_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 #: Bits of a Spark bitmap function's bucket.
 _BUCKET_BITS = 32_768
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables.  Sets the session's Arrow batch size if it is unset."""
+    apply_if_unset(spark, _BATCH)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -10,6 +10,7 @@ text makes a larger chunk.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,6 +81,15 @@ class SpanHash:
 FIRST, SECOND = SpanHash(1), SpanHash(2)
 
 
+def release() -> None:
+    """Gives freed memory back to the system: workers are kept between tasks, and a
+    batch with a very long text would else leave them large."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def text_chunks(col, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(lo, hi, data, offsets) for runs of rows lo..hi-1 of a string column
     (null: empty): their bytes and the row starts within them."""
@@ -97,6 +107,7 @@ def text_chunks(col, max_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, int, n
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + max_bytes, side="right")) - 1)
         yield lo, hi, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
+    release()
 
 
 def runs(cls: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
