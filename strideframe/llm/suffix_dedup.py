@@ -193,9 +193,9 @@ def sort_bucket(bodies: list[bytes], at: np.ndarray, length: int) -> np.ndarray:
     # the cover sample: from each start the next position a multiple of STEP before the anchor
     delta = ahead % STEP
     sample = pos + delta
-    depth = length - 2 * STEP + (STEP - 1)      # reaches from any delta to the tail
+    depth = length - STEP                       # reaches from any delta to the tail, and never past it
     places, which = np.unique(sample, return_inverse=True)
-    rank = np.unique(_pieces(data, places, min(depth, length - STEP)), return_inverse=True)[1].reshape(-1)[which]
+    rank = np.unique(_pieces(data, places, depth), return_inverse=True)[1].reshape(-1)[which]
     key = np.zeros(len(pos), dtype=[("ahead", np.int64), ("head", f"V{STEP}"), ("rank", np.int64),
                                     ("tail", f"V{STEP}")])
     key["ahead"], key["rank"] = ahead, rank

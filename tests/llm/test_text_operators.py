@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -339,3 +340,14 @@ def test_classifier_edges(spark, edge):
     assert all(0 <= r.score <= 1 for r in X.score_toxicity(edge, costs, v).collect())
     assert X.score_toxicity(edge.limit(0), costs, v).count() == 0
     assert X.char_trigrams(edge.limit(0)).sum() == 0
+
+
+@pytest.mark.parametrize("place", [0, 31, 32, 366, 367, 368, 399])
+def test_sort_bucket_compares_every_byte(place):
+    rnd = random.Random(place)
+    for ahead in range(S.LENGTH // 2 + 1):
+        one = bytes(rnd.randrange(256) for _ in range(S.LENGTH))
+        two = one[:place] + bytes([one[place] ^ 1]) + one[place + 1:]
+        at = np.array([ahead, ahead])
+        assert not S.sort_bucket([one, two], at, S.LENGTH).any(), ahead
+        assert S.sort_bucket([one, one], at, S.LENGTH).all()
