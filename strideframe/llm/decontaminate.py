@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strideframe.llm import textscan as ts
-from strideframe.llm.common import bitmap, in_bitmap, read_table, reliable_checkpoint
+from strideframe.llm.common import append_columns, bitmap, fresh, in_bitmap, read_table, reliable_checkpoint
 from strideframe.llm.license_scan import text_words
 
 WINDOW = 10
@@ -85,6 +85,10 @@ def _cut(a: np.ndarray, z: np.ndarray, size: int, overlap: int) -> tuple[np.ndar
     return start, np.minimum(start + size, np.repeat(z, n))
 
 
+def _text_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    return ts.as_long(ts.FIRST.spans(ts.FIRST.prefix(data), offsets[:-1], offsets[1:]))
+
+
 def candidate_runs(docs: DataFrame, bm: np.ndarray, sizes: list[int], window: int, doc_id: str,
                    text: str) -> DataFrame:
     """(doc_id, text_key, n_words, start, words): the runs of words of each
@@ -97,7 +101,7 @@ def candidate_runs(docs: DataFrame, bm: np.ndarray, sizes: list[int], window: in
                 s, e = ts.runs(ts.WORD[low], offsets)
                 prefix = ts.FIRST.prefix(low)
                 h = ts.FIRST.spans(prefix, s, e)
-                key = ts.as_long(ts.FIRST.spans(ts.FIRST.prefix(data), offsets[:-1], offsets[1:]))
+                key = _text_keys(data, offsets)
                 first, row = ts.rows_of(s, offsets)
                 edge = np.zeros(len(s) + 1, dtype=np.int64)     # +1 where a kept range opens, -1 where it closes
                 for k in sizes:
@@ -197,7 +201,16 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents without a hit word, with the columns of
-    ``docs``."""
-    hit = decontaminate(docs, read_table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id")
-    return docs.join(hit.select(F.col("doc_id").alias("_hit")).distinct(),
-                     F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    ``docs``.  Rows are judged by id and text: others with the same id, or
+    also without one, stay."""
+    key, hit_id, hit_key = fresh(docs, "_text_key", "_hit", "_hit_key")
+    hit = decontaminate(docs, read_table(spark, sf_dir, "benchmark")).filter("contaminated").select(
+        F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key))
+
+    def compute(batch: pa.RecordBatch):
+        keys = [_text_keys(data, offsets) for _, _, data, offsets in ts.text_chunks(batch.column("text"))]
+        return [pa.array(np.concatenate(keys))]
+
+    keyed = append_columns(docs, [(key, "long")], compute)
+    return keyed.join(hit, F.col("doc_id").eqNullSafe(F.col(hit_id)) & (F.col(key) == F.col(hit_key)),
+                      "left_anti").select(*docs.columns)

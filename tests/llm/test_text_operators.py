@@ -110,6 +110,16 @@ def test_decontamination(spark, docs, texts, edge):
     assert D.decontaminate(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_stage_judges_id_and_text(spark):
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").filter(F.length("text") > 60).first().text
+    rows = [(None, "clean one"), (None, f"before {leak} after"), (None, "clean two"), (None, None), (7, "clean three"),
+            (7, leak), (7, ""), (8, "clean four"), (8, "clean four"), (9, leak), (9, leak)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = D.decontamination_stage(spark, df, SF)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([r for r in rows if leak not in (r[1] or "")], key=repr)
+
+
 # -- fingerprints -------------------------------------------------------------------
 
 def parse(data):
