@@ -136,5 +136,13 @@ def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return c[first[1:]] - c[first[:-1]]
 
 
+def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The spans of UTF-8 bytes as an Arrow string array."""
+    size = ends - starts
+    off = np.concatenate([[0], np.cumsum(size)])
+    body = data[np.repeat(starts - off[:-1], size) + np.arange(off[-1])]
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(off.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(body)))
+
+
 def as_long(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
