@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strideframe.llm import warc_revisit
+from strideframe.llm.context_mixing import op11_lm_scoring
 from strideframe.llm.decontaminate import op4_decontamination
 from strideframe.llm.license_scan import op1_license_scan
 from strideframe.llm.line_dedup import op7_line_dedup
@@ -19,6 +20,6 @@ from strideframe.llm.warc_revisit import op10_warc_revisit
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_classifier, op3_toxicity, op4_decontamination, op5_lz_fingerprint,
     op6_suffix_dedup, op7_line_dedup, op8_sentencepiece, op9_minhash_near_dedup, op10_warc_revisit,
-    op12_spelling_variants, op13_prefix_trie)}
+    op11_lm_scoring, op12_spelling_variants, op13_prefix_trie)}
 
 ORACLES = {"op10_warc_revisit": warc_revisit.ORACLE_SQL}
