@@ -51,9 +51,13 @@ def clock_to_seconds(s, strict: bool = True) -> Column:
     return mm * 60 + ss
 
 
-def margin_value(s) -> Column:
-    """Score margin text -> int; non-numeric text (e.g. a tie marker) -> null."""
-    return _c(s).try_cast("int")
+def margin_value(s, tie_value: int | None = None, tie: str = "TIE") -> Column:
+    """Score margin text -> int; the tie marker -> ``tie_value`` (null unless
+    given), other non-numeric text -> null."""
+    number = _c(s).try_cast("int")
+    if tie_value is None:
+        return number
+    return F.when(F.upper(F.trim(_c(s))) == tie.upper(), F.lit(tie_value)).otherwise(number)
 
 
 def nearest_basket_x(x) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strideframe.functions.scalar import BALL_ID
@@ -20,14 +20,13 @@ def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) ->
     other column (ascending, nulls first) — a total order, so the survivor is
     the same on every run and under any partitioning.
 
-    Written as an aggregate rather than ``row_number()``: the partial
-    aggregate collapses copies map-side, so a key that holds a large share of
-    all rows (a group of copies) never reaches one task in full.
+    ``row_number() = 1`` is planned with a group limit before the exchange: a
+    task sends at most one row per key, so a key that holds a large share of
+    all rows (a group of copies) never reaches one task in full, and no
+    buffers of whole rows are aggregated.
     """
     keys = list(keys)
     rest = [c for c in order_by if c not in keys]
     rest += [c for c in df.columns if c not in keys and c not in rest]
-    packed = F.min(F.struct(*[F.col(c) for c in rest])).alias("_keep")
-    out = df.groupBy(*keys).agg(packed)
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"_keep.{c}").alias(c) for c in rest]) \
-              .select(*df.columns)
+    first = Window.partitionBy(*keys).orderBy(*rest) if rest else Window.partitionBy(*keys).orderBy(*keys)
+    return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")

@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Slices that a key of the right side is dealt into while it is filtered by the left side's keys.
-FILTER_SLICES = 8
+from strideframe.operators.ranges import PART, in_ranges
 
 
 def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_t: str,
@@ -25,36 +24,33 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     ``abs(diff) <= tolerance`` — the nearest row overall, kept only when it is
     that close, which is the nearest row inside the band.
 
-    Sort-based, no pairs: both sides are unioned and sorted by time within
-    (key, time bucket); the nearest right row before and after each left row
+    Sort-based, no pairs: both sides are unioned and sorted by (key, time) in
+    range partitions, so neither the clock's unit nor a hot key matters: a
+    key with many rows takes many partitions.  In this order the last right
+    row before a left row is its only candidate on that side (none, if it has
+    another key), and so is the first one after it.  Within a partition they
     come from two growing-frame windows (``last`` ignoring nulls, one in each
-    time direction).  ``bucket_width`` splits a key's time axis so a hot key
-    is spread over many tasks: the right row that precedes / follows a bucket
-    (from the nearest earlier / later bucket that has right rows) comes from a
-    per-bucket aggregate and is added to the bucket as a sentinel row.  With
-    a tolerance band no wider than a bucket, right rows near a bucket edge
-    are copied into the neighbouring bucket instead (no carried rows needed).
-    The work is linear in the rows; nothing is built per pair.
+    direction); across borders from a table with one row per partition, its
+    first and last right row, scanned in both directions.  With a tolerance
+    band no wider than ``bucket_width`` the rows are sorted within (key, time
+    bucket) instead, and right rows near a bucket edge are copied into the
+    neighbouring bucket (one exchange, nothing carried).  The work is linear
+    in the rows; nothing is built per pair.
 
     Both sides are first reduced with combining aggregates — right rows to
     one per (key, time), left rows to distinct rows with their number — so a
     group of copies on either side never reaches a window partition whole, and
-    every left row with a match gives a result row.  The distinct keys of
-    ``left`` filter ``right`` first, so only candidate rows reach the windows;
-    adaptive execution broadcasts them when they are measured small.  Beyond
-    that the filter is a shuffle join on (key, slice): a key's right rows are
-    dealt into ``FILTER_SLICES`` by their input partition, and what is still
-    skewed can be split, as another exchange follows.
+    every left row with a match gives a result row.  Right rows whose key the
+    left side does not have are filtered out by a semi join with its distinct
+    keys, which adaptive execution broadcasts when they are measured small;
+    else it splits a hot key's rows, as another exchange follows.
     """
     right_cols = list(right_cols)
     lcols = left.columns
     keys = [lc for lc, _ in on]
     r_t_type = right.schema[right_t].dataType
     r = right.select(*[F.col(rc).alias(lc) for lc, rc in on], F.col(right_t).alias("_t"),
-                     *[F.col(c) for c in right_cols if c != right_t],
-                     F.pmod(F.spark_partition_id(), F.lit(FILTER_SLICES)).alias("_slice"))
-    slices = F.explode(F.sequence(F.lit(0), F.lit(FILTER_SLICES - 1))).alias("_slice")
-    r = r.join(left.select(*keys).distinct().select(*keys, slices), [*keys, "_slice"], "left_semi").drop("_slice")
+                     *[F.col(c) for c in right_cols if c != right_t])
     valid = F.col("_t").isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
@@ -72,6 +68,7 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     # row of it is shuffled into the windows.
     best_r = (r.filter(valid).groupBy(*keys, "_t")
                .agg(F.min(F.struct(tie_key().alias("rk"), rstruct.alias("r"))).alias("_m")))
+    best_r = best_r.join(left.select(*keys).distinct(), keys, "left_semi")
     rows_r = best_r.select(*keys, "_t", F.lit(0).alias("_side"), F.col("_m.r").alias("_r"),
                            F.col("_m.rk").alias("_rk"),
                            F.lit(None).cast(counted.select(F.struct(*lcols, "_n")).schema[0].dataType).alias("_l"))
@@ -99,36 +96,16 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
         rows_l = rows_l.withColumn("_b", b)
         part.append("_b")
     both = rows_r.unionByName(rows_l)
-    if bucket_width and not band:
-        both = both.withColumn("_b", F.floor(F.col("_t") / F.lit(float(bucket_width))))
-        part.append("_b")
-        is_r = F.col("_side") == 0
-        bt = both.groupBy(*keys, "_b").agg(
-            F.max("_side").alias("_has_l"),
-            F.min(F.when(is_r, F.struct((-F.col("_t")).alias("nt"), "_rk", "_r"))).alias("_last"),
-            F.min(F.when(is_r, F.struct("_t", "_rk", "_r"))).alias("_first"))
-        up = Window.partitionBy(*keys).orderBy(F.col("_b").asc()).rowsBetween(Window.unboundedPreceding, -1)
-        down = Window.partitionBy(*keys).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-        carry = bt.select(*keys, "_b", "_has_l",
-                          F.last(F.col("_last._r"), ignorenulls=True).over(up).alias("_pc"),
-                          F.last(F.col("_first._r"), ignorenulls=True).over(down).alias("_nc"))
-        sent = (carry.filter(F.col("_has_l") == 1)
-                     .select(*keys, "_b", F.explode(F.array("_pc", "_nc")).alias("_r"))
-                     .filter(F.col("_r").isNotNull())
-                     .select(*keys, F.col("_r.t").alias("_t"), F.lit(0).alias("_side"), "_r",
-                             tie_key("_r.").alias("_rk"),
-                             F.lit(None).cast(rows_r.schema["_l"].dataType).alias("_l"), "_b"))
-        both = both.unionByName(sent)
-    tail = [F.col("_side").asc(), F.col("_rk").desc(), F.col("_l").asc()]
-    fwd = Window.partitionBy(*part).orderBy(F.col("_t").asc(), *tail)
-    bwd = Window.partitionBy(*part).orderBy(F.col("_t").desc(), *tail)
     grow = (Window.unboundedPreceding, 0)
-    picked = both.select(
-        "_side", "_t", "_l",
-        F.last("_r", ignorenulls=True).over(fwd.rowsBetween(*grow)).alias("_p"),
-        F.last("_r", ignorenulls=True).over(bwd.rowsBetween(*grow)).alias("_n"),
-        F.lag("_l").over(fwd).eqNullSafe(F.col("_l")).alias("_dup"))
-    picked = picked.filter((F.col("_side") == 1) & ~F.col("_dup"))
+    if band:
+        tail = [F.col("_side").asc(), F.col("_rk").desc(), F.col("_l").asc()]
+        fwd = Window.partitionBy(*part).orderBy(F.col("_t").asc(), *tail)
+        bwd = Window.partitionBy(*part).orderBy(F.col("_t").desc(), *tail)
+        picked = both.select(
+            "_side", "_t", "_l", F.last("_r", ignorenulls=True).over(fwd.rowsBetween(*grow)).alias("_p"),
+            F.last("_r", ignorenulls=True).over(bwd.rowsBetween(*grow)).alias("_n")).filter(F.col("_side") == 1)
+    else:
+        picked = _around(both, keys)
     dp, dn = F.abs(F.col("_p.t") - F.col("_t")), F.abs(F.col("_n.t") - F.col("_t"))
     take_next = F.col("_p").isNull() | (F.col("_n").isNotNull() & (
         (dn < dp) | ((dn == dp) & F.lit(bool(later_first)))))
@@ -158,3 +135,35 @@ def anti_join(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame
     """Rows of ``df`` whose key is not in ``keys_df`` (key side reduced
     to distinct keys first, as in ``semi_join``)."""
     return df.join(keys_df.select(*on).distinct(), list(on), "left_anti")
+
+
+def _around(both: DataFrame, keys: list[str]) -> DataFrame:
+    """(_t, _l, _p, _n): each left row (``_side`` 1) with the last right row
+    before and the first one after it in the order of (keys, _t, _side), if
+    they have its keys."""
+    order = [*keys, "_t", "_side", "_h"]        # the hash splits left rows of one key and time
+    both = both.withColumn("_h", F.when(F.col("_side") == 1, F.xxhash64("_l")))
+    rows = in_ranges(both.withColumn("_c", F.when(F.col("_side") == 0, F.struct(*keys, "_r"))).drop("_r", "_rk"), order, "match")
+    back = [F.col(c).desc() for c in order]
+    grow = (Window.unboundedPreceding, 0)
+    near = rows.select(PART, "_side", "_t", "_l", *keys,
+                       F.last("_c", ignorenulls=True).over(Window.partitionBy(PART).orderBy(*order).rowsBetween(*grow)).alias("_b"),
+                       F.last("_c", ignorenulls=True).over(Window.partitionBy(PART).orderBy(*back).rowsBetween(*grow)).alias("_a"))
+    # one row per partition: its first and last right row, then those of the partitions around it
+    ends = rows.groupBy(PART).agg(
+        F.max(F.when(F.col("_side") == 0, F.struct(*order, "_c"))).alias("_hi"),
+        F.min(F.when(F.col("_side") == 0, F.struct(*order, "_c"))).alias("_lo"))
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.orderBy(F.col(PART).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(PART, F.last(F.col("_hi._c"), ignorenulls=True).over(before).alias("_eb"),
+                       F.last(F.col("_lo._c"), ignorenulls=True).over(after).alias("_ea"))
+    met = near.filter(F.col("_side") == 1).join(ends, PART).withColumns(
+        {"_b": F.coalesce("_b", "_eb"), "_a": F.coalesce("_a", "_ea")})
+
+    def own(c: str) -> Column:
+        same = F.lit(True)
+        for k in keys:
+            same = same & (F.col(f"{c}.{k}") == F.col(k))
+        return F.when(same, F.col(f"{c}._r"))
+
+    return met.select("_t", "_l", own("_b").alias("_p"), own("_a").alias("_n"))

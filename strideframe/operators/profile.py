@@ -1,19 +1,19 @@
 """Data-quality and distribution operators.
 
-All of them are aggregates with map-side combine.  Where an operator needs
-a global statistic first (min/max for histogram edges, the total count and
-range splits for exact quantiles) it computes that bounded statistic with one
-aggregate and uses it as literals: a handful of numbers reach the driver,
-never the data.
+All of them are aggregates with map-side combine; exact quantiles rank
+sorted range partitions by their totals.  Where histogram edges come from the
+data, two numbers per histogram reach the driver, never the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strideframe.operators.ranges import in_ranges, quantiles_in_ranges, same_key
 from strideframe.session import reliable_checkpoint
 
 
@@ -76,148 +76,140 @@ def threshold_counts(df: DataFrame, col: str, cuts: Sequence[tuple[str, str, flo
 
 # ---------------------------------------------------------------- quantiles
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight=None,
-                    n_ranges: int = 256) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], weight=None) -> DataFrame:
     """Exact quantiles with linear interpolation (pos = p * (n - 1)),
     one row ``(p, value)`` per probability.
 
-    Distributed and memory-bounded: values are first reduced to (value,
-    count) with a combining aggregate; an approximate sketch of those
-    distinct values gives ``n_ranges`` range splits; running counts are
-    computed per range (window partitioned by range) plus the totals of the
-    preceding ranges.  No task ever holds all values.  Optional ``weight``
-    counts a row that many times.
+    Values are first reduced to (value, count) with a combining aggregate and
+    then ranked by the totals of sorted range partitions
+    (``quantiles_in_ranges``).  No task ever holds all values.  Optional
+    ``weight`` counts a row that many times.
     """
-    return quantiles_from_counts(value_weights(df, col, weight), probs, col, n_ranges)
+    return quantiles_from_counts(value_weights(df, col, weight), probs, col)
 
 
-def value_weights(df: DataFrame, col: str, weight=None, materialise: bool = True) -> DataFrame:
+def value_weights(df: DataFrame, col: str, weight=None) -> DataFrame:
     """(v, w): distinct non-null values of ``col`` with their total weight —
     a combining aggregate, bounded by the number of distinct values (which
-    can approach the row count for measured doubles).  The quantile and
-    summary steps read it several times, so it is written once to the shared
-    checkpoint folder (``reliable_checkpoint``): later reads neither replay
-    the upstream pipeline nor depend on any executor's cached blocks."""
+    can approach the row count for measured doubles) — in sorted ranges,
+    written once to the shared checkpoint folder: the quantile and summary
+    steps neither replay the upstream pipeline nor depend on any executor's
+    cached blocks."""
     vals = df.select(F.col(col).cast("double").alias("v"), _w(weight).alias("w")).filter(F.col("v").isNotNull())
-    vc = vals.groupBy("v").agg(F.sum("w").alias("w")).filter(F.col("w") > 0)
-    return reliable_checkpoint(vc, "value-weights") if materialise else vc
-
-
-def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], col: str = "v",
-                          n_ranges: int = 256, values_per_range: int = 1_000_000,
-                          max_ranges: int = 100_000) -> DataFrame:
-    """Exact quantiles from a (v, w) table (see ``exact_quantiles``).
-
-    The number of ranges grows with the number of distinct values (about
-    ``values_per_range`` each, at most ``max_ranges``); a value's range is
-    found by binary search (``Bucketizer``, JVM side)."""
-    from pyspark.ml.feature import Bucketizer
-
-    vals = vc
-    nd = vc.count()
-    n_ranges = int(min(max_ranges, max(n_ranges, nd // values_per_range + 1)))
-    grid = [i / n_ranges for i in range(1, n_ranges)]
-    st = vc.agg(F.sum("w").alias("n"),
-                F.percentile_approx("v", grid, max(10_000, 10 * n_ranges)).alias("s")).first()
-    n = st["n"]
-    if not n:
-        return vals.sparkSession.range(0).select(F.lit(None).cast("double").alias("p"),
-                                                 F.lit(None).cast("double").alias(col)).limit(0)
-    splits = [float("-inf")] + sorted({float(x) for x in (st["s"] or [])}) + [float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="v", outputCol="_r").transform(vc)
-    tot = ranged.groupBy("_r").agg(F.sum("w").alias("_rt"))
-    before = tot.withColumn("_rb", F.coalesce(F.sum("_rt").over(
-        Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    win = Window.partitionBy("_r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (ranged.join(F.broadcast(before.select("_r", "_rb")), "_r")
-                    .withColumn("_hi", F.col("_rb") + F.sum("w").over(win))
-                    .withColumn("_lo", F.col("_hi") - F.col("w")))
-    # 0-based ranks covered by a value: [_lo, _hi)
-    wanted = sorted({r for p in probs for r in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1))})
-    cond = None
-    for r in wanted:
-        c = (F.col("_lo") <= F.lit(r)) & (F.col("_hi") > F.lit(r))
-        cond = c if cond is None else cond | c
-    hits = ranked.filter(cond).select("v", "_lo", "_hi")
-    cols = []
-    for p in probs:
-        pos = p * (n - 1)
-        lo = int(pos)
-        hi = min(lo + 1, n - 1)
-        v_lo = F.max(F.when((F.col("_lo") <= lo) & (F.col("_hi") > lo), F.col("v")))
-        v_hi = F.max(F.when((F.col("_lo") <= hi) & (F.col("_hi") > hi), F.col("v")))
-        cols.append(F.struct(F.lit(float(p)).alias("p"),
-                             (v_lo + F.lit(pos - lo) * (v_hi - v_lo)).alias(col)))
-    return hits.agg(F.array(*cols).alias("_q")).select(F.explode("_q").alias("_q")).select("_q.*")
-
-
-def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return in_ranges(vals.groupBy("v").agg(F.sum("w").alias("w")).filter(F.col("w") > 0), ["v"], "value-weights")
+
+
+def quantiles_from_counts(vc: DataFrame, probs: Sequence[float], col: str = "v") -> DataFrame:
+    """Exact quantiles from a table of ``value_weights``."""
+    return quantiles_in_ranges(vc, [], probs).withColumnRenamed("value", col)
+
+
+QUARTILES = [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]
+
+
+def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std (sample), min, 25/50/75 %, max per column, one
-    row per column.
-
-    Every statistic is read from the column's materialised (value, weight)
-    table (``value_weights``), so the upstream pipeline runs once per column
-    however many passes the statistics need; the standard deviation is taken
-    about the mean (two passes over that table, numerically stable)."""
-    out = None
-    names = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
-    for c in cols:
-        vw = value_weights(df, c)
-        v, w = F.col("v"), F.col("w")
-        st = vw.agg(F.sum(w).alias("n"), F.sum(v * w).alias("s")).first()
-        n = st["n"] or 0
-        mean = st["s"] / n if n else None
-        dev = F.sum(w * F.pow(v - F.lit(mean), 2)) if mean is not None else F.lit(None).cast("double")
-        base = vw.agg(F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias("count"),
-                      F.lit(mean).cast("double").alias("mean"),
-                      F.when(F.lit(n) > 1, F.sqrt(dev / F.lit(max(n - 1, 1)))).alias("std"),
-                      F.min(v).alias("min"), F.max(v).alias("max"))
-        q = quantiles_from_counts(vw, [0.25, 0.5, 0.75], c)
-        qp = q.agg(*[F.max(F.when(F.col("p") == p, F.col(c))).alias(k)
-                     for p, k in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
-        both = base.unionByName(qp, allowMissingColumns=True)
-        row = both.agg(*[F.max(k).alias(k) for k in names]).select(F.lit(c).alias("column"), *names)
-        out = row if out is None else out.unionByName(row)
-    return out
+    row per column, and per group of the columns ``by`` if given.
+
+    The cells are unpivoted to (group, column, value, weight), one combining
+    aggregate over one run of the upstream pipeline, and written once in
+    sorted ranges; all statistics of all columns and groups are read from
+    there.  The standard deviation is taken about the mean (numerically
+    stable).  Nulls do not count; a column without values has a row with count
+    0 (without ``by`` for an empty table too).  Groups may be null.
+    """
+    by = list(by)
+    keys = [*by, "column"]
+    cell = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_c")
+    cells = df.select(*by, cell).select(*by, "_c.column", "_c.v").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("w"))
+    parts = in_ranges(cells, [*keys, "v"], "describe")
+    v, w = F.col("v"), F.when(F.col("v").isNotNull(), F.col("w"))
+    base = parts.groupBy(*keys).agg(F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias("count"),
+                                    (F.sum(v * w) / F.sum(w)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    means = base.select(*keys, F.col("mean").alias("_m"))
+    dev = parts.filter(v.isNotNull()).alias("a").join(means.alias("m"), same_key("a", "m", keys)).groupBy(
+        *[F.col(f"a.{k}").alias(k) for k in keys]).agg(F.sum(F.col("w") * F.pow(F.col("v") - F.col("_m"), 2)).alias("_d"))
+    q = quantiles_in_ranges(parts, keys, [p for p, _ in QUARTILES]).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for p, name in QUARTILES])
+    out = base.alias("b").join(dev.alias("d"), same_key("b", "d", keys), "left").join(
+        q.alias("q"), same_key("b", "q", keys), "left").select(
+        *[F.col(f"b.{k}").alias(k) for k in keys], "count", "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("_d") / (F.col("count") - 1))).alias("std"), "min",
+        *[name for _, name in QUARTILES], "max")
+    if by:
+        return out
+    named = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
+    return named.join(out, "column", "left").withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
 
 
 # ---------------------------------------------------------------- histogram
 
+@dataclass(frozen=True)
+class Histogram:
+    """Equal-width bins of ``value`` over [lo, hi] (default: the least and the
+    largest kept value; all-equal data gets [v - 0.5, v + 0.5]), the last one
+    closed on the right.  Only rows for which ``keep`` holds count; values are
+    cut off at ``clip_upper`` first (E10)."""
+
+    name: str
+    value: Column
+    bins: int
+    keep: Column | None = None
+    lo: float | None = None
+    hi: float | None = None
+    clip_upper: float | None = None
+
+    def cell(self) -> Column:
+        v = self.value.cast("double")
+        if self.clip_upper is not None:
+            # least() skips nulls; a null must stay null, not become the clip value
+            v = F.when(v.isNotNull(), F.least(v, F.lit(float(self.clip_upper))))
+        return v if self.keep is None else F.when(self.keep, v)
+
+
+def histograms(df: DataFrame, specs: Sequence[Histogram], weight=None) -> DataFrame:
+    """Several histograms of one table, each with its own filter and
+    edges, in one count by (histogram, bin).  Every bin has a row (empty ones
+    with count 0): histogram, bin, bin_lo, bin_hi, count.
+
+    Where edges come from the data, the table is reduced to (histogram, value,
+    weight) in one run and written once; least and largest values and all
+    counts are read from there.  Null values do not count; without any kept
+    value the edges are null.
+    """
+    spark = df.sparkSession
+    cell = F.explode(F.array(*[F.struct(F.lit(i).alias("h"), s.cell().alias("v")) for i, s in enumerate(specs)]))
+    vals = df.select(cell.alias("c"), _w(weight).alias("w")).select("c.h", "c.v", "w").filter(F.col("v").isNotNull())
+    edges = {i: (s.lo, s.hi) for i, s in enumerate(specs)}
+    if any(x is None for e in edges.values() for x in e):
+        vals = reliable_checkpoint(vals.groupBy("h", "v").agg(F.sum("w").alias("w")), "histogram-values")
+        met = {r.h: (r.lo, r.hi) for r in vals.groupBy("h").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+        edges = {i: tuple(met.get(i, (None, None))[k] if e[k] is None else e[k] for k in (0, 1)) for i, e in edges.items()}
+    table = []
+    for i, s in enumerate(specs):
+        lo, hi = edges[i]
+        if lo is not None and lo == hi:
+            lo, hi = lo - 0.5, hi + 0.5
+        table.append(F.struct(F.lit(i).alias("h"), F.lit(s.name).alias("histogram"), F.lit(s.bins).alias("n"),
+                              F.lit(lo).cast("double").alias("lo"), F.lit(hi).cast("double").alias("hi")))
+    named = spark.range(1).select(F.explode(F.array(*table)).alias("s")).select("s.*")      # a row per histogram
+    share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    bin_ = F.least(F.floor(share * F.col("n")), F.col("n") - 1).cast("int").alias("bin")
+    counts = vals.join(F.broadcast(named.drop("histogram")), "h").filter("v >= lo AND v <= hi").groupBy(
+        "h", bin_).agg(F.sum("w").cast("bigint").alias("count"))
+    width = (F.col("hi") - F.col("lo")) / F.col("n")
+    bins = named.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return bins.join(counts, ["h", "bin"], "left").select(
+        "histogram", "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
+        (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_hi"),
+        F.coalesce("count", F.lit(0).cast("bigint")).alias("count"))
+
+
 def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None,
               clip_upper: float | None = None, weight=None) -> DataFrame:
-    """Equal-width histogram over [lo, hi] (default: the data's min and
-    max), last bin closed on the right; ``clip_upper`` clips values first
-    (E10).  All-equal data gets the range [v - 0.5, v + 0.5].  Returns every
-    bin (empty ones with count 0): bin, bin_lo, bin_hi, count."""
-    v = F.col(col).cast("double")
-    if clip_upper is not None:
-        # least() skips nulls; a null must stay null, not become the clip value
-        v = F.when(v.isNotNull(), F.least(v, F.lit(float(clip_upper))))
-    vals = df.select(v.alias("v"), _w(weight).alias("w")).filter(F.col("v").isNotNull())
-    if lo is None or hi is None:
-        # the range comes from the data: reduce to (value, weight) once and
-        # materialise it, so the edges and the counts do not both re-run the
-        # upstream pipeline
-        vals = reliable_checkpoint(vals.groupBy("v").agg(F.sum("w").alias("w")), "histogram-values")
-        mm = vals.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-        lo = mm["lo"] if lo is None else lo
-        hi = mm["hi"] if hi is None else hi
-    spark = df.sparkSession
-    edges = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    if lo is None:
-        return edges.select("bin", F.lit(None).cast("double").alias("bin_lo"),
-                            F.lit(None).cast("double").alias("bin_hi"), F.lit(0).cast("bigint").alias("count"))
-    lo, hi = float(lo), float(hi)
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    width = (hi - lo) / bins
-    b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1)).cast("int")
-    counts = (vals.filter((F.col("v") >= lo) & (F.col("v") <= hi))
-                  .groupBy(b.alias("bin")).agg(F.sum("w").cast("bigint").alias("count")))
-    return (edges.join(counts, "bin", "left")
-                 .select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
-                         (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
-                         F.coalesce(F.col("count"), F.lit(0).cast("bigint")).alias("count")))
+    """One histogram of a column: bin, bin_lo, bin_hi, count."""
+    one = Histogram(col, F.col(col), bins, lo=lo, hi=hi, clip_upper=clip_upper)
+    return histograms(df, [one], weight).drop("histogram")
 
 
 # ---------------------------------------------------------------- profile

@@ -31,39 +31,6 @@ def time_buckets(t: str, width: float, ascending: bool = False, name: str = "_tb
     return [(name, F.floor(F.col(t) / F.lit(float(width))), ascending)]
 
 
-def equi_depth_buckets(df: DataFrame, t: str, rows_per_bucket: int = 1_000_000,
-                       max_buckets: int = 100_000, ascending: bool = True,
-                       name: str = "_qb") -> tuple[DataFrame, list]:
-    """Order-preserving time buckets sized from the data: about
-    ``rows_per_bucket`` rows each, over all entities together.
-
-    Split points are quantiles of ``t`` over the whole input (one count and
-    one sketch aggregate; only the split points reach the driver).  Because
-    the buckets are equi-depth globally, an entity that holds a large share
-    of all rows — or rows crowded into a short interval — is cut into
-    proportionally many buckets: no (entity, bucket) group is much larger
-    than ``rows_per_bucket``.  A value's bucket is found by binary search
-    (``Bucketizer``, JVM side).  Returns (frame with the bucket column,
-    bucket spec for ``next_in_sequence`` / ``forward_fill``, ordered like the
-    sequence: ``ascending`` when ``t`` is sorted ascending); with fewer rows
-    than one bucket the spec is empty (plain windows)."""
-    from pyspark.ml.feature import Bucketizer
-
-    n = df.select(t).filter(F.col(t).isNotNull()).count()
-    k = int(min(max_buckets, -(-n // max(1, rows_per_bucket))))
-    if k <= 1:
-        return df, []
-    grid = [i / k for i in range(1, k)]
-    cuts = df.agg(F.percentile_approx(F.col(t).cast("double"), grid, max(10_000, 10 * k)).alias("s")).first()["s"]
-    splits = [float("-inf")] + sorted({float(x) for x in cuts or []}) + [float("inf")]
-    if len(splits) <= 2:
-        return df, []
-    tmp = "_qb_src"
-    out = Bucketizer(splits=splits, inputCol=tmp, outputCol=name, handleInvalid="keep").transform(
-        df.withColumn(tmp, F.col(t).cast("double"))).drop(tmp)
-    return out, [(name, None, ascending)]
-
-
 def _sort(order: Order) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
@@ -225,26 +192,35 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: Order, value: str, o
 
 
 def shot_instant(df: DataFrame, keys: Sequence[str], t: str = "game_clock", v: str = "radius",
-                 threshold: float = 2.0, carry: Sequence[str] = ()) -> DataFrame:
+                 threshold: float = 2.0, carry: Sequence[str] = (), t_desc: bool = True) -> DataFrame:
     """W5–W7 as one aggregate per ``keys`` (partial aggregation, skew safe).
 
-    crossing_clock: largest t with v >= threshold — the clock counts down,
-      so the largest clock is the earliest crossing (W5);
-    max_height / max_height_clock: peak and the largest t among peak rows (W6);
+    crossing_clock: the earliest t with v >= threshold (W5) — the largest one
+      where the clock counts down (``t_desc``), else the smallest;
+    max_height / max_height_clock: peak and the earliest t among peak rows (W6);
     shot_game_clock: crossing, else the peak's clock (W7).
     ``carry`` columns are constant per key and kept with ``first`` semantics
     made deterministic by ``min``.
     """
-    peak = F.max(F.struct(F.col(v).alias("h"), F.col(t).alias("t")))
-    aggs = [F.max(F.when(F.col(v) >= F.lit(float(threshold)), F.col(t))).alias("crossing_clock"),
-            peak.alias("_pk")] + [F.min(c).alias(c) for c in carry]
+    earliest = F.max if t_desc else F.min
+    at = F.col(t) if t_desc else -F.col(t)
+    aggs = [earliest(F.when(F.col(v) >= F.lit(float(threshold)), F.col(t))).alias("crossing_clock"),
+            F.max(F.struct(F.col(v).alias("h"), at.alias("t"))).alias("_pk")] + [F.min(c).alias(c) for c in carry]
     out = df.groupBy(*keys).agg(*aggs)
     return (out.withColumn("max_height", F.col("_pk.h"))
-               .withColumn("max_height_clock", F.col("_pk.t"))
+               .withColumn("max_height_clock", F.col("_pk.t") if t_desc else -F.col("_pk.t"))
                .withColumn("shot_game_clock", F.coalesce("crossing_clock", "max_height_clock"))
                .drop("_pk"))
 
 
+def first_crossing(df: DataFrame, keys: Sequence[str], t: str, v: str, threshold: float, t_desc: bool,
+                   out: str = "crossing_clock") -> DataFrame:
+    """Per ``keys`` the earliest ``t`` at which ``v`` has reached
+    ``threshold``; null if it never does."""
+    reached = F.when(F.col(v) >= F.lit(float(threshold)), F.col(t))
+    return df.groupBy(*keys).agg((F.max if t_desc else F.min)(reached).alias(out))
+
+
 def head_k(df: DataFrame, keys: Sequence[str], order: Order, k: int, rank_col: str = "rn") -> DataFrame:
     """First k rows per group (``order`` should be a total order).
 

@@ -22,20 +22,25 @@ FILL_BUCKET_SECONDS = 1
 EVENT_KEY = ["game_id", "event_id", "quarter"]
 
 
+#: All that a fill looks at, and what the shots carry through it.
+FILL_COLUMNS = ["game_id", "eventnum", "period", "player1_id", "eventmsgtype", "game_clock_seconds", "scoremargin"]
+
+
 def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SECONDS,
-                 fill_before_filter: bool = False) -> DataFrame:
-    """Shots (made/missed) with ``margin_filled``: last non-null score margin
+                 fill_before_filter: bool = False, copies: str = "n_copies") -> DataFrame:
+    """``FILL_COLUMNS`` of the shots (made/missed), distinct, with their number
+    ``copies`` and ``margin_filled``: last non-null score margin
     within the game in time order (period asc, clock desc, event number asc —
     the event number breaks ties at equal clocks, H2).  As in the reference,
     only shot rows are seen by the fill unless ``fill_before_filter`` (H3).
 
     The fill runs per (game, period, clock second): a window group holds the
     events of one game-second, and the carry-in table has at most one row per
-    period and second of a game, whatever the data volume.  It runs on
-    distinct rows (a combining aggregate folds copies map-side; a row's fill
-    depends only on its content), and every input row — copies included —
-    gets its value back by an equi-join on the whole row, so no group of
-    copies passes through one window task."""
+    period and second of a game, whatever the data volume.  Only the columns
+    that decide on a fill are shuffled (no names, no descriptions), and a
+    combining aggregate folds equal rows into one with a count, as a row's fill
+    depends on its content only: no group of copies passes through a window
+    task, and ``expand_copies`` gives every input row back without a join."""
     ev = events.withColumn("game_clock_seconds", S.clock_to_seconds("pctimestring"))
     is_shot = F.col("eventmsgtype").isin(S.EVENT_MADE, S.EVENT_MISSED)
     if not fill_before_filter:
@@ -45,25 +50,27 @@ def fill_margins(events: DataFrame, bucket_seconds: int | None = FILL_BUCKET_SEC
     if bucket_seconds:
         buckets = [("period", None, True),
                    ("_cb", F.floor(F.col("game_clock_seconds") / F.lit(bucket_seconds)), False)]
-    filled = forward_fill(ev.distinct(), ["game_id"], order, "scoremargin", "margin_filled", buckets)
-    cols = ev.columns
-    cond = [F.col(f"_raw.{c}").eqNullSafe(F.col(f"_fill.{c}")) for c in cols]
-    # no hint: the filled side (one row per distinct event) is broadcast by
-    # the planner or by AQE only when its estimated / measured size is under
-    # the broadcast threshold; otherwise a shuffle join (AQE splits skew)
-    out = (ev.alias("_raw").join(filled.alias("_fill"), cond, "inner")
-             .select(*[F.col(f"_raw.{c}").alias(c) for c in cols], F.col("_fill.margin_filled")))
-    return out.filter(is_shot) if fill_before_filter else out
+    narrow = ev.groupBy(*FILL_COLUMNS).agg(F.count(F.lit(1)).alias(copies))
+    filled = forward_fill(narrow, ["game_id"], order, "scoremargin", "margin_filled", buckets)
+    return filled.filter(is_shot) if fill_before_filter else filled
+
+
+def expand_copies(df: DataFrame, copies: str = "n_copies") -> DataFrame:
+    """Each row as often as its number says."""
+    return df.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop("_i", copies)
 
 
 def clutch_shots(events: DataFrame, min_period: int = MIN_PERIOD, clutch_seconds: int = CLUTCH_SECONDS,
-                 margin: int = CLUTCH_MARGIN, fill_before_filter: bool = False) -> DataFrame:
-    """One row per clutch shot."""
+                 margin: int = CLUTCH_MARGIN, fill_before_filter: bool = False,
+                 tie_value: int | None = None) -> DataFrame:
+    """The distinct clutch shots (only one of each event is
+    located).  ``tie_value`` is the margin that the tie marker stands for (H5:
+    without it such rows drop out)."""
     f = fill_margins(events, fill_before_filter=fill_before_filter)
     return (f.filter(F.col("margin_filled").isNotNull())
              .filter(F.col("period") >= min_period)
              .filter(F.col("game_clock_seconds") <= clutch_seconds)
-             .filter(F.abs(S.margin_value("margin_filled")) <= margin)
+             .filter(F.abs(S.margin_value("margin_filled", tie_value)) <= margin)
              .select(F.col("game_id"), F.col("eventnum").alias("event_id"), F.col("period").alias("quarter"),
                      F.col("player1_id").alias("player_id"), F.col("eventmsgtype").alias("event_type"),
                      F.col("game_clock_seconds")))

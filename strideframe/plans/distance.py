@@ -66,3 +66,13 @@ def distance_unfiltered(moments_feet: DataFrame, minutes: DataFrame, unit_minute
     return (dist.join(mins, "player_id", "left")
                 .select("player_id", "total_distance_m", rate.alias("distance_per_quarter_m"),
                         F.col("total_seconds_played").isNull().alias("missing_minutes")))
+
+
+def players_without_minutes(moments_feet: DataFrame, minutes: DataFrame) -> DataFrame:
+    """Q10: players in the tracking data, and how many of them have no entry
+    in the minutes (counted on distinct ids; no distances are computed)."""
+    players, _ = split_roles(moments_feet)
+    seen = players.select("player_id").distinct().join(
+        seconds_on_court(minutes, "total_seconds_played"), "player_id", "left")
+    return seen.agg(F.count(F.lit(1)).alias("n_players"),
+                    F.count_if(F.col("total_seconds_played").isNull()).alias("n_without_minutes"))

@@ -242,7 +242,7 @@ ORACLES["bounds_check"] = with_views("""
 SELECT CASE WHEN player_id = -1 THEN 'ball' ELSE 'players' END AS role, count(*) AS n_rows,
        min(x_loc) AS x_min, max(x_loc) AS x_max, count(*) FILTER (WHERE x_loc < 0 OR x_loc > 94) AS x_out,
        min(y_loc) AS y_min, max(y_loc) AS y_max, count(*) FILTER (WHERE y_loc < 0 OR y_loc > 50) AS y_out
-FROM moments_feet WHERE player_id IS NOT NULL GROUP BY 1
+FROM moments_feet GROUP BY 1
 """)
 
 ORACLES["clock_check"] = with_views(f"""
@@ -485,3 +485,78 @@ WHERE e.eventmsgtype = 1
   AND NOT EXISTS (SELECT 1 FROM moments m
                   WHERE m.player_id = -1 AND m.game_id = e.game_id AND m.event_id = e.eventnum)
 """)
+
+
+def _profile_columns(tables: dict[str, list[tuple[str, str]]]) -> str:
+    return "\nUNION ALL".join(f"""
+SELECT '{view}' AS table_name, '{c}' AS "column", CAST({i} AS INTEGER) AS ordinal, '{t}' AS dtype,
+       count(*) AS "rows", count({c}) AS non_null, count(*) - count({c}) AS nulls,
+       {half_up(f'CAST(count(*) - count({c}) AS DOUBLE) / count(*) * 100', 1)} AS null_pct,
+       count(DISTINCT {c}) AS nunique
+FROM {source}""" for (view, source), cols in tables.items() for i, (c, t) in enumerate(cols))
+
+
+ORACLES["tracking_profile"] = with_views(_profile_columns({
+    ("moments", "moments_feet"): [
+        ("game_id", "bigint"), ("event_id", "bigint"), ("quarter", "int"), ("game_clock", "double"), ("shot_clock", "double"),
+        ("team_id", "bigint"), ("player_id", "bigint"), ("x_loc", "double"), ("y_loc", "double"), ("radius", "double")],
+    ("events", "events_pbp"): [
+        ("game_id", "bigint"), ("eventnum", "bigint"), ("eventmsgtype", "int"), ("period", "int"), ("pctimestring", "string"),
+        ("scoremargin", "string"), ("player1_id", "bigint"), ("player1_name", "string"), ("homedescription", "string"),
+        ("visitordescription", "string")],
+    ("minutes_played", "minutes_played"): [("player_id", "bigint"), ("sec", "double")]}))
+
+ORACLES["complete_moments"] = f"""
+SELECT stage, CAST(sum(n_moments) AS BIGINT) AS n_moments, CAST(sum(n) AS BIGINT) AS n_complete,
+       {half_up('CAST(sum(n) AS DOUBLE) * 100 / sum(n_moments)', 1)} AS pct_complete
+FROM (SELECT *, CASE WHEN rows_per_ts = 2 THEN n_moments ELSE 0 END AS n FROM ({ORACLES["moment_completeness"]}) m) x
+GROUP BY stage
+"""
+
+
+def _describe_sql(source: str, cols: list[str], by: list[str]) -> str:
+    group = "".join(f"{c}, " for c in by)
+    return "\nUNION ALL ".join(f"""
+SELECT {group}'{c}' AS "column", count({c}) AS "count", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+       round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
+       round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max
+FROM {source} {('GROUP BY ' + ', '.join(by)) if by else ''}""" for c in cols)
+
+
+MEASURED = ["game_clock", "shot_clock", "x_loc", "y_loc", "radius"]
+ORACLES["describe_moments"] = with_views(_describe_sql("moments_feet", MEASURED, []))
+ORACLES["describe_moments_per_role"] = with_views(
+    ", r AS (SELECT *, CASE WHEN player_id = -1 THEN 'ball' ELSE 'players' END AS role FROM moments_feet)"
+    + _describe_sql("r", MEASURED, ["role"]))
+ORACLES["shot_height_summary"] = (f"WITH b AS ({ORACLES['ball_rows_in_shots']}) " + _describe_sql("b", ["radius"], []))
+
+ORACLES["gap_histograms"] = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS histogram, q.* FROM ("
+    + with_views(_hist_sql(GAPS + f", vals AS (SELECT gap AS v FROM gg WHERE {cond})", bins)) + ") q"
+    for name, cond, bins in [("small", f"gap <= {dbl(0.2)}", 100), ("large", f"gap > {dbl(0.5)}", 50)])
+
+ORACLES["low_ball_histogram"] = ("SELECT 'x_loc' AS histogram, q.* FROM (" + with_views(_hist_sql(
+    ", vals AS (SELECT x_loc AS v FROM moments_feet WHERE player_id = -1 AND radius < 0.5)", 50)) + ") q")
+
+ORACLES["players_without_minutes"] = with_views("""
+SELECT count(*) AS n_players, count(*) FILTER (WHERE player_id NOT IN (
+         SELECT player_id FROM minutes_played)) AS n_without_minutes
+FROM (SELECT DISTINCT player_id FROM moments_feet WHERE player_id <> -1) p
+""")
+
+ORACLES["first_crossing_upwards"] = """
+SELECT user_id, min(ts) FILTER (WHERE value >= 90) AS first_ts FROM events GROUP BY user_id
+"""
+
+ORACLES["clutch_shots_with_ties"] = with_views(FILLED + """
+SELECT DISTINCT game_id, eventnum AS event_id, period AS quarter, player1_id AS player_id, eventmsgtype AS event_type,
+       game_clock_seconds
+FROM f WHERE margin_filled IS NOT NULL AND period >= 4 AND game_clock_seconds <= 300
+       AND abs(CASE WHEN margin_filled = 'TIE' THEN 0 ELSE TRY_CAST(margin_filled AS INTEGER) END) <= 5
+""")
+
+ORACLES["drifting_headers"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority
+FROM orders
+"""

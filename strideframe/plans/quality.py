@@ -9,9 +9,10 @@ from pyspark.sql.types import TimestampNTZType
 from strideframe.functions import scalar as S
 from strideframe.operators.dedupe import split_roles
 from strideframe.operators.match import anti_join, nearest_match, semi_join
-from strideframe.operators.profile import (count_of_counts, exact_quantiles, profile, quantiles_from_counts,
-                                           summary_from_counts, threshold_counts, value_weights)
-from strideframe.operators.sequence import equi_depth_buckets, next_in_sequence, time_buckets
+from strideframe.operators.profile import (Histogram, count_of_counts, describe, exact_quantiles, histograms, profile,
+                                           quantiles_from_counts, summary_from_counts, threshold_counts, value_weights)
+from strideframe.operators.ranges import next_in_ranges
+from strideframe.operators.sequence import next_in_sequence, time_buckets
 from strideframe.plans.distance import dedupe_moments
 
 MOMENT = ["game_id", "quarter", "game_clock"]
@@ -36,11 +37,34 @@ def moment_completeness(moments: DataFrame) -> DataFrame:
     return raw.unionByName(dd).select("stage", "rows_per_ts", "n_moments")
 
 
+def complete_moments(moments: DataFrame, expected: int = 11) -> DataFrame:
+    """Q6: per stage (raw, deduped) the number of moments, how many hold the
+    expected rows (one ball, ten players), and their share in percent."""
+    sizes = moment_completeness(moments)
+    full = F.sum(F.when(F.col("rows_per_ts") == F.lit(expected), F.col("n_moments")).otherwise(0))
+    out = sizes.groupBy("stage").agg(F.sum("n_moments").alias("n_moments"), full.alias("n_complete"))
+    return out.withColumn("pct_complete", F.round(F.try_divide(F.col("n_complete") * 100.0, F.col("n_moments")), 1))
+
+
+def _role():
+    """Ball or players; a row without an id is no ball row."""
+    return F.when(F.col("player_id") == S.BALL_ID, F.lit("ball")).otherwise(F.lit("players")).alias("role")
+
+
+def describe_moments(moments: DataFrame, cols=("game_clock", "shot_clock", "x_loc", "y_loc", "radius"),
+                     per_role: bool = True) -> DataFrame:
+    """A14 over the moments: describe of the measured columns, per role (Q7)
+    or over all rows."""
+    if not per_role:
+        return describe(moments, list(cols))
+    return describe(moments.select(_role(), *cols), list(cols), by=["role"])
+
+
 def bounds_check(moments_feet: DataFrame, length: float = S.COURT_LENGTH_FT,
                  width: float = S.COURT_WIDTH_FT) -> DataFrame:
-    """Q7: coordinate ranges and out-of-court counts per role (feet)."""
-    role = F.when(F.col("player_id") == S.BALL_ID, F.lit("ball")).otherwise(F.lit("players"))
-    return (moments_feet.filter(F.col("player_id").isNotNull()).groupBy(role.alias("role")).agg(
+    """Q7: coordinate ranges and out-of-court counts per role (feet); rows
+    without an id count with the players, as they are not the ball's."""
+    return (moments_feet.groupBy(_role()).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min("x_loc").alias("x_min"), F.max("x_loc").alias("x_max"),
         F.count_if(S.out_of_range("x_loc", 0.0, length)).alias("x_out"),
@@ -122,14 +146,23 @@ GAP_CUTS = [("le_0_04", "<=", 0.04), ("le_0_05", "<=", 0.05), ("le_0_10", "<=",
 
 
 def gap_report(moments: DataFrame, cuts=GAP_CUTS) -> DataFrame:
-    """Q9: gap summary (min, mean, max, weighted) and counts per cut-off."""
-    g = gap_distribution(moments)
-    base = g.agg(F.min("gap").alias("gap_min"),
-                 (F.sum(F.col("gap") * F.col("w")) / F.sum("w")).alias("gap_mean"),
-                 F.max("gap").alias("gap_max"))
-    cnt = threshold_counts(g, "gap", cuts, weight="w")
-    both = base.unionByName(cnt, allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in both.columns])
+    """Q9: gap summary (min, mean, max, weighted) and counts per cut-off, in
+    one aggregate over one run of the gaps."""
+    g = gap_distribution(moments).select(F.col("gap").alias("v"), "w")
+    s = summary_from_counts(g, cuts)
+    shares = [c for name, _, _ in cuts for c in (
+        F.col(f"n_{name}"), F.try_divide(F.col(f"n_{name}"), F.col("n")).alias(f"share_{name}"))]
+    return s.select(F.col("min").alias("gap_min"), F.col("mean").alias("gap_mean"), F.col("max").alias("gap_max"),
+                    F.coalesce("n", F.lit(0)).alias("n_values"), *shares)
+
+
+def gap_histograms(moments: DataFrame, small: float = 0.2, large: float = 0.5) -> DataFrame:
+    """Q9 (A20): the gaps up to ``small`` in 100 bins (the frame rate) and
+    those beyond ``large`` in 50 (likely substitutions), in one run."""
+    gap = F.col("gap")
+    return histograms(gap_distribution(moments), [
+        Histogram("small", gap, 100, keep=gap <= F.lit(small)),
+        Histogram("large", gap, 50, keep=gap > F.lit(large))], weight="w")
 
 
 def gap_quantiles(moments: DataFrame, probs=(0.5, 0.9, 0.95, 0.99, 0.999)) -> DataFrame:
@@ -228,6 +261,17 @@ def untracked_made_events(moments: DataFrame, events: DataFrame) -> DataFrame:
     return anti_join(made, ball, ["game_id", "event_id"])
 
 
+def shot_height_summary(moments: DataFrame, events: DataFrame) -> DataFrame:
+    """Q12 (A14): describe of the ball's height in shot events."""
+    return describe(ball_rows_in_shots(moments, events), ["radius"])
+
+
+def low_ball_histogram(moments_feet: DataFrame, below: float = 0.5, bins: int = 50) -> DataFrame:
+    """Q12 (A20): where on the court the ball is near the floor."""
+    _, ball = split_roles(moments_feet)
+    return histograms(ball, [Histogram("x_loc", F.col("x_loc"), bins, keep=F.col("radius") < F.lit(float(below)))])
+
+
 def low_ball_rows(moments_feet: DataFrame, below: float = 0.5, k: int = 20) -> DataFrame:
     """the ``k`` lowest ball samples under ``below`` (a top-k report;
     the order is total so the cut is deterministic)."""
@@ -238,7 +282,7 @@ def low_ball_rows(moments_feet: DataFrame, below: float = 0.5, k: int = 20) -> D
                 .limit(k))
 
 
-def event_path_length(events: DataFrame, max_gap_us: int, rows_per_bucket: int = 1_000_000) -> DataFrame:
+def event_path_length(events: DataFrame, max_gap_us: int) -> DataFrame:
     """W1/W2 on a raw event stream (user_id, event_id, ts, value): per user,
     the summed change of ``value`` between consecutive events (time order,
     event id breaks ties) at most ``max_gap_us`` microseconds apart, the
@@ -255,15 +299,12 @@ def event_path_length(events: DataFrame, max_gap_us: int, rows_per_bucket: int =
     # aggregate: m copies are m - 1 in-gap steps of length 0 (when the time
     # is known) plus one step from the last copy to the next distinct event
     evc = ev.groupBy("user_id", "event_id", "value", "t_us").agg(F.count(F.lit(1)).alias("m"))
-    # equi-depth time buckets: a hot user (or a burst) is split over many
-    # window partitions; the next event across a bucket edge is carried in
-    evb, bspec = equi_depth_buckets(evc, "t_us", rows_per_bucket)
-    nx = next_in_sequence(evb, ["user_id"], [("t_us", True), ("event_id", True)], ["value", "t_us"],
-                          bspec or None)
+    # sorted ranges of (user, time): a hot user (or a burst) is split over
+    # many partitions; the next event across a border is carried in
+    nx = next_in_ranges(evc, ["user_id"], ["t_us", "event_id", "value"], ["value", "t_us"])
     ok = F.col("next_t_us").isNotNull() & ((F.col("next_t_us") - F.col("t_us")) <= F.lit(max_gap_us))
     step = F.when(ok, F.abs(F.col("next_value") - F.col("value"))).otherwise(F.lit(0.0))
     copy_steps = F.when(F.col("t_us").isNotNull(), F.col("m") - 1).otherwise(F.lit(0).cast("bigint"))
-    out = nx.groupBy("user_id").agg(F.sum(step).alias("path_length"),
-                                    (F.count_if(ok) + F.sum(copy_steps)).alias("n_steps"),
-                                    F.sum("m").alias("n_events"))
-    return out
+    return nx.groupBy("user_id").agg(F.sum(step).alias("path_length"),
+                                     (F.count_if(ok) + F.sum(copy_steps)).alias("n_steps"),
+                                     F.sum("m").alias("n_events"))

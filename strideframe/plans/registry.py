@@ -75,7 +75,7 @@ def q_shot_locations(spark, sf):
 
 
 def q_margin_forward_fill(spark, sf):
-    f = C.fill_margins(A.events(spark, sf))
+    f = C.expand_copies(C.fill_margins(A.events(spark, sf)))
     return f.select("game_id", "eventnum", "period", "game_clock_seconds", "scoremargin", "margin_filled")
 
 
@@ -117,7 +117,6 @@ LINE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINE_COEF = [0.5, 0.001, -20.0, 10.0]
 LINE_INTERCEPT = 1.0
 PATH_GAP_MICROS = 6 * 3600 * 1_000_000
-EVENT_ROWS_PER_BUCKET = 1_000_000
 
 
 def q_table_profile(spark, sf):
@@ -227,7 +226,7 @@ def q_event_path_length(spark, sf):
     """W1/W2 on the raw event stream: per user, the summed change of
     ``value`` between consecutive events (time order, event id breaks ties)
     when they are at most 6 h apart."""
-    out = Q.event_path_length(A.table(spark, sf, "events"), PATH_GAP_MICROS, EVENT_ROWS_PER_BUCKET)
+    out = Q.event_path_length(A.table(spark, sf, "events"), PATH_GAP_MICROS)
     return _round(out, ["path_length"])
 
 
@@ -307,3 +306,84 @@ QUERIES.update({
     "ball_rows_in_shots": q_ball_rows_in_shots,
     "untracked_made_events": q_untracked_made_events,
 })
+
+
+def q_tracking_profile(spark, sf):
+    """Q5 over the tracking tables themselves (without the samples, whose
+    text form differs between engines)."""
+    return Q.table_profile({"moments": A.moments_feet(spark, sf), "events": A.events(spark, sf),
+                            "minutes_played": A.minutes(spark, sf)}).drop("sample")
+
+
+def q_complete_moments(spark, sf):
+    return Q.complete_moments(A.moments(spark, sf), expected=2)
+
+
+def q_describe_moments(spark, sf):
+    return _round(Q.describe_moments(A.moments_feet(spark, sf), per_role=False), SUMMARY)
+
+
+def q_describe_moments_per_role(spark, sf):
+    return _round(Q.describe_moments(A.moments_feet(spark, sf)), SUMMARY)
+
+
+def q_gap_histograms(spark, sf):
+    return _round(Q.gap_histograms(A.moments(spark, sf)), ["bin_lo", "bin_hi"])
+
+
+def q_players_without_minutes(spark, sf):
+    return D.players_without_minutes(A.moments_feet(spark, sf), A.minutes(spark, sf))
+
+
+def q_shot_height_summary(spark, sf):
+    return _round(Q.shot_height_summary(A.moments(spark, sf), A.events(spark, sf)), SUMMARY)
+
+
+def q_low_ball_histogram(spark, sf):
+    return _round(Q.low_ball_histogram(A.moments_feet(spark, sf)), ["bin_lo", "bin_hi"])
+
+
+def q_first_crossing_upwards(spark, sf):
+    """W5 where time runs upwards: a user's first event of at least 90."""
+    ev = A.table(spark, sf, "events")
+    return first_crossing(ev, ["user_id"], "ts", "value", 90.0, t_desc=False, out="first_ts")
+
+
+def q_clutch_shots_with_ties(spark, sf):
+    """H5: the clutch shots where a tie counts as a margin of 0."""
+    return C.clutch_shots(A.events(spark, sf), tie_value=0)
+
+
+DRIFT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+def q_drifting_headers(spark, sf):
+    """Orders as CSV files whose headers differ in case, order and
+    columns (one kind lacks the priority), read back by name."""
+    orders = A.table(spark, sf, "orders").select(*DRIFT)
+    folder = shared_dir(spark, "drifting")
+    heads = {"F": DRIFT, "O": [c.upper() for c in reversed(DRIFT)], "P": [*DRIFT[2:4], *DRIFT[:2]]}
+    for status, names in heads.items():
+        part = orders.filter(F.col("o_orderstatus") == status)
+        part.select(*[F.col(n.lower()).alias(n) for n in names]).write.csv(f"{folder}/{status}", header=True)
+    return read_table(spark, f"{folder}/*", orders.schema).select(*DRIFT)
+
+
+SUMMARY = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+
+from strideframe.operators.sequence import first_crossing  # noqa: E402
+from strideframe.sources.readers import read_table  # noqa: E402
+
+QUERIES.update({
+    "tracking_profile": q_tracking_profile,
+    "complete_moments": q_complete_moments,
+    "describe_moments": q_describe_moments,
+    "describe_moments_per_role": q_describe_moments_per_role,
+    "gap_histograms": q_gap_histograms,
+    "players_without_minutes": q_players_without_minutes,
+    "shot_height_summary": q_shot_height_summary,
+    "low_ball_histogram": q_low_ball_histogram,
+    "first_crossing_upwards": q_first_crossing_upwards,
+    "clutch_shots_with_ties": q_clutch_shots_with_ties,
+    "drifting_headers": q_drifting_headers,
+})

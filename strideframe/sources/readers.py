@@ -7,8 +7,11 @@ runs over the data; headers are lower-cased so mixed-case files line up.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import contextlib
+import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,35 +80,44 @@ def header_groups(spark: SparkSession, path: str | list[str], sep: str = ",") ->
     """S2 with drifting headers: the files behind ``path`` (globs allowed)
     grouped by their header line (lower-cased column names, in order).
 
-    Only the first line of each file is read, on the driver through the
-    Hadoop file system (no data); each group is then read by one distributed
-    CSV scan, and the groups are stacked by name — so files whose columns come
-    in another order or with other columns line up, as a by-name concat
-    would, while the data itself is read in parallel."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    out: dict[tuple, list[str]] = {}
-    for pat in ([path] if isinstance(path, str) else list(path)):
-        jp = jvm.org.apache.hadoop.fs.Path(pat)
-        fs = jp.getFileSystem(conf)
-        statuses = fs.globStatus(jp) or []
-        files = []
-        for st in statuses:
-            if st.isDirectory():
-                files += [c.getPath() for c in fs.listStatus(st.getPath())
-                          if c.isFile() and not c.getPath().getName().startswith(("_", "."))]
-            else:
-                files.append(st.getPath())
-        for fp in files:
-            stream = fs.open(fp)
-            try:
-                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-                line = reader.readLine() or ""
-            finally:
-                stream.close()
-            names = tuple(n.strip().strip('"').lower() for n in line.lstrip("\ufeff").split(sep))
-            out.setdefault(names, []).append(fp.toString())
-    return out
+    The first lines are read by tasks, one file each, and grouped by an
+    aggregate: a task takes the first row of its file and stops, and what
+    reaches the driver is a list of paths per header (a reader's argument).
+    Each group is then read by one distributed CSV scan, and the groups are
+    stacked by name — so files whose columns come in another order or with
+    other columns line up, as a by-name concat would.  Files without any line
+    are left out."""
+    reader = (spark.read.option("header", "false").option("multiLine", "true")     # a file is not split, and not read on
+              .option("sep", "\u0001").option("quote", "").schema("line string"))
+    lines = reader.csv(path).select("line", F.col("_metadata.file_path").alias("file"))
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield b.slice(0, 1)
+                return
+
+    names = F.transform(F.split(F.regexp_replace("line", "^\ufeff", ""), re.escape(sep)),
+                        lambda x: F.lower(F.regexp_replace(F.trim(x), '^"+|"+$', "")))
+    with _one_file_per_task(spark):
+        found = lines.mapInArrow(first_lines, "line string, file string").groupBy(names.alias("names")).agg(
+            F.collect_list("file").alias("files")).collect()
+    return {tuple(r.names): sorted(r.files) for r in found}
+
+
+@contextlib.contextmanager
+def _one_file_per_task(spark: SparkSession) -> Iterator[None]:
+    """While a scan is planned here, small files do not share a task."""
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(1 << 40))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:

@@ -15,7 +15,7 @@ FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "FlatMapGroupsInPandas", "collect_list", "collect_set", "localCheckpoint"]
 
 # Queries that profile whole tables read every column on purpose.
-ALL_COLUMNS = {"table_profile"}
+ALL_COLUMNS = {"table_profile", "tracking_profile"}
 
 
 def _plan(df) -> str:
@@ -38,3 +38,10 @@ def test_lineitem_scans_are_pruned(spark):
             assert len(cols.split(",")) < 16, f"{name} reads all lineitem columns"
             checked += 1
     assert checked > 20
+
+
+@pytest.mark.parametrize("name", ["distance_per_entity", "possession_per_entity", "dedupe_first"])
+def test_dedupe_without_sorted_aggregates(spark, name):
+    """A key's copies are cut down before the exchange, by a group limit."""
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan

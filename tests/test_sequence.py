@@ -166,28 +166,6 @@ def test_next_within_ascending_boundaries(spark):
     assert out[1] == 60.0 and out[5] == 180.4
 
 
-def test_equi_depth_buckets_split_a_hot_entity(spark):
-    """A user holding most rows, crowded into a short burst, is cut into many
-    buckets; the next-row lookup over those buckets equals a plain lead."""
-    from pyspark.sql import Window
-    from strideframe.operators.sequence import equi_depth_buckets
-    rnd = random.Random(5)
-    data = [(0 if rnd.random() < 0.6 else rnd.randint(1, 5), i,
-             rnd.uniform(100.0, 101.0) if rnd.random() < 0.5 else rnd.uniform(0.0, 1000.0), float(i % 13))
-            for i in range(3000)]
-    df = spark.createDataFrame(data, "u long, id long, t double, v double")
-    b, spec = equi_depth_buckets(df, "t", rows_per_bucket=100)
-    assert spec
-    per_group = b.filter("u = 0").groupBy("_qb").count().agg(F.max("count")).first()[0]
-    assert per_group <= 150                      # about rows_per_bucket, hot user included
-    order = [("t", True), ("id", True)]
-    got = next_in_sequence(b, ["u"], order, ["v", "t"], spec).drop("_qb")
-    w = Window.partitionBy("u").orderBy("t", "id")
-    exp = df.select("*", F.lead("v").over(w).alias("next_v"), F.lead("t").over(w).alias("next_t"))
-    assert sorted(map(tuple, got.select("id", "next_v", "next_t").collect())) == \
-        sorted(map(tuple, exp.select("id", "next_v", "next_t").collect()))
-
-
 def test_next_within_large_absolute_times(spark):
     """Microsecond timestamps (~1.7e15) with one-second buckets: a successor
     exactly one horizon away across a bucket edge is still found."""
