@@ -51,6 +51,7 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     r_t_type = right.schema[right_t].dataType
     r = right.select(*[F.col(rc).alias(lc) for lc, rc in on], F.col(right_t).alias("_t"),
                      *[F.col(c) for c in right_cols if c != right_t])
+    r = r.join(left.select(*keys).distinct(), keys, "left_semi")
     valid = F.col("_t").isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
@@ -68,7 +69,6 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str
     # row of it is shuffled into the windows.
     best_r = (r.filter(valid).groupBy(*keys, "_t")
                .agg(F.min(F.struct(tie_key().alias("rk"), rstruct.alias("r"))).alias("_m")))
-    best_r = best_r.join(left.select(*keys).distinct(), keys, "left_semi")
     rows_r = best_r.select(*keys, "_t", F.lit(0).alias("_side"), F.col("_m.r").alias("_r"),
                            F.col("_m.rk").alias("_rk"),
                            F.lit(None).cast(counted.select(F.struct(*lcols, "_n")).schema[0].dataType).alias("_l"))

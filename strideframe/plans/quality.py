@@ -13,7 +13,7 @@ from strideframe.operators.profile import (Histogram, count_of_counts, describe,
                                            quantiles_from_counts, summary_from_counts, threshold_counts, value_weights)
 from strideframe.operators.ranges import next_in_ranges
 from strideframe.operators.sequence import next_in_sequence, time_buckets
-from strideframe.plans.distance import dedupe_moments
+from strideframe.plans.distance import MOMENT_KEY, dedupe_moments
 
 MOMENT = ["game_id", "quarter", "game_clock"]
 
@@ -32,7 +32,8 @@ def moment_completeness(moments: DataFrame) -> DataFrame:
     """Q6: rows per moment (expected 1 ball + 10 players) before and after
     the dedupe: stage, rows_per_ts, n_moments."""
     raw = count_of_counts(moments, MOMENT, "rows_per_ts", "n_moments").withColumn("stage", F.lit("raw"))
-    dd = count_of_counts(dedupe_moments(moments, []), MOMENT, "rows_per_ts", "n_moments") \
+    # the dedupe leaves one row per distinct key, and only their number counts here
+    dd = count_of_counts(moments.select(*MOMENT_KEY).distinct(), MOMENT, "rows_per_ts", "n_moments") \
         .withColumn("stage", F.lit("deduped"))
     return raw.unionByName(dd).select("stage", "rows_per_ts", "n_moments")
 
