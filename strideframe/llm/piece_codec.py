@@ -4,8 +4,9 @@ Encoding finds the one tokenisation in which every two adjacent tokens are
 compatible, that is, merging their joined text again gives the same two
 tokens.  An Aho-Corasick automaton reports the pieces that start at each
 place; the text is tokenised by taking the longest piece that is compatible
-with the one before it, and by backtracking to a shorter one where none fits.  A bitfield marks the places from which the rest
-cannot be tokenised, so each is tried once and the time stays linear.
+with the one before it, and by backtracking to a shorter one (a piece's own
+longest beginning) where none fits.  A bitfield marks the places from which the
+rest cannot be tokenised, so each is tried once and the time stays linear.
 
 A text is cut where no piece can stand across (before a word break that
 follows another character, and around line feeds, if the vocabulary proves
@@ -28,7 +29,7 @@ from strideframe.llm.common import append_columns, read_table
 
 BREAK = "▁"
 #: Words, and pairs of tokens, that a worker remembers.
-MEMORY, PAIRS = 150_000, 300_000
+MEMORY, PAIRS = 300_000, 400_000
 
 _WORDS = re.compile(f"\n|{BREAK}+[^{BREAK}\n]*|[^{BREAK}\n]+")
 
@@ -55,8 +56,14 @@ class Codec:
         # a word break that follows another character starts a piece of its own
         self.cuts = not any(BREAK in p.lstrip(BREAK) or "\n" in p for p in self.ids)
         self.chars = frozenset(p for p in self.ids if len(p) == 1)
+        # of each piece the longest other piece (or unknown character) that it begins with
+        self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), p[:1] if len(p) > 1 else "")
+                        for p in self.ids}
+        self.number = {p: str(i) for p, i in self.ids.items()}
+        self.shown = {p: p.replace(BREAK, " ") for p in self.ids}
         self.whole: dict[str, bool] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.pairs = 0
         self.parts: dict[str, list[str]] = {}
         self.words: dict[str, tuple[int, str, str]] = {}
 
@@ -116,11 +123,16 @@ class Codec:
         return ok
 
     def _compatible(self, a: str, b: str) -> bool:
-        ok = self.fits.get((a, b))
+        """Whether ``b`` can follow ``a``, or (``a`` empty) begin a text."""
+        if not a:
+            return self._is_token(b)
+        ok = self.fits.get(a, {}).get(b)
         if ok is None:
-            if len(self.fits) >= PAIRS:
+            if self.pairs >= PAIRS:
                 self.fits.clear()
-            ok = self.fits[a, b] = self._is_token(b) and self.merge(a + b) == [a, b]
+                self.pairs = 0
+            self.pairs += 1
+            ok = self.fits.setdefault(a, {})[b] = self._is_token(b) and self.merge(a + b) == [a, b]
         return ok
 
     # -- encoding -----------------------------------------------------------
@@ -128,43 +140,40 @@ class Codec:
     def _backtrack(self, text: str) -> list[str]:
         """The compatible tokenisation of ``text``, found from its start."""
         n = len(text)
-        starting: list[list[str]] = [[] for _ in range(n)]
+        longest = [""] * (n + 1)                    # the longest piece that starts at each place
         for last, piece in self.automaton.iter(text):       # shortest first at each start
-            starting[last - len(piece) + 1].append(piece)
+            longest[last - len(piece) + 1] = piece
         if not self.chars.issuperset(text):
             for at, c in enumerate(text):
-                if c not in self.chars:
-                    starting[at].append(c)          # unknown characters are tokens of their own
+                if not longest[at]:
+                    longest[at] = c                 # unknown characters are tokens of their own
         failed = bytearray(n // 8 + 1)              # places after which nothing fits
         tokens: list[str] = []
-        untried: list[int] = []
-        whole, fits = self.whole, self.fits
-        at, before = 0, ""
-        left = len(starting[0]) if n else 0
+        shorter, fits, none = self.shorter, self.fits, {}
+        at, before, some_failed, known = 0, "", False, self.whole
+        p = longest[0]
         while at < n:
-            options = starting[at]
-            while left:
-                left -= 1
-                p = options[left]
+            while p:
                 end = at + len(p)
-                if failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                ok = fits.get((before, p)) if before else whole.get(p)
-                if ok is None:
-                    ok = self._is_token(p) and (not before or self._compatible(before, p))
-                if ok:
-                    tokens.append(p)
-                    untried.append(left)
-                    at, before = end, p
-                    left = len(starting[at]) if at < n else 0
-                    break
+                if not (some_failed and failed[end >> 3] >> (end & 7) & 1):
+                    ok = known.get(p)
+                    if ok is None:
+                        ok = self._compatible(before, p)
+                    if ok:
+                        break
+                p = shorter.get(p, "")
+            if p:
+                tokens.append(p)
+                at, before, p = end, p, longest[end]
             else:
                 if not tokens:
                     raise ValueError("no tokenisation")     # cannot happen: single characters always fit
                 failed[at >> 3] |= 1 << (at & 7)
-                at -= len(tokens.pop())
-                before = tokens[-1] if tokens else ""
-                left = untried.pop()
+                some_failed = True
+                last = tokens.pop()
+                at -= len(last)
+                before, p = tokens[-1] if tokens else "", shorter.get(last, "")
+            known = fits.get(before, none) if before else self.whole
         return tokens
 
     def _parts(self, word: str) -> list[str]:
@@ -198,22 +207,22 @@ class Codec:
                 out.append(i)
         return out
 
-    def _word(self, text: str) -> list[int]:
-        """Ids of a run of word breaks and what follows it up to the next."""
+    def _tokens(self, text: str) -> list[str]:
+        """Tokens of a run of word breaks and what follows it up to the next."""
+        if not self.cuts or text[1:2] != BREAK or text[0] != BREAK:
+            return self._parts(text)
         bare = text.lstrip(BREAK)
         n = len(text) - len(bare)
-        if n < 2 or not self.cuts:
-            return self._ids_of(self._parts(text))
         if not bare:
-            return self._ids_of(self.merge(text))
+            return self.merge(text)
         # merges inside the word, its own break included, come before those of the run
         tokens = self._parts(BREAK + bare)
         run = n if tokens[0] == BREAK else n - 1
-        return self._ids_of(self.merge(BREAK * run) + (tokens[1:] if tokens[0] == BREAK else tokens))
+        return self.merge(BREAK * run) + (tokens[1:] if tokens[0] == BREAK else tokens)
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text, without an end id."""
-        return [i for w in self._split(text) for i in self._word(w)]
+        return [i for w in self._split(text) for i in self._ids_of(self._tokens(w))]
 
     def _split(self, text: str) -> list[str]:
         """Words with the breaks before them; the library puts one break
@@ -231,8 +240,13 @@ class Codec:
         if got is None:
             if len(self.words) >= MEMORY:
                 self.words.clear()
-            ids = self._word(word)
-            got = (len(ids), " ".join(map(str, ids)), self.decode_pieces(ids))
+            tokens = self._tokens(word)
+            try:
+                got = (len(tokens), " ".join(map(self.number.__getitem__, tokens)),
+                       "".join(map(self.shown.__getitem__, tokens)))
+            except KeyError:        # a character without a piece: bytes
+                ids = self._ids_of(tokens)
+                got = (len(ids), " ".join(map(str, ids)), self.decode_pieces(ids))
             if len(word) <= 32:
                 self.words[word] = got
         return got
