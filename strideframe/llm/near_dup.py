@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strideframe.llm import textscan as ts
-from strideframe.llm.common import bitmap, in_bitmap, passing, read_table, reliable_checkpoint
+from strideframe.llm.common import bitmap, fresh, in_bitmap, passing, read_table, reliable_checkpoint
 from strideframe.llm.graph import linked_components
 
 BITS = 12
@@ -244,6 +244,27 @@ def op9_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 def near_dup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each near-duplicate group (five words,
-    similarity 0.8), the one with the smallest id, with the columns of ``docs``."""
-    gone = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    similarity 0.8), the one with the smallest id (null first; of equal ids
+    one text), with the columns of ``docs``.
+
+    A document is an id, which may be null, and a text: rows without an id and
+    texts that share one are judged apart, rows that repeat both are copies,
+    of which one stays.  Documents without words always stay, repeated or not.
+    Documents are told apart by a 64-bit hash.
+    """
+    key, other = fresh(docs, "_document", "_of")
+    own = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.coalesce("text", F.lit(""))))
+    rows = near_duplicates(own.select(F.col(key).alias("doc_id"), "text")).filter("n_shingles > 0")
+    found = rows.groupBy(F.col("doc_id").alias("document")).agg(
+        F.min("component_id").alias("component"), F.count("*").alias("n"))
+    ids = own.select(F.col(key).alias("document"), F.col("doc_id").alias("id")).distinct()
+    placed = reliable_checkpoint(found.join(ids, "document"), "placed")
+    keepers = placed.groupBy("component").agg(F.min(F.struct("id", "document")).alias("keeper"))
+    judged = placed.join(keepers, "component").select(
+        F.col("document").alias(other), "n", (F.col("document") == F.col("keeper.document")).alias("stays"))
+    kept = own.join(judged.filter("NOT stays").select(other), F.col(key) == F.col(other), "left_anti")
+    copies = reliable_checkpoint(judged.filter("stays AND n > 1").select(other), "copies")
+    if not copies.isEmpty():
+        same = F.col(key) == F.col(other)
+        kept = kept.join(copies, same, "left_anti").unionByName(kept.join(copies, same, "left_semi").dropDuplicates([key]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -361,3 +362,47 @@ def test_sort_bucket_compares_every_byte(place):
         at = np.array([ahead, ahead])
         assert not S.sort_bucket([one, two], at, S.LENGTH).any(), ahead
         assert S.sort_bucket([one, one], at, S.LENGTH).all()
+
+
+# -- near-duplicate stage --------------------------------------------------------------
+
+def test_near_dup_stage_equals_plain_python(spark):
+    """Kept rows of the stage: null and repeated ids, copies, near copies, no words, clashing names."""
+    rnd = random.Random(12)
+    words = lambda n: [f"w{rnd.randrange(5000)}" for _ in range(n)]
+    a, b, c = words(60), words(60), words(45)
+    near = a[:-1] + ["changed"]
+    rows = [(1, a), (1, a), (2, a), (None, a), (None, a), (3, near), (None, b), (None, b), (4, c), (4, words(50)),
+            (5, c + ["more"]), (6, []), (6, []), (None, []), (7, words(3)), (8, None), (8, None)]
+    rows += [(100 + i, words(40)) for i in range(20)]
+    rows = [(i, None if w is None else " ".join(w), k, "x") for k, (i, w) in enumerate(rows)]
+
+    sets = {}
+    for i, t, *_ in rows:
+        w = (t or "").split()
+        sets[i, t or ""] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {x: x for x in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    order = lambda x: (x[0] is not None, x[0] or 0)
+    for x, y in itertools.combinations(sorted(sets, key=order), 2):
+        both = len(sets[x] & sets[y])
+        if sets[x] and both * 100 >= len(sets[x] | sets[y]) * 80:
+            p, q = sorted((find(x), find(y)), key=order)
+            root[q] = p
+    want = collections.Counter()
+    for i, t, *_ in rows:
+        x = (i, t or "")
+        if not sets[x]:
+            want[i, t] += 1
+        elif find(x) == x:
+            want[i, t] = 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, _document int, _of string")
+    out = N.near_dup_stage(spark, df.repartition(4), "")
+    assert out.columns == df.columns
+    assert collections.Counter((r.doc_id, r.text) for r in out.collect()) == want
+    assert N.near_dup_stage(spark, df.limit(0), "").count() == 0
