@@ -1,7 +1,7 @@
 """License scan: exact set-similarity join of text blocks and license templates.
 
 A block is a run of ``2 * STRIDE`` consecutive words, starting every
-``STRIDE`` words, so any ``STRIDE + 1`` words in a row lie in one block.  A
+``STRIDE`` words (or as many as the longest template has), so any ``STRIDE + 1`` words in a row lie in one block.  A
 template meets a block when at least ``threshold`` of its distinct words are
 among the block's.  The join never compares every pair:
 
@@ -96,10 +96,11 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     smallest and largest place (words from 0, else null); score is the largest
     containment among the templates met (0.0 without any), n_blocks the blocks
     that meet one.  Null, empty and wordless texts have no words and labels
-    ''.  Rows that repeat both id and text give one row; equal ids with
-    different texts stay apart; a null id is an id like any other.  Other
-    columns are not read.  An empty table gives no rows.
+    ''.  Every row gives a row of its own, whatever its id.  Blocks grow with
+    the longest template, which always lies within one.  Other columns are
+    not read.  An empty table gives no rows.
     """
+    stride = max([STRIDE, *(len(t.words()) for t in templates)])
     order = word_order(docs, text, templates)
     rank = {w: i for i, w in enumerate(order)}
     rows, prefixes = [], set()
@@ -114,18 +115,18 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               "label string, phrase boolean")
     rare = _array([w for w in order if w in prefixes])
 
-    words = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"),
+    words = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                         text_words(F.col(text)).alias("words"))
     starts = F.when(F.arrays_overlap("words", rare), F.sequence(
-        F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(STRIDE)))
-    blocks = (words.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"), "words",
+        F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(stride)))
+    blocks = (words.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), "words",
                            F.explode_outer(starts).alias("start"))
-                   .withColumn("block", F.expr(f"slice(words, start + 1, {2 * STRIDE})")).drop("words")
+                   .withColumn("block", F.expr(f"slice(words, start + 1, {2 * stride})")).drop("words")
                    .withColumn("held", F.array_intersect(_array(order), "block")))
     # a row per prefix word of a block; texts and blocks without one keep a row with a null word
     marked = F.filter(F.transform("held", lambda w, j: F.struct(w.alias("w"), j.alias("j"))),
                       lambda x: F.array_contains(rare, x["w"]))
-    places = blocks.select("doc_id", "text_key", "n_words", "start", "block", "held",
+    places = blocks.select("doc_id", "row", "n_words", "start", "block", "held",
                            F.explode_outer(marked).alias("x")).select("*", "x.w", "x.j").drop("x")
     joined = places.join(F.broadcast(prefix), "w", "left")
     bound = 1 + F.least(F.col("size") - F.col("i") - 1, F.size("held") - F.col("j") - 1)
@@ -134,15 +135,15 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first = F.element_at(F.array_intersect("t_words", "held"), 1) == F.col("w")
     met = (F.col("t").isNotNull() & (F.size("held") >= F.col("need")) & first
            & (bound >= F.col("need")) & (shared >= F.col("need")))
-    own = F.expr(f"filter(sequence(0, {STRIDE - 1}), p -> slice(block, p + 1, size(seq)) = seq)")
+    own = F.expr(f"filter(sequence(0, {stride - 1}), p -> slice(block, p + 1, size(seq)) = seq)")
     found = joined.select(
-        "doc_id", "text_key", "n_words", F.when(met, F.col("start")).alias("start"), "label", "phrase",
+        "doc_id", "row", "n_words", F.when(met, F.col("start")).alias("start"), "label", "phrase",
         F.when(met & F.col("phrase"), own).alias("at"),
         F.when(met, shared / F.col("size")).alias("contained"))
     at = F.col("start").cast("long")
     is_base, is_label = F.size("at") > 0, ~F.col("phrase") & F.col("start").isNotNull()
     joined_labels = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    return found.groupBy("doc_id", "text_key", "n_words").agg(
+    return found.groupBy("doc_id", "row", "n_words").agg(
         F.coalesce(F.sum(F.when(is_base, F.size("at")).cast("long")), F.lit(0).cast("long")).alias("n_base"),
         F.min(F.when(is_base, at + F.array_min("at"))).alias("first_word"),
         F.max(F.when(is_base, at + F.array_max("at"))).alias("last_word"),
@@ -150,7 +151,7 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         joined_labels(F.when(is_base | is_label, F.col("label"))).alias("labels"),
         F.coalesce(F.max(F.when(is_base | is_label, F.col("contained"))), F.lit(0.0)).alias("score"),
         F.count_distinct(F.when(is_base | is_label, F.col("start"))).cast("long").alias("n_blocks"),
-    ).drop("text_key")
+    ).drop("row")
 
 
 def op1_license_scan(spark, sf_dir: str) -> DataFrame:
