@@ -21,9 +21,13 @@ equal are sorted, one at a time, to the depth ``length``.
    rank of the cover sample (every ``STEP``-th position from the anchor, to
    the depth that head and tail leave open) and the tail, so long ties cost one
    rank instead of a long comparison.
-4. A bucket is dealt to parts of about ``PART_BLOCKS`` blocks, which bounds a
-   task's memory.  What a part finds unique, while the bucket has other parts, is
-   counted once more by its 128-bit hash, with what the other parts hold.
+4. A bucket of more than ``PART_BLOCKS`` blocks is too large for one task.  The
+   distances from start to anchor are halved: the strings of a half share the
+   bytes between its outermost ones, so a 128-bit hash of those deals blocks to
+   smaller groups in which equal strings always meet.  Groups that are still too
+   large are halved again.  Of rows that are equal in the half one goes on, and
+   groups of one end, so a step at most doubles the rows of large groups; at a
+   single distance the shared bytes are the string and every group is one row.
 
 A sample by position modulo a period (the textbook difference cover) would
 have 5 to 20 % of all positions here and exceed the shuffle that anchors need.
@@ -31,6 +35,9 @@ have 5 to 20 % of all positions here and exceed the shuffle that anchors need.
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +52,7 @@ LENGTH = 400
 #: Bytes compared directly at either end of a string, and distance of the cover sample.
 STEP = 32
 PART_BLOCKS = 4096
-#: End of the range of a string that its part already knows to repeat.
-_KNOWN = -1
+_RUN = ["doc_id", "text_key", "lo", "hi"]
 
 
 def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -213,47 +219,30 @@ def _pieces(data: np.ndarray, places: np.ndarray, size: int) -> np.ndarray:
     return np.ascontiguousarray(view[places]).view(f"V{size}").reshape(-1)
 
 
-def _sort_parts(length: int):
+def _sort_groups(length: int):
+    """Runs of repeated starts (doc_id, text_key, lo, hi) of the groups (g1, g2), each held whole."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
 
         def flush() -> pa.RecordBatch:
-            bodies = [r["body"] for r in held]
-            twice = sort_bucket(bodies, np.array([r["at"] for r in held]), length)
-            out = {k: [] for k in ("doc_id", "text_key", "lo", "hi", "w1", "w2")}
-
-            def put(r, a, z, w1=None, w2=None):
-                for k, v in zip(out, (r["doc_id"], r["text_key"], r["lo"] + a, r["lo"] + z, w1, w2)):
-                    out[k].append(v)
-
-            i, told = 0, set()
+            twice = sort_bucket([r["body"] for r in held], np.array([r["at"] for r in held]), length)
+            out, i = {k: [] for k in _RUN}, 0
             for r in held:
                 mine = twice[i:i + len(r["body"]) - length + 1]
                 i += len(mine)
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], mine.view(np.int8), [0]])))
                 for a, z in zip(edges[::2].tolist(), (edges[1::2] - 1).tolist()):
-                    put(r, a, z)
-                if r["parts"] > 1:
-                    body, every = np.frombuffer(r["body"], dtype=np.uint8), np.arange(len(mine))
-                    w1, w2 = (ts.as_long(f.spans(f.prefix(body), every, every + length)).tolist()
-                              for f in (ts.FIRST, ts.SECOND))
-                    for a, x, y, known in zip(every.tolist(), w1, w2, mine.tolist()):
-                        if not known:
-                            put(r, a, a, x, y)
-                        elif (x, y) not in told:    # other parts learn what repeats in this one
-                            told.add((x, y))
-                            put(r, a, _KNOWN - r["lo"], x, y)
+                    for k, v in zip(_RUN, (r["doc_id"], r["text_key"], r["lo"] + a, r["lo"] + z)):
+                        out[k].append(v)
             held.clear()
-            types = [pa.int64()] * 5
-            return pa.RecordBatch.from_arrays(
-                [pa.array(out["doc_id"], kind[0]), *[pa.array(out[k], t) for k, t in zip(list(out)[1:], types)]],
-                names=list(out))
+            return pa.RecordBatch.from_arrays([pa.array(out[k], kind[0] if k == "doc_id" else pa.int64()) for k in _RUN], names=_RUN)
 
         kind = [None]
         for b in batches:
             kind[0] = b.schema.field("doc_id").type
             for r in b.to_pylist():
-                if held and (r["anchor"], r["part"]) != (held[0]["anchor"], held[0]["part"]):
+                if held and (r["g1"], r["g2"]) != (held[0]["g1"], held[0]["g2"]):
                     yield flush()
                 held.append(r)
         if held:
@@ -262,6 +251,69 @@ def _sort_parts(length: int):
     return run
 
 
+def _digest(*parts) -> tuple[int, int]:
+    h = hashlib.blake2b(digest_size=16)
+    for x in parts:
+        h.update(x if isinstance(x, bytes) else struct.pack("<q", x))
+    return struct.unpack("<qq", h.digest())
+
+
+def _split_groups(length: int):
+    """Both halves of the range ``near .. far`` of distances from start to anchor:
+    of each block the bytes of its strings in the half, keyed by the bytes that
+    all strings of the half share, and a hash (s1, s2) that equal rows share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[dict] = []
+            for r in b.to_pylist():
+                body, at, mid = r["body"], r["at"], (r["near"] + r["far"]) // 2
+                least = at - (len(body) - length)       # the block's own distances are least .. at
+                for near, far in ((r["near"], mid), (mid + 1, r["far"])):
+                    lo, hi = max(near, least), min(far, at)
+                    if lo > hi:
+                        continue
+                    own = body[at - hi:at - lo + length]
+                    g1, g2 = _digest(r["g1"], r["g2"], near, body[at - near:at - far + length])
+                    s1, s2 = _digest(g1, g2, hi, own)
+                    start = r["lo"] + at - hi
+                    out.append({**r, "g1": g1, "g2": g2, "near": near, "far": far, "at": hi, "body": own,
+                                "lo": start, "hi": start + hi - lo, "s1": s1, "s2": s2})
+            schema = b.schema.append(pa.field("s1", pa.int64())).append(pa.field("s2", pa.int64()))
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+def _solve(groups: DataFrame, length: int, name: str) -> DataFrame:
+    kind = groups.schema["doc_id"].dataType.simpleString()
+    rows = groups.select("g1", "g2", "at", "doc_id", "text_key", "lo", "body")
+    return reliable_checkpoint(rows.repartition("g1", "g2").sortWithinPartitions("g1", "g2").mapInArrow(
+        _sort_groups(length), f"doc_id {kind}, text_key long, lo long, hi long"), name)
+
+
+def _sort_large(rows: DataFrame, length: int, part_blocks: int) -> list[DataFrame]:
+    """Repeated starts of the buckets ``rows`` (g1, g2, near, far, at, doc_id,
+    text_key, lo, hi, body) that are too large for one task."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    fields = (f"g1 long, g2 long, near int, far int, at long, doc_id {kind}, text_key long, lo long, hi long, body binary, "
+              "s1 long, s2 long")
+    out = []
+    for _ in range(length.bit_length()):
+        halves = reliable_checkpoint(rows.mapInArrow(_split_groups(length), fields), "halves")
+        # equal rows repeat in full; one of them stays, for what it shares with the others of its group
+        equal = halves.groupBy("s1", "s2").agg(F.count("*").alias("n")).filter("n > 1")
+        out.append(reliable_checkpoint(halves.join(equal, ["s1", "s2"], "left_semi").select(*_RUN), "sorted"))
+        size = reliable_checkpoint(halves.select("g1", "g2", "s1", "s2").distinct().groupBy("g1", "g2").agg(
+            F.count("*").alias("n")).filter("n > 1"), "sizes")
+        kept = reliable_checkpoint(halves.dropDuplicates(["s1", "s2"]).drop("s1", "s2").join(size, ["g1", "g2"]), "groups")
+        out.append(_solve(kept.filter(F.col("n") <= part_blocks), length, "sorted"))
+        rows = kept.filter(F.col("n") > part_blocks).drop("n")
+        if rows.isEmpty():
+            break
+    return out
+
+
 def repeated_starts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
                     part_blocks: int = PART_BLOCKS) -> DataFrame:
     """(doc_id, text_key, lo, hi): starts of the repeated strings, as ranges."""
@@ -271,29 +323,26 @@ def repeated_starts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     seen = bitmap(whole, "b1")
     doubt = bitmap(passing(classes.filter("n = 1"), "b1", seen), "b2")
     # a bucket: the different blocks around one anchor, with at least one that is not repeated in full
-    buckets = classes.groupBy("anchor").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter(
-        "m > 1 AND least = 1").select("anchor", F.ceil(F.col("m") / part_blocks).cast("int").alias("parts"))
+    buckets = reliable_checkpoint(classes.groupBy("anchor").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter(
+        "m > 1 AND least = 1").select("anchor", "m"), "buckets")
     members = reliable_checkpoint(classes.join(buckets, "anchor"), "members")
     marked = reliable_checkpoint(
         _marked_blocks(docs, anchors, seen, doubt, bitmap(members, "place"), doc_id, text, length), "marked")
-    out = ["doc_id", "text_key", "lo", "hi"]
-    runs = marked.filter("b1 IS NULL").select(*out)
+    runs = marked.filter("b1 IS NULL").select(*_RUN)
     unsure = marked.filter("b1 IS NOT NULL AND body IS NULL").join(whole.select("b1", "b2"), ["b1", "b2"], "left_semi")
 
     bodies = marked.filter("body IS NOT NULL").dropDuplicates(["b1", "b2"])
-    parts = bodies.join(members, ["b1", "b2"]).select(
-        "anchor", F.pmod(F.xxhash64("b1", "b2"), F.col("parts")).cast("int").alias("part"), "parts", "at", *out[:3], "body")
-    kind = parts.schema["doc_id"].dataType.simpleString()
-    found = reliable_checkpoint(
-        parts.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(
-            _sort_parts(length), f"doc_id {kind}, text_key long, lo long, hi long, w1 long, w2 long"), "sorted")
-    single = found.filter("w1 IS NULL").select(*out)
-    again = found.filter("w1 IS NOT NULL")
-    twice = again.groupBy("w1", "w2").agg(F.sum(F.when(F.col("hi") == _KNOWN, 2).otherwise(1)).alias("k")).filter(
-        "k > 1").select("w1", "w2")
-    again = again.filter(F.col("hi") != _KNOWN)
-    return runs.unionByName(unsure.select(*out)).unionByName(single).unionByName(
-        again.join(twice, ["w1", "w2"], "left_semi").select(*out))
+
+    def blocks(of: DataFrame) -> DataFrame:
+        return bodies.join(of.select("b1", "b2", "anchor"), ["b1", "b2"]).select(
+            F.col("anchor").alias("g1"), F.lit(0).cast("long").alias("g2"), F.lit(0).alias("near"),
+            F.lit(length - length // 2).alias("far"), "at", *_RUN, "body")
+
+    found = [runs, unsure.select(*_RUN), _solve(blocks(members.filter(F.col("m") <= part_blocks)), length, "sorted")]
+    large = members.filter(F.col("m") > part_blocks)
+    if not large.isEmpty():
+        found += _sort_large(blocks(large), length, part_blocks)
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,

@@ -232,6 +232,22 @@ def test_substrings(spark, part_blocks):
     assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_substrings(rows, 100)
 
 
+@pytest.mark.parametrize("part_blocks", [1, 4, 64])
+def test_passage_with_many_surroundings(spark, part_blocks):
+    """One bucket far larger than a task takes: a passage, cut off at either end, in other texts each time."""
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abc ") for _ in range(n))
+    passage = text(130)
+    rows = []
+    for d in range(150):
+        own = passage[rnd.choice([0, 0, 5, 20]):len(passage) - rnd.choice([0, 0, 7, 25])]
+        rows.append((d, text(rnd.randint(0, 40)) + own + text(rnd.randint(0, 40))))
+    rows += [(d + 200, t) for d, t in rows[:20]] + [(300, passage * 4), (301, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = S.dedup_substrings(df, length=100, part_blocks=part_blocks).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_substrings(rows, 100)
+
+
 def test_substring_edges(spark, edge):
     got = {r.doc_id: r for r in S.dedup_substrings(edge).collect()}
     assert got[6].n_removed == 90_000 and got[7].n_removed == 80_000 and got[1].n_bytes == 0 and got[9].n_removed == 0
