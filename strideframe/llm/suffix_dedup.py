@@ -325,7 +325,7 @@ def repeated_starts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # a bucket: the different blocks around one anchor, with at least one that is not repeated in full
     buckets = reliable_checkpoint(classes.groupBy("anchor").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter(
         "m > 1 AND least = 1").select("anchor", "m"), "buckets")
-    members = reliable_checkpoint(classes.join(buckets, "anchor"), "members")
+    members = reliable_checkpoint(passing(classes, "anchor", bitmap(buckets, "anchor")).join(buckets, "anchor"), "members")
     marked = reliable_checkpoint(
         _marked_blocks(docs, anchors, seen, doubt, bitmap(members, "place"), doc_id, text, length), "marked")
     runs = marked.filter("b1 IS NULL").select(*_RUN)
