@@ -68,7 +68,8 @@ def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
 def _anchors(data: np.ndarray, offsets: np.ndarray, length: int):
     """(row, lo, hi, anchor, anchor hash) of the blocks of a chunk: starts
     lo..hi of strings with one anchor, as positions in the chunk; and the
-    prefix sums of the chunk."""
+    prefix sums of the chunk.  The anchor's hash is scrambled once more: as the
+    least of many it is small, and bitmaps go by the leading bits."""
     piece = length // 2
     prefix = ts.FIRST.prefix(data)
     none = np.zeros(0, dtype=np.int64)
@@ -86,7 +87,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int):
     anchor = (least[start] & mask).astype(np.int64)
     new = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])) if len(row) else none
     last = np.append(new[1:], len(row)) - 1 if len(row) else none
-    return row[new], start[new], start[last], anchor[new], h[anchor[new]], prefix
+    return row[new], start[new], start[last], anchor[new], ts.mix64(h[anchor[new]]), prefix
 
 
 def _anchor_counts(docs: DataFrame, text: str, length: int) -> DataFrame:
